@@ -49,25 +49,25 @@ def _tokens(content: Column) -> Column:
 
 
 def parse_payload(df: DataFrame, content_col: str = "content") -> DataFrame:
-    """Add ``ticker``, ``fields`` (array<struct<k,v>> in token order), ``metadata`` and ``frame_ok``."""
+    """Add ``ticker``, ``has_pipe``, ``first_empty``, ``fields`` (array<struct<k,v>>
+    in token order) and ``metadata``.  Unused columns are pruned by the optimizer,
+    so callers that only need the frame checks never evaluate the arrays."""
     c = F.col(content_col)
     toks = _tokens(c)
     body = F.slice(toks, 3, F.greatest(F.size(toks) - 2, F.lit(0)))
-    ticker = F.get(toks, 1)
-    out = df.withColumns({"_toks": toks, "ticker": ticker, "_body": body})
+    out = df.withColumns({
+        "ticker": F.get(toks, 1),
+        "has_pipe": F.coalesce(F.instr(c, "|") > 0, F.lit(False)),
+        "first_empty": F.substring_index(c, "|", 1) == "",
+    })
     entries = F.transform(
-        F.filter("_body", lambda x: F.instr(x, "*") > 0),
+        F.filter(body, lambda x: F.instr(x, "*") > 0),
         lambda x: F.struct(
-            F.lower(F.regexp_replace(F.get(F.split(x, r"\*", -1), 0), F.concat(F.col("ticker"), F.lit("_")), "")).alias("k"),
+            F.lower(F.replace(F.get(F.split(x, r"\*", -1), 0), F.concat(F.col("ticker"), F.lit("_")), F.lit(""))).alias("k"),
             F.get(F.split(x, r"\*", -1), 1).alias("v"),
         ),
     )
-    return out.withColumns({
-        "has_pipe": F.coalesce(F.instr(c, "|") > 0, F.lit(False)),
-        "first_empty": F.get(F.col("_toks"), 0) == "",
-        "fields": entries,
-        "metadata": F.filter("_body", lambda x: F.instr(x, "*") == 0),
-    }).drop("_toks", "_body")
+    return out.withColumns({"fields": entries, "metadata": F.filter(body, lambda x: F.instr(x, "*") == 0)})
 
 
 def last_wins(entries: Column) -> Column:
@@ -80,7 +80,7 @@ def last_wins(entries: Column) -> Column:
 
 def field_value(entries: Column, name: str) -> Column:
     """Raw text of the last token named ``name`` (NULL if absent)."""
-    return F.element_at(F.filter(entries, lambda e: e.getField("k") == name), -1).getField("v")
+    return F.try_element_at(F.filter(entries, lambda e: e.getField("k") == name), F.lit(-1)).getField("v")
 
 
 def clean_number(text: Column) -> Column:
@@ -95,23 +95,43 @@ def parsed_map(df: DataFrame) -> DataFrame:
     return df.withColumn("quote_map", F.map_from_entries(dedup))
 
 
+def _normalised(content: Column, ticker: Column) -> Column:
+    """Content with every ``<ticker>_`` removed and lower-cased: field names
+    become the model's names, so one static pattern per field finds them."""
+    return F.lower(F.replace(content, F.concat(ticker, F.lit("_")), F.lit("")))
+
+
+def _field_pattern(name: str) -> str:
+    # every token named ``name``; the value is the text between its first and second ``*``
+    return r"\|" + name + r"\*([^*|]*)"
+
+
+def _last_match(text: Column, name: str) -> Column:
+    """Value of the LAST token named ``name`` (the last duplicate wins); one linear scan."""
+    return F.try_element_at(F.regexp_extract_all(text, F.lit(_field_pattern(name)), 1), F.lit(-1))
+
+
 def typed_quotes(parsed: DataFrame) -> DataFrame:
-    """Project to the quote model: known numeric fields typed, unknown keys ignored."""
-    cols = {}
-    bad = []
-    for f in QUOTE_NUMERIC_FIELDS:
-        txt = clean_number(field_value(F.col("fields"), f))
-        num = txt.try_cast("double")
-        cols[f] = num
-        bad.append(txt.isNotNull() & num.isNull())
+    """Project to the quote model: known numeric fields typed, unknown keys ignored.
+
+    Each model field is one regex scan with a constant pattern over the
+    normalised payload: no higher-order functions, no Python.  (A value that
+    itself contains ``<ticker>_`` would be read without it; quote values are
+    numbers, so this does not arise.)
+    """
+    norm = parsed.withColumn("_norm", _normalised(F.col("content"), F.col("ticker")))
+    texts = {f: clean_number(_last_match(F.col("_norm"), f)) for f in QUOTE_NUMERIC_FIELDS}
+    txt = norm.withColumns({f"_t_{f}": e for f, e in texts.items()})
+    typed = txt.withColumns({f: F.col(f"_t_{f}").try_cast("double") for f in QUOTE_NUMERIC_FIELDS})
+    bad = reduce(lambda a, b: a | b, [F.col(f"_t_{f}").isNotNull() & F.col(f).isNull() for f in QUOTE_NUMERIC_FIELDS])
     reason = (
         F.when(F.col("content").isNull(), F.lit("null_content"))
         .when(~F.col("has_pipe"), F.lit("no_pipe"))
         .when(~F.col("first_empty"), F.lit("bad_frame"))
         .when(F.col("ticker").isNull(), F.lit("missing_symbol"))
-        .when(reduce(lambda a, b: a | b, bad), F.lit("bad_number"))
+        .when(bad, F.lit("bad_number"))
     )
-    return parsed.withColumns(cols).withColumn("reject_reason", reason)
+    return typed.withColumn("reject_reason", reason).drop("_norm", *[f"_t_{f}" for f in QUOTE_NUMERIC_FIELDS])
 
 
 def stamp(df: DataFrame, trade_time=None, exchange_name: str = EXCHANGE_NAME) -> DataFrame:

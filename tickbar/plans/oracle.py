@@ -71,7 +71,7 @@ PARSED = ("parsed", (
 # one row per field token, with its position; last occurrence of a name wins
 FIELDS = ("fields", (
     "SELECT response_id, item_pos, ticker, pos, "
-    "lower(regexp_replace(string_split(tok, '*')[1], ticker || '_', '', 'g')) AS k, "
+    "lower(replace(string_split(tok, '*')[1], ticker || '_', '')) AS k, "
     "replace(nullif(string_split(tok, '*')[2], ''), ',', '') AS v FROM ("
     "SELECT response_id, item_pos, ticker, unnest(range(len(body))) AS pos, unnest(body) AS tok "
     "FROM parsed WHERE has_pipe AND first_empty) t WHERE instr(tok, '*') > 0"))
@@ -292,7 +292,7 @@ reg("quotes_parsed", _with(FEED[:6], (
 reg("quotes_metadata", _with(FEED[:4], (
     "SELECT response_id, CAST(item_pos AS INTEGER) AS item_pos, CAST(meta_pos AS INTEGER) AS meta_pos, token FROM ("
     "SELECT response_id, item_pos, unnest(range(len(m))) AS meta_pos, unnest(m) AS token FROM ("
-    "SELECT response_id, item_pos, list_filter(body, x -> instr(x, '*') = 0) AS m FROM parsed "
+    "SELECT response_id, item_pos, list_filter(body, lambda x: instr(x, '*') = 0) AS m FROM parsed "
     "WHERE has_pipe AND first_empty) a) b")))
 _GOOD = (f"SELECT response_id, CAST(item_pos AS INTEGER) AS item_pos, ticker AS symbol, 'HNX' AS exchange_name, "
          f"fetched_at AS trade_time, {', '.join(QUOTE_NUMERIC_FIELDS)} FROM typed WHERE reject_reason IS NULL")
