@@ -48,11 +48,13 @@ def ar_walkforward(bars: DataFrame, p: int = AR_ORDER, value_col: str = "close",
     s = s.withColumn("dy", F.col("y") - F.col("y_prev"))
     s = s.withColumns({f"x{i}": F.lag("dy", i).over(w) for i in range(1, p + 1)})
     before = w.rowsBetween(Window.unboundedPreceding, -1)
+    # only rows with every lag present enter the normal equations (x_p present implies the rest)
+    complete = F.col(f"x{p}").isNotNull()
     sums = {}
     for i in range(1, p + 1):
         for j in range(i, p + 1):
-            sums[f"g{i}_{j}"] = F.sum(_dec(F.col(f"x{i}") * F.col(f"x{j}"))).over(before)
-        sums[f"b{i}"] = F.sum(_dec(F.col(f"x{i}") * F.col("dy"))).over(before)
+            sums[f"g{i}_{j}"] = F.sum(F.when(complete, _dec(F.col(f"x{i}") * F.col(f"x{j}")))).over(before)
+        sums[f"b{i}"] = F.sum(F.when(complete, _dec(F.col(f"x{i}") * F.col("dy")))).over(before)
     s = s.select("symbol", "trade_date", value_col, "split", "y_prev", *[f"x{i}" for i in range(1, p + 1)],
                  *[e.alias(k) for k, e in sums.items()])
     valid = s.where(F.col("split") == "valid")

@@ -223,8 +223,9 @@ AR_X = ("ar_x", "SELECT *, " + ", ".join(f"lag(dy, {i}) OVER {_W} AS x{i}" for i
 _ar_sums = []
 for _i in range(1, P + 1):
     for _j in range(_i, P + 1):
-        _ar_sums.append(f"sum(CAST(x{_i} * x{_j} AS DECIMAL(38,0))) OVER {_BEFORE} AS g{_i}_{_j}")
-    _ar_sums.append(f"sum(CAST(x{_i} * dy AS DECIMAL(38,0))) OVER {_BEFORE} AS b{_i}")
+        _ar_sums.append(f"sum(CASE WHEN x{P} IS NOT NULL THEN CAST(x{_i} * x{_j} AS DECIMAL(38,0)) END) "
+                        f"OVER {_BEFORE} AS g{_i}_{_j}")
+    _ar_sums.append(f"sum(CASE WHEN x{P} IS NOT NULL THEN CAST(x{_i} * dy AS DECIMAL(38,0)) END) OVER {_BEFORE} AS b{_i}")
 AR_S = ("ar_s", "SELECT *, " + ", ".join(_ar_sums) + " FROM ar_x")
 AR_V = ("ar_v", "SELECT * FROM ar_s WHERE split = 'valid'")
 _keep = ["symbol", "trade_date", "close", "y_prev"] + [f"x{i}" for i in range(1, P + 1)]
