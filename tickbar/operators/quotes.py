@@ -95,33 +95,32 @@ def parsed_map(df: DataFrame) -> DataFrame:
     return df.withColumn("quote_map", F.map_from_entries(dedup))
 
 
-def _normalised(content: Column, ticker: Column) -> Column:
-    """Content with every ``<ticker>_`` removed and lower-cased: field names
-    become the model's names, so one static pattern per field finds them."""
-    return F.lower(F.replace(content, F.concat(ticker, F.lit("_")), F.lit("")))
+# A field token ``|name*value*fmt`` becomes ``,"name":"value"``; a token without ``*`` becomes ``,"":""``.
+_TOKEN_TO_JSON = r"\|([^|*]*)\*([^|*]*)[^|]*|\|[^|*]*(?=\||$)"
+FIELD_TEXT_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in QUOTE_NUMERIC_FIELDS])
 
 
-def _field_pattern(name: str) -> str:
-    # every token named ``name``; the value is the text between its first and second ``*``
-    return r"\|" + name + r"\*([^*|]*)"
+def payload_json(content: Column, ticker: Column) -> Column:
+    """The payload as a JSON object of its field tokens, in token order.
 
-
-def _last_match(text: Column, name: str) -> Column:
-    """Value of the LAST token named ``name`` (the last duplicate wins); one linear scan."""
-    return F.try_element_at(F.regexp_extract_all(text, F.lit(_field_pattern(name)), 1), F.lit(-1))
+    Names lose every ``<ticker>_`` and are lower-cased; a JSON parser keeps the
+    last of repeated keys, which is the last-duplicate-wins rule.
+    """
+    norm = F.lower(F.replace(content, F.concat(ticker, F.lit("_")), F.lit("")))
+    esc = F.replace(F.replace(norm, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    return F.concat(F.lit('{"":""'), F.regexp_replace(esc, _TOKEN_TO_JSON, ',"$1":"$2"'), F.lit("}"))
 
 
 def typed_quotes(parsed: DataFrame) -> DataFrame:
     """Project to the quote model: known numeric fields typed, unknown keys ignored.
 
-    Each model field is one regex scan with a constant pattern over the
-    normalised payload: no higher-order functions, no Python.  (A value that
-    itself contains ``<ticker>_`` would be read without it; quote values are
-    numbers, so this does not arise.)
+    One regex rewrite and one JSON decode per payload give every model field's
+    text (no higher-order functions, no Python); values are then cleaned and
+    cast.  (A value that itself contains ``<ticker>_`` would be read without
+    it; quote values are numbers, so this does not arise.)
     """
-    norm = parsed.withColumn("_norm", _normalised(F.col("content"), F.col("ticker")))
-    texts = {f: clean_number(_last_match(F.col("_norm"), f)) for f in QUOTE_NUMERIC_FIELDS}
-    txt = norm.withColumns({f"_t_{f}": e for f, e in texts.items()})
+    rec = parsed.withColumn("_rec", F.from_json(payload_json(F.col("content"), F.col("ticker")), FIELD_TEXT_SCHEMA))
+    txt = rec.withColumns({f"_t_{f}": clean_number(F.col("_rec").getField(f)) for f in QUOTE_NUMERIC_FIELDS})
     typed = txt.withColumns({f: F.col(f"_t_{f}").try_cast("double") for f in QUOTE_NUMERIC_FIELDS})
     bad = reduce(lambda a, b: a | b, [F.col(f"_t_{f}").isNotNull() & F.col(f).isNull() for f in QUOTE_NUMERIC_FIELDS])
     reason = (
@@ -131,7 +130,7 @@ def typed_quotes(parsed: DataFrame) -> DataFrame:
         .when(F.col("ticker").isNull(), F.lit("missing_symbol"))
         .when(bad, F.lit("bad_number"))
     )
-    return typed.withColumn("reject_reason", reason).drop("_norm", *[f"_t_{f}" for f in QUOTE_NUMERIC_FIELDS])
+    return typed.withColumn("reject_reason", reason).drop("_rec", *[f"_t_{f}" for f in QUOTE_NUMERIC_FIELDS])
 
 
 def stamp(df: DataFrame, trade_time=None, exchange_name: str = EXCHANGE_NAME) -> DataFrame:
@@ -142,11 +141,15 @@ def stamp(df: DataFrame, trade_time=None, exchange_name: str = EXCHANGE_NAME) ->
 
 def quotes_from_content(items: DataFrame, trade_time=None, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(valid quotes in the model's column order, rejects with a reason)."""
-    typed = typed_quotes(parse_payload(items))
-    typed = stamp(typed, trade_time)
-    good = typed.where(F.col("reject_reason").isNull()).select(
-        *keep, F.col("ticker").alias("symbol"), "exchange_name", "trade_time", *QUOTE_NUMERIC_FIELDS)
-    bad = typed.where(F.col("reject_reason").isNotNull()).select(*keep, "content", "reject_reason")
+    typed = stamp(typed_quotes(parse_payload(items)), trade_time)
+    cols = [*keep, F.col("ticker").alias("symbol"), "exchange_name", "trade_time", *QUOTE_NUMERIC_FIELDS,
+            "content", "reject_reason"]
+    # The record leaves a one-row generator, so the split filters below cannot be
+    # pushed under it (that would inline the payload decode once per field).
+    rec = typed.select(F.inline(F.array(F.struct(*cols))))
+    good = rec.where(F.col("reject_reason").isNull()).select(
+        *keep, "symbol", "exchange_name", "trade_time", *QUOTE_NUMERIC_FIELDS)
+    bad = rec.where(F.col("reject_reason").isNotNull()).select(*keep, "content", "reject_reason")
     return good, bad
 
 
