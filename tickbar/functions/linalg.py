@@ -11,7 +11,6 @@ A zero pivot (singular system, e.g. a constant series) gives NULL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def cell(step: int, i: int, j: int) -> str:
@@ -46,11 +45,13 @@ def gauss_jordan_steps(n: int, dialect: str = "spark") -> list[dict[str, str]]:
 def solve_columns(df: DataFrame, a: list[list[str]], b: list[str], out: list[str], keep: list[str]) -> DataFrame:
     """Solve ``A x = b`` per row; ``a``/``b`` are expressions, ``out`` names the solution."""
     n = len(b)
-    cur = df.select(*keep, *[F.expr(a[i][j]).cast("double").alias(cell(0, i, j)) for i in range(n) for j in range(n)],
-                    *[F.expr(b[i]).cast("double").alias(cell(0, i, n)) for i in range(n)])
+    # one selectExpr per pivot: a single call and a single analysis per step
+    first = [f"CAST({a[i][j]} AS DOUBLE) AS {cell(0, i, j)}" for i in range(n) for j in range(n)]
+    first += [f"CAST({b[i]} AS DOUBLE) AS {cell(0, i, n)}" for i in range(n)]
+    cur = df.selectExpr(*keep, *first)
     for step in gauss_jordan_steps(n, "spark"):
-        cur = cur.select(*keep, *[F.expr(e).alias(c) for c, e in step.items()])
-    return cur.select(*keep, *[F.col(cell(n, i, n)).alias(out[i]) for i in range(n)])
+        cur = cur.selectExpr(*keep, *[f"{e} AS {c}" for c, e in step.items()])
+    return cur.selectExpr(*keep, *[f"{cell(n, i, n)} AS {out[i]}" for i in range(n)])
 
 
 def solve_sql(n: int, source: str, a: list[list[str]], b: list[str], out: list[str], keep: list[str],

@@ -88,11 +88,15 @@ def clean_number(text: Column) -> Column:
     return F.replace(F.nullif(text, F.lit("")), F.lit(","), F.lit(""))
 
 
+def parsed_entries(fields: Column) -> Column:
+    """array<struct<k, v>>: one entry per field name (last duplicate wins), cleaned values."""
+    return F.transform(last_wins(fields),
+                       lambda e: F.struct(e.getField("k").alias("k"), clean_number(e.getField("v")).alias("v")))
+
+
 def parsed_map(df: DataFrame) -> DataFrame:
     """The symbol's field map (last duplicate wins) with cleaned values."""
-    dedup = F.transform(last_wins(F.col("fields")),
-                        lambda e: F.struct(e.getField("k").alias("k"), clean_number(e.getField("v")).alias("v")))
-    return df.withColumn("quote_map", F.map_from_entries(dedup))
+    return df.withColumn("quote_map", F.map_from_entries(parsed_entries(F.col("fields"))))
 
 
 # A field token ``|name*value*fmt`` becomes ``,"name":"value"``; a token without ``*`` becomes ``,"":""``.

@@ -335,10 +335,10 @@ def _items(spark, sf):
 
 @register("quotes_parsed")
 def q_quotes_parsed(spark, sf):
-    p = Q.parsed_map(Q.parse_payload(_items(spark, sf)))
-    p = p.where(F.col("has_pipe") & F.col("first_empty"))
-    return p.select("response_id", "item_pos", F.col("ticker").alias("symbol"),
-                    F.explode("quote_map").alias("field", "value"))
+    p = Q.parse_payload(_items(spark, sf)).where(F.col("has_pipe") & F.col("first_empty"))
+    e = p.select("response_id", "item_pos", F.col("ticker").alias("symbol"),
+                 F.inline(Q.parsed_entries(F.col("fields"))))
+    return e.withColumnsRenamed({"k": "field", "v": "value"})
 
 
 @register("quotes_metadata")
