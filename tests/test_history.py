@@ -47,7 +47,7 @@ def test_bround_half_even(spark):
     rows = [("A", dt.date(2024, 1, i), float(i), float(i), float(i), float(i), i) for i in range(1, 5)]
     c = H.corr_matrix(_bars(spark, rows), decimals=2).collect()
     assert all(r["corr"] in (1.0, None) for r in c)
-    assert spark.sql("select bround(0.125, 2) a").collect()[0]["a"] == 0.12
+    assert spark.sql("select bround(CAST(0.125 AS DOUBLE), 2) a").collect()[0]["a"] == 0.12
 
 
 def test_chart_long(spark):
