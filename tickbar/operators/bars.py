@@ -43,26 +43,31 @@ def daily_bars(quotes: DataFrame, symbols: DataFrame | None = None, as_of=None,
                order: tuple[str, ...] = SNAPSHOT_ORDER) -> DataFrame:
     """One OHLCV bar per symbol and day from the day's last snapshot.
 
-    ``symbols`` restricts to the symbol dimension (inner equi-join; the small
-    side is broadcast by AQE only when its measured size is under the
-    threshold).  ``as_of`` restricts to one day, as the scheduled run does.
+    ``symbols`` restricts to the symbol dimension.  The restriction is a pure
+    filter, so it is applied AFTER the grouped arg-max: the snapshots are
+    combined map-side and shuffled on (symbol, day) with no join in front, and
+    the semi-join then runs on the bars (one row per symbol and day).  Joining
+    first would let the aggregate reuse a shuffle on ``symbol`` alone and put
+    a hot symbol into one task.  ``as_of`` restricts to one day, as the
+    scheduled run does (a partition predicate on a staged table).
     """
-    q = quotes if as_of is None else for_day(quotes, as_of)
-    if symbols is not None:
-        q = q.join(symbols.select("symbol"), "symbol")
-    q = with_trade_date(q)
+    q = with_trade_date(quotes if as_of is None else for_day(quotes, as_of))
     snap = F.struct(
         F.col("open_price").alias("open"), F.col("max_price").alias("high"), F.col("min_price").alias("low"),
         F.col("close_price").alias("close"), F.col("traded_quantity").alias("volume"))
     agg = q.groupBy("symbol", "trade_date").agg(F.max_by(snap, _order_key(order)).alias("_b"))
-    return agg.select("symbol", "trade_date", "_b.open", "_b.high", "_b.low", "_b.close",
+    bars = agg.select("symbol", "trade_date", "_b.open", "_b.high", "_b.low", "_b.close",
                       F.col("_b.volume").try_cast("bigint").alias("volume"))
+    if symbols is not None:
+        bars = bars.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    return bars
 
 
 def symbols_missing(symbols: DataFrame, quotes: DataFrame, as_of=None) -> DataFrame:
     """Symbols of the dimension with no snapshot (on ``as_of`` when given)."""
     q = quotes if as_of is None else for_day(quotes, as_of)
-    return symbols.join(q.select("symbol"), "symbol", "left_anti")
+    # distinct first: a partial aggregate per task, so a hot symbol is never shuffled row by row
+    return symbols.join(q.select("symbol").distinct(), "symbol", "left_anti")
 
 
 def normalise_history(hist: DataFrame, symbol: Column | str = "symbol") -> DataFrame:
