@@ -11,8 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from tickbar.session import build_session
 
-    s = build_session(master="local[*]", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tickbar-test-ckpt-")})
+    s = build_session(master="local[*]", shuffle_partitions=8)  # checkpoint dir created only if unset
     yield s
     s.stop()
 
