@@ -66,8 +66,11 @@ def daily_bars(quotes: DataFrame, symbols: DataFrame | None = None, as_of=None,
 def symbols_missing(symbols: DataFrame, quotes: DataFrame, as_of=None) -> DataFrame:
     """Symbols of the dimension with no snapshot (on ``as_of`` when given)."""
     q = quotes if as_of is None else for_day(quotes, as_of)
-    # distinct first: a partial aggregate per task, so a hot symbol is never shuffled row by row
-    return symbols.join(q.select("symbol").distinct(), "symbol", "left_anti")
+    # distinct first: a partial aggregate per task, so a hot symbol is never shuffled row by row.
+    # Left join + null test rather than LEFT ANTI: an anti join is pushed through a union on the
+    # dimension side, which would replicate the whole quote plan once per union branch.
+    present = q.select("symbol").distinct().withColumn("_present", F.lit(True))
+    return symbols.join(present, "symbol", "left").where(F.col("_present").isNull()).drop("_present")
 
 
 def normalise_history(hist: DataFrame, symbol: Column | str = "symbol") -> DataFrame:

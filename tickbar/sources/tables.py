@@ -13,6 +13,17 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A file written as one row group is read by one task, which would run every
+    per-row operator downstream on one core.  A large table has far more splits
+    than cores and is returned unchanged (no shuffle is added at scale).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    return spread(df.select(*columns) if columns else df)
