@@ -60,9 +60,9 @@ def q_symbols_missing(spark, sf):
 
 def _stage_quotes(spark, sf) -> str:
     path = scratch_path(spark, "quotes_staged")
-    q = FR.partition_columns(quotes_v(spark, sf))
-    q.sortWithinPartitions("symbol", "year", "month", "day").write.mode("overwrite") \
-        .partitionBy("symbol", "year", "month", "day").parquet(path)
+    q = FS.clustered_for_write(FR.partition_columns(quotes_v(spark, sf)), ["symbol", "year", "month", "day"],
+                               "trade_time")
+    q.write.mode("overwrite").partitionBy("symbol", "year", "month", "day").parquet(path)
     return path
 
 

@@ -60,6 +60,14 @@ def symbols_pk_audit(df: DataFrame) -> DataFrame:
     return df.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
+def clustered_for_write(df: DataFrame, partition_cols: list[str], fine_col: str) -> DataFrame:
+    """Range-partition on the table's partition columns plus a fine key before a
+    partitioned write.  Each task then holds a contiguous key range and writes
+    few files, and because the sampler cuts ranges inside a key, a hot
+    partition value is spread over several tasks instead of one."""
+    return df.repartitionByRange(*partition_cols, fine_col)
+
+
 def read_partitioned_quotes(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Staged quote table; with a schema the partition columns get its types."""
     r = spark.read

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.framing import FRAME_SCHEMA, decode_by_schema, partition_columns, unframe
+from ..sources.files import clustered_for_write
 
 PARTITION_COLS = ["symbol", "year", "month", "day"]
 
@@ -32,7 +33,7 @@ def stage_batch(batch: DataFrame, batch_id: int, sink_path: str, schemas: dict[i
         decoded = decode_by_schema(batch, schemas, ids, codec)
         good = decoded.where(F.col("_decoded") & F.col("symbol").isNotNull()).drop("_decoded")
         staged = partition_columns(good).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        (staged.sortWithinPartitions(*PARTITION_COLS)
+        (clustered_for_write(staged, PARTITION_COLS, "trade_time")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITION_COLS, "batch").parquet(sink_path))
         if rejects_path is not None:
