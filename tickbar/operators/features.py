@@ -26,7 +26,7 @@ def train_valid_split(bars: DataFrame, value_col: str = "close") -> DataFrame:
     ``ceil(0.9 n)`` is computed exactly in integers as ``(9 n + 9) div 10``.
     """
     n = F.count(F.lit(1)).over(Window.partitionBy("symbol"))
-    out = bars.select("symbol", "trade_date", value_col, F.row_number().over(_w()).alias("rn"), n.alias("n"))
+    out = bars.select("symbol", "trade_date", value_col, F.row_number().over(_w()).cast("bigint").alias("rn"), n.alias("n"))
     out = out.withColumn("train_len", F.expr("(n * 9 + 9) div 10"))
     return out.withColumn("split", F.when(F.col("rn") <= F.col("train_len"), F.lit("train")).otherwise(F.lit("valid")))
 

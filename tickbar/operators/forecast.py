@@ -120,7 +120,7 @@ def model_comparison(rmses: list[DataFrame]) -> DataFrame:
     allr = reduce(lambda a, b: a.unionByName(b), rmses)
     w = Window.partitionBy("symbol").orderBy(F.col("rmse_raw").asc_nulls_last(), "model")
     return allr.select("symbol", "model", F.round("rmse_raw", RMSE_DECIMALS).alias("rmse"),
-                       F.row_number().over(w).alias("rank"))
+                       F.row_number().over(w).cast("bigint").alias("rank"))
 
 
 def forecast_last(pred: DataFrame, model: str) -> DataFrame:

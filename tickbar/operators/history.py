@@ -24,7 +24,7 @@ def history_for_symbol(bars: DataFrame, symbols: list[str] | None = None) -> Dat
     b = bars if symbols is None else bars.where(F.col("symbol").isin(symbols))
     w = Window.partitionBy("symbol").orderBy(F.col("trade_date").desc())
     return b.select(
-        "symbol", (F.row_number().over(w) - 1).alias("id"),
+        "symbol", (F.row_number().over(w) - 1).cast("bigint").alias("id"),
         F.col("open").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"),
         F.col("close").alias("Close"), F.col("volume").alias("Volume"), F.col("trade_date").alias("Date"))
 

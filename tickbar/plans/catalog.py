@@ -32,7 +32,7 @@ RANGE_START, RANGE_END = "1996-01-01", "1997-12-31"
 SCAN_DAY = "2024-01-15"
 HISTORY_CUT_END, DAILY_CUT_START = "2000-12-31", "2000-12-01"
 PASSTHROUGH_SQL = ("SELECT symbol, count(*) AS n_bars, min(trade_date) AS first_date, max(trade_date) AS last_date, "
-                   "sum(volume) AS total_volume FROM bars GROUP BY symbol")
+                   "CAST(sum(volume) AS BIGINT) AS total_volume FROM bars GROUP BY symbol")
 
 
 def register(name: str):

@@ -317,7 +317,7 @@ reg("unframe_quotes", _with([QUOTES_V], (
 reg("distinct_schema_ids", _with([QUOTES_V], (
     f"SELECT {_SID} AS schema_id, count(*) AS n_messages FROM quotes_v GROUP BY 1")))
 _STAGED = (f"SELECT CAST(msg_seq AS VARCHAR) AS key, {_SID} AS schema_id, {_QUOTE_COLS}, "
-           f"CASE WHEN msg_seq % 2 = 0 THEN NULL ELSE 100.0 END AS lot_size")
+           f"CASE WHEN msg_seq % 2 = 0 THEN NULL ELSE CAST(100.0 AS DOUBLE) END AS lot_size")
 reg("stage_by_schema", _with([QUOTES_V], (
     _STAGED + ", strftime(trade_time, '%Y') AS year, strftime(trade_time, '%m') AS month, "
     "strftime(trade_time, '%d') AS day FROM quotes_v")))
