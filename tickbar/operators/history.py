@@ -60,11 +60,11 @@ def preset_range(bars: DataFrame, preset: str, as_of=None) -> DataFrame:
 def kpi_latest(bars: DataFrame) -> DataFrame:
     """Newest bar per symbol with the change from the previous bar for each price
     (NULL when the symbol has one bar)."""
-    w = Window.partitionBy("symbol").orderBy("trade_date")
-    prev = {f"prev_{c}": F.lag(c).over(w) for c in PRICE_COLUMNS}
-    latest_w = Window.partitionBy("symbol").orderBy(F.col("trade_date").desc())
+    # one sort per symbol: newest first, the previous bar is the next row
+    w = Window.partitionBy("symbol").orderBy(F.col("trade_date").desc())
+    prev = {f"prev_{c}": F.lead(c).over(w) for c in PRICE_COLUMNS}
     staged = bars.select("symbol", "trade_date", *PRICE_COLUMNS, *[e.alias(k) for k, e in prev.items()],
-                         F.row_number().over(latest_w).alias("_rn"))
+                         F.row_number().over(w).alias("_rn"))
     return staged.where(F.col("_rn") == 1).select(
         "symbol", "trade_date", *PRICE_COLUMNS,
         *[(F.col(c) - F.col(f"prev_{c}")).alias(f"{c}_delta") for c in PRICE_COLUMNS])
