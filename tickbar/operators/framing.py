@@ -38,8 +38,10 @@ def avro_schema_json(schema: T.StructType, name: str = "Quote") -> str:
     return json.dumps({"type": "record", "name": name, "fields": fields})
 
 
-def encode_body(fields: list[str], schema: T.StructType, codec: str = "json") -> Column:
-    rec = F.struct(*[F.col(f) for f in fields])
+def encode_body(schema: T.StructType, present: set[str], codec: str = "json") -> Column:
+    """Encode the writer schema's fields; a field the frame lacks is written as NULL."""
+    rec = F.struct(*[(F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
+                     for f in schema.fields])
     if codec == "avro":
         return _avro().to_avro(rec, avro_schema_json(schema))
     return F.encode(F.to_json(rec, JSON_OPTIONS), "UTF-8")
@@ -68,7 +70,7 @@ def frame_quotes(df: DataFrame, schemas: dict[int, T.StructType], schema_id_col:
     sid = F.col(schema_id_col)
     body = None
     for k, schema in sorted(schemas.items()):
-        enc = encode_body([f.name for f in schema.fields], schema, codec)
+        enc = encode_body(schema, set(df.columns), codec)
         body = F.when(sid == k, enc) if body is None else body.when(sid == k, enc)
     key = key if key is not None else F.expr("uuid()")
     return df.select(*(keep or []), key.cast("string").alias("key"), frame_value(sid, body).alias("value"))
