@@ -123,7 +123,8 @@ def typed_quotes(parsed: DataFrame) -> DataFrame:
     cast.  (A value that itself contains ``<ticker>_`` would be read without
     it; quote values are numbers, so this does not arise.)
     """
-    rec = parsed.withColumn("_rec", F.from_json(payload_json(F.col("content"), F.col("ticker")), FIELD_TEXT_SCHEMA))
+    rec = parsed.withColumn("_rec", F.from_json(payload_json(F.col("content"), F.col("ticker")), FIELD_TEXT_SCHEMA,
+                                                {"allowUnquotedControlChars": "true"}))
     txt = rec.withColumns({f"_t_{f}": clean_number(F.col("_rec").getField(f)) for f in QUOTE_NUMERIC_FIELDS})
     typed = txt.withColumns({f: F.col(f"_t_{f}").try_cast("double") for f in QUOTE_NUMERIC_FIELDS})
     bad = reduce(lambda a, b: a | b, [F.col(f"_t_{f}").isNotNull() & F.col(f).isNull() for f in QUOTE_NUMERIC_FIELDS])
