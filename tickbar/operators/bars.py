@@ -123,8 +123,10 @@ def to_daily_layout(bars: DataFrame) -> DataFrame:
 
 def write_bars(bars: DataFrame, path: str) -> None:
     """Idempotent upsert: dynamic partition overwrite by trade_date, so re-running a
-    day replaces that day's bars instead of appending a duplicate."""
-    (bars.select(*BAR_COLUMNS).repartition("trade_date")
+    day replaces that day's bars instead of appending a duplicate.  One date holds
+    one row per symbol (bounded by the symbol count); rows are sorted by symbol so
+    the Parquet min/max statistics let a per-symbol history read skip row groups."""
+    (bars.select(*BAR_COLUMNS).repartition("trade_date").sortWithinPartitions("trade_date", "symbol")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("trade_date").parquet(path))
 
