@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import BAR_COLUMNS, DAILY_TSV_SCHEMA, HISTORY_TSV_SCHEMA, QUOTE_FIELDS
+from ..schemas import BAR_COLUMNS
 
 SNAPSHOT_ORDER = ("trade_time", "msg_seq")
 
@@ -143,5 +143,4 @@ def bars_quality(bars: DataFrame) -> DataFrame:
 
 
 __all__ = ["latest_quote", "daily_bars", "symbols_missing", "history_union", "normalise_history",
-           "normalise_daily", "to_history_layout", "to_daily_layout", "write_bars", "bars_quality",
-           "HISTORY_TSV_SCHEMA", "DAILY_TSV_SCHEMA", "QUOTE_FIELDS"]
+           "normalise_daily", "to_history_layout", "to_daily_layout", "write_bars", "bars_quality"]

@@ -159,4 +159,4 @@ def quotes_from_content(items: DataFrame, trade_time=None, keep: tuple[str, ...]
 
 
 __all__ = ["feed_requests", "feed_request_grid", "feed_explode", "feed_union", "parse_payload", "parsed_map",
-           "typed_quotes", "stamp", "quotes_from_content", "KEY_AREAS"]
+           "typed_quotes", "stamp", "quotes_from_content", "parsed_entries", "payload_json"]

@@ -18,7 +18,7 @@ from ..operators import framing as FR
 from ..operators import history as H
 from ..operators import quotes as Q
 from ..operators.sequence import chunk_numbers, global_row_number
-from ..schemas import PUBLISH_BATCH_SIZE, QUOTE_NUMERIC_FIELDS
+from ..schemas import PUBLISH_BATCH_SIZE
 from ..session import scratch_path
 from ..sources import files as FS
 from ..sources.fixtures import FRAME_SCHEMAS, bars_v, frames_v, quotes_v, raw_v, symbols_v
@@ -446,4 +446,4 @@ def q_stream_dedup(spark, sf):
     return spark.read.parquet(out)
 
 
-__all__ = ["QUERIES", "QUOTE_NUMERIC_FIELDS"]
+__all__ = ["QUERIES"]

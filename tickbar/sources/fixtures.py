@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.framing import frame_quotes
 from ..operators.running import running_stats
-from ..schemas import KEY_AREAS, QUOTE_FIELDS, QUOTE_NUMERIC_FIELDS, quote_schema_for
+from ..schemas import KEY_AREAS, QUOTE_NUMERIC_FIELDS, quote_schema_for
 from .tables import read_table
 
 NO_DATA_SYMBOL = ("ZZZ", "zzz")
@@ -136,4 +136,4 @@ def frames_v(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["quotes_v", "bars_v", "symbols_v", "raw_v", "frames_v", "FRAME_SCHEMAS", "EXTRA_FIELDS",
-           "QUOTE_FIELDS", "key_area", "NO_DATA_SYMBOL"]
+           "key_area", "NO_DATA_SYMBOL"]
