@@ -14,14 +14,17 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
+    """Round-robin a scan that yields fewer splits than the available parallelism.
 
     A file written as one row group is read by one task, which would run every
     per-row operator downstream on one core.  A large table has far more splits
-    than cores and is returned unchanged (no shuffle is added at scale).
+    than cores and is returned unchanged (no shuffle is added at scale).  The
+    target is capped by ``spark.sql.shuffle.partitions`` so that a small table
+    on a large cluster is not cut into thousands of near-empty tasks.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    target = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
