@@ -23,7 +23,9 @@ def spread(df: DataFrame) -> DataFrame:
     on a large cluster is not cut into thousands of near-empty tasks.
     """
     spark = df.sparkSession
-    target = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cores = spark.sparkContext.defaultParallelism
+    setting = str(spark.conf.get("spark.sql.shuffle.partitions", str(cores)))
+    target = min(cores, int(setting)) if setting.isdigit() else cores
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
