@@ -12,15 +12,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def stream_daily_bars(quotes: DataFrame, delay: str = "1 hour", order: tuple[str, ...] = ("trade_time", "msg_seq")
-                      ) -> DataFrame:
+def stream_daily_bars(quotes: DataFrame, delay: str = "1 hour", order: tuple[str, ...] = ("trade_time", "msg_seq"),
+                      tz: str | None = None) -> DataFrame:
+    """Day windows follow the session's local midnight, not UTC midnight: the
+    window runs on the local wall clock (``from_utc_timestamp``, DST-aware per
+    row), and the date is read from the window start as epoch days, which does
+    not depend on any zone setting."""
+    tz = tz or quotes.sparkSession.conf.get("spark.sql.session.timeZone")
     snap = F.struct(F.col("open_price").alias("open"), F.col("max_price").alias("high"),
                     F.col("min_price").alias("low"), F.col("close_price").alias("close"),
                     F.col("traded_quantity").alias("volume"))
-    agg = (quotes.withWatermark("trade_time", delay)
-           .groupBy("symbol", F.window("trade_time", "1 day"))
+    agg = (quotes.withColumn("_local", F.from_utc_timestamp("trade_time", tz))
+           .withWatermark("_local", delay)
+           .groupBy("symbol", F.window("_local", "1 day"))
            .agg(F.max_by(snap, F.struct(*[F.col(c) for c in order])).alias("_b")))
-    return agg.select("symbol", F.to_date(F.col("window.start")).alias("trade_date"), "_b.open", "_b.high",
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / 86400).cast("int"))
+    return agg.select("symbol", day.alias("trade_date"), "_b.open", "_b.high",
                       "_b.low", "_b.close", F.col("_b.volume").try_cast("bigint").alias("volume"))
 
 
