@@ -321,7 +321,8 @@ def q_feed_explode(spark, sf):
 @register("feed_union")
 def q_feed_union(spark, sf):
     path = scratch_path(spark, "raw_landed")
-    raw_v(spark, sf).write.mode("overwrite").partitionBy("exchange_code", "key_area").parquet(path)
+    FS.clustered_for_write(raw_v(spark, sf), ["exchange_code", "key_area"]) \
+        .write.mode("overwrite").partitionBy("exchange_code", "key_area").parquet(path)
     landed = spark.read.parquet(path)
     parts = [Q.feed_explode(landed.where((F.col("exchange_code") == c) & (F.col("key_area") == a)),
                             keep=("exchange_code", "key_area", "response_id"))
