@@ -60,8 +60,7 @@ def q_symbols_missing(spark, sf):
 
 def _stage_quotes(spark, sf) -> str:
     path = scratch_path(spark, "quotes_staged")
-    q = FS.clustered_for_write(FR.partition_columns(quotes_v(spark, sf)), ["symbol", "year", "month", "day"],
-                               "trade_time")
+    q = FS.clustered_for_write(FR.partition_columns(quotes_v(spark, sf)), ["symbol", "year", "month", "day"])
     q.write.mode("overwrite").partitionBy("symbol", "year", "month", "day").parquet(path)
     return path
 

@@ -60,15 +60,14 @@ def symbols_pk_audit(df: DataFrame) -> DataFrame:
     return df.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
-def clustered_for_write(df: DataFrame, partition_cols: list[str], fine_col: str | None = None) -> DataFrame:
+def clustered_for_write(df: DataFrame, partition_cols: list[str]) -> DataFrame:
     """Rebalance on the table's partition columns before a partitioned write.
 
     The REBALANCE hint hash-partitions by the partition columns, so each
     partition value is written by few tasks (few files).  AQE then splits a
     skewed shuffle partition (a hot symbol-day) into several tasks and
     coalesces small ones.  Unlike range partitioning there is no sampling pass,
-    which would recompute the whole upstream plan once more.  ``fine_col`` is
-    kept for callers that pass the row order; the rebalance does not need it.
+    which would recompute the whole upstream plan once more.
     """
     return df.hint("rebalance", *partition_cols)
 

@@ -33,7 +33,7 @@ def stage_batch(batch: DataFrame, batch_id: int, sink_path: str, schemas: dict[i
         decoded = decode_by_schema(batch, schemas, ids, codec)
         good = decoded.where(F.col("_decoded") & F.col("symbol").isNotNull()).drop("_decoded")
         staged = partition_columns(good).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        (clustered_for_write(staged, PARTITION_COLS, "trade_time")
+        (clustered_for_write(staged, PARTITION_COLS)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITION_COLS, "batch").parquet(sink_path))
         if rejects_path is not None:
