@@ -9,7 +9,7 @@ from __future__ import annotations
 from itertools import combinations
 
 from ..functions.linalg import solve_sql
-from ..schemas import EXCHANGE_CODES, KEY_AREAS, PUBLISH_BATCH_SIZE, QUOTE_NUMERIC_FIELDS
+from ..schemas import EXCHANGE_CODES, EXCHANGE_NAME, KEY_AREAS, PUBLISH_BATCH_SIZE, QUOTE_NUMERIC_FIELDS
 from .catalog import (DAILY_CUT_START, HISTORY_CUT_END, PASSTHROUGH_SQL, RANGE_END, RANGE_START, SCAN_DAY)
 
 ORACLE: dict[str, str] = {}
@@ -30,7 +30,7 @@ _DERIVED = {
     "traded_quantity": "CAST(count(*) OVER d AS DOUBLE)",
 }
 QUOTES_V = ("quotes_v", (
-    "SELECT event_type AS symbol, 'HNX' AS exchange_name, ts AS trade_time, "
+    f"SELECT event_type AS symbol, '{EXCHANGE_NAME}' AS exchange_name, ts AS trade_time, "
     + ", ".join(f"{_DERIVED.get(f, 'CAST(NULL AS DOUBLE)')} AS {f}" for f in QUOTE_NUMERIC_FIELDS)
     + ", event_id AS msg_seq FROM events WINDOW d AS (PARTITION BY event_type, CAST(ts AS DATE) "
       "ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"))
@@ -295,7 +295,7 @@ reg("quotes_metadata", _with(FEED[:4], (
     "SELECT response_id, item_pos, unnest(range(len(m))) AS meta_pos, unnest(m) AS token FROM ("
     "SELECT response_id, item_pos, list_filter(body, lambda x: instr(x, '*') = 0) AS m FROM parsed "
     "WHERE has_pipe AND first_empty) a) b")))
-_GOOD = (f"SELECT response_id, CAST(item_pos AS INTEGER) AS item_pos, ticker AS symbol, 'HNX' AS exchange_name, "
+_GOOD = (f"SELECT response_id, CAST(item_pos AS INTEGER) AS item_pos, ticker AS symbol, '{EXCHANGE_NAME}' AS exchange_name, "
          f"fetched_at AS trade_time, {', '.join(QUOTE_NUMERIC_FIELDS)} FROM typed WHERE reject_reason IS NULL")
 reg("quotes_typed", _with(FEED, _GOOD))
 reg("quotes_stamp", _with(FEED + [("good", _GOOD)],

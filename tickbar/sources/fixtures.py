@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.framing import frame_quotes
 from ..operators.running import running_stats
-from ..schemas import KEY_AREAS, QUOTE_NUMERIC_FIELDS, quote_schema_for
+from ..schemas import EXCHANGE_NAME, KEY_AREAS, QUOTE_NUMERIC_FIELDS, quote_schema_for
 from .tables import read_table
 
 NO_DATA_SYMBOL = ("ZZZ", "zzz")
@@ -57,7 +57,7 @@ def quotes_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         "min_price": F.col("run_min"),
         "traded_quantity": F.col("run_count").cast("double"),
     }
-    cols = [F.col("symbol"), F.lit("HNX").alias("exchange_name"), F.col("trade_time")]
+    cols = [F.col("symbol"), F.lit(EXCHANGE_NAME).alias("exchange_name"), F.col("trade_time")]
     cols += [derived.get(f, F.lit(None).cast("double")).alias(f) for f in QUOTE_NUMERIC_FIELDS]
     return run.select(*cols, F.col("msg_seq"))
 
