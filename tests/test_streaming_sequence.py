@@ -31,3 +31,14 @@ def test_global_row_number(spark):
     assert all(r["seq"] == r["v"] + 1 for r in seq)
     chunks = chunk_numbers(global_row_number(df, ["v"]), "seq", 10).groupBy("batch_no").count().collect()
     assert len(chunks) == 100 and all(r["count"] == 10 for r in chunks)
+
+
+def test_global_row_number_hot_key(spark):
+    # 80% of rows share one leading key value; the tie-break column makes the order total
+    df = spark.range(0, 2000, 1, 6).select(
+        F.when(F.col("id") % 5 == 0, F.col("id")).otherwise(F.lit(-1)).alias("k"), F.col("id").alias("tie"))
+    rows = global_row_number(df, ["k", "tie"]).collect()
+    assert sorted(r["seq"] for r in rows) == list(range(1, 2001))
+    ordered = sorted(rows, key=lambda r: r["seq"])
+    keys = [(r["k"], r["tie"]) for r in ordered]
+    assert keys == sorted(keys)
