@@ -21,6 +21,7 @@ the end-of-text mark) become their single id, as the library does by default.
 from __future__ import annotations
 
 import json
+import re
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -31,12 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, fresh
+from .common import binaries, fresh, once
 
 CACHE_BYTES = 64 << 20
 CHUNK_MASK_BITS = 11  # chunks of about 2 KB
 MIN_CHUNK = 512
+MEMO_UNITS, MEMO_CHARS = 200_000, 48
 _FLUSH = 4 << 20
+_UNITS = re.compile(r" (?=\S)").split
 
 # The splitting pattern of this public byte-level vocabulary family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -73,9 +76,27 @@ class Vocabulary:
         for token, i in [*ranks.items(), *self.special.items()]:
             self.bytes_of[i] = token
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
+        self.memo: dict[str, list[int]] = {}
 
     def ids(self, piece: bytes) -> np.ndarray:
-        return self.coder.encode_to_numpy(piece.decode("utf-8"), disallowed_special=()).astype(np.int32)
+        """Token ids of plain text.
+
+        A space before a character that isn't white space always starts a pre-token, so the
+        units between such spaces are independent; those seen before come from a bounded memo.
+        """
+        first, *rest = _UNITS(piece.decode("utf-8"))
+        encode, memo = self.coder.encode_ordinary, self.memo
+        out = encode(first)
+        for unit in rest:
+            got = memo.get(unit)
+            if got is None:
+                got = encode(" " + unit)
+                if len(unit) <= MEMO_CHARS:
+                    if len(memo) >= MEMO_UNITS:
+                        memo.clear()
+                    memo[unit] = got
+            out += got
+        return np.array(out, np.int32)
 
     def segments(self, text: bytes) -> Iterator[tuple[bytes, int | None]]:
         """Stretches of plain text, each with the id of the added token that ends it."""
@@ -213,9 +234,15 @@ def _signature(name: str):
     return run
 
 
+def _vocabulary(spec) -> Vocabulary:
+    """The broadcast vocabulary, built once per worker."""
+    text = spec.value
+    return once(("vocabulary", xxhash.xxh3_128_hexdigest(text)), lambda: Vocabulary(text))
+
+
 def _encoder(spec, name: str, kept: list[str], cache_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ChunkEncoder(Vocabulary(spec.value), cache_bytes)
+        coder = ChunkEncoder(_vocabulary(spec), cache_bytes)
         for batch in batches:
             keep = batch.select(kept)
             runs: list[np.ndarray] = []
@@ -234,7 +261,7 @@ def _encoder(spec, name: str, kept: list[str], cache_bytes: int):
 
 def _decoder(spec, name: str, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = Vocabulary(spec.value).bytes_of
+        bytes_of = _vocabulary(spec).bytes_of
         for batch in batches:
             keep = batch.select(kept)
             texts: list[str] = []

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -114,5 +117,9 @@ def run_hashes(words: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     return mix(out)
 
 
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def once(key: tuple, build: Callable[[], Any]) -> Any:
+    """What `build` gives, made once in the life of a Python worker (tasks reuse workers)."""
+    store = sys.modules.setdefault("_tickbar_worker", types.ModuleType("_tickbar_worker")).__dict__
+    if key not in store:
+        store[key] = build()
+    return store[key]

@@ -11,7 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import (
+    bpe,
+    hilbert,
+    langid,
+    mixing,
+    permutation,
+    quality,
+    simhash,
+    substring,
+    vecgraph,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,3 +51,105 @@ def op9_bpe(spark, sf_dir):
     return bpe.decode(ids, path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(bpe.ids_text("ids"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+#: Target weights of the named sources; all others share the pool's weight.
+MIX_WEIGHTS = {"src0": 0.15, "src1": 0.10, "src2": 0.10, "src3": 0.05}
+MIX_OTHER, MIX_SEED = 0.60, 7
+
+
+@register
+def op3_mix(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_OTHER, seed=MIX_SEED)
+    return mixed.select("doc_id", "source", "copy_no", "n_copies", "shuffle_key")
+
+
+ORACLE["op3_mix"] = mixing.mix_sql(MIX_WEIGHTS, MIX_OTHER, MIX_SEED)
+
+
+@register
+def op2_warc(spark, sf_dir):
+    root = warc.archive_root(spark)
+    index = warc.write_archives(table(spark, sf_dir, "pages"), root)
+    read = warc.read_records(index, root)
+    return read.select("page_id", "payload_bytes",
+                       F.when(F.col("payload").isNotNull(), F.sha2("payload", 256)).otherwise(F.col("payload_digest"))
+                       .alias("payload_digest"), "record_type", "refers_to")
+
+
+ORACLE["op2_warc"] = f"""
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= {warc.MIN_REVISIT}
+                THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to FROM f"""
+
+
+SHARD_DIMENSIONS = [hilbert.Dimension("source"), hilbert.Dimension("lang"), hilbert.Dimension("n_chars", "log")]
+
+
+@register
+def op6_shard(spark, sf_dir):
+    placed = hilbert.shard(table(spark, sf_dir, "documents"), SHARD_DIMENSIONS, 8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+@register
+def op1_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+@register
+def op4_substring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    cut = substring.remove_repeats(docs, substring.find_repeats(docs), keep=["doc_id"], one_space=True)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
+@register
+def op5_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs), keep=["doc_id"])
+    return found.select("doc_id", (langid.fold("doc_id") == langid.HELD_OUT).alias("held_out"), "lang_pred", "score",
+                        "cross_entropy", "rejected")
+
+
+#: Label columns and their bad value.
+QUALITY_TARGETS = {"quality": 0, "toxic": 1}
+
+
+@register
+def op10_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    models = quality.fit(docs, table(spark, sf_dir, "labels"), QUALITY_TARGETS)
+    return quality.score(docs, models, QUALITY_TARGETS, keep=["doc_id"])
+
+
+@register
+def op7_vecgraph(spark, sf_dir):
+    return vecgraph.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+ORACLE["op7_vecgraph"] = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT reach.vec_id, links.v FROM reach JOIN links ON links.u = reach.other),
+least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+degree AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT l.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, l.component_id, l.vec_id = l.component_id AS kept
+FROM least l LEFT JOIN degree d ON d.u = l.vec_id"""
+
+
+@register
+def op8_permutation(spark, sf_dir):
+    return permutation.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
