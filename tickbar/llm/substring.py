@@ -131,7 +131,7 @@ def _locate(window: int, phrase: int):
                 out[0].append(run_hashes(words, window)[at].view(np.int64))
                 out[1].append(run_hashes(other, window, 1)[at].view(np.int64))
                 out[2].append(np.full(len(at), ids[i], np.int64))
-                out[3].append(np.full(len(at), int.from_bytes(seqs[i][:8], "little", signed=True), np.int64))
+                out[3].append(np.full(len(at), int.from_bytes(seqs[i][:8], "big", signed=True), np.int64))
                 out[4].append(at.astype(np.int32))
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out],
@@ -145,7 +145,7 @@ def _remove(window: int, text_at: int, told_at: int, kept: list[str], one_space:
         n = len(starts)
         decision = None
         if told:
-            tag = int.from_bytes(sequence_key(joined)[:8], "little", signed=True)
+            tag = int.from_bytes(sequence_key(joined)[:8], "big", signed=True)
             decision = next((t for t in told if t["tag"] == tag), None)
         if decision is None:
             return n, 0, joined if one_space else text
@@ -221,7 +221,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id
     later = found.join(first, (found["w1"] == first["x1"]) & (found["w2"] == first["x2"])).where("id > least")
     spans = later.groupBy("id", "tag").agg(F.collect_set("start").alias("starts")).select(
         "id", "tag", F.lit(False).alias("whole"), "starts")
-    tag = F.conv(F.hex(F.reverse(F.substring("seq", 1, 8))), 16, -10).cast("long")
+    tag = F.conv(F.hex(F.substring("seq", 1, 8)), 16, -10).cast("long")
     minima = heads.select(F.col("seq").alias("own"), F.col("id").alias("least"))
     copies = rows.join(minima, F.col("seq") == F.col("own")).where("id > least").select("id", tag.alias("tag")).distinct()
     copies = copies.select("id", "tag", F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("starts"))
