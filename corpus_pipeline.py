@@ -1,7 +1,8 @@
 """Corpus pipeline: the stages, in order, over the documents table.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
-Parquet and read again as the next stage's `docs`.
+Parquet and read again as the next stage's `docs`.  All but the last return the columns of
+`documents`.
 """
 
 from __future__ import annotations
@@ -9,20 +10,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbar.llm import bpe
+from tickbar.llm import bpe, mixing, quality, simhash, substring
 from tickbar.llm.common import scratch
-from tickbar.llm.queries import table, tokenizer_path
+from tickbar.llm.queries import MIX_OTHER, MIX_SEED, MIX_WEIGHTS, QUALITY_TARGETS, table, tokenizer_path
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier finds of low quality or toxic go."""
+    models = quality.fit(docs, table(spark, sf_dir, "labels"), QUALITY_TARGETS)
+    return quality.score(docs, models, QUALITY_TARGETS).where("keep").select(*docs.columns)
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest id."""
+    return simhash.keep_one(docs, shingle=3, radius=2)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words that stand in a document with a smaller id go; n_chars follows the text."""
+    cut = substring.remove_repeats(docs, substring.find_repeats(docs), kept_col="text")
+    return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long"))
+                          .otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated by their source's rate, and shuffled; a copy is a row of its own."""
+    return mixing.mix(docs, MIX_WEIGHTS, MIX_OTHER, seed=MIX_SEED).select(*docs.columns)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every remaining document, with their round trip checked."""
+    """Token ids of every remaining row, with the round trip checked."""
     path = tokenizer_path()
     both = bpe.decode(bpe.encode(docs, path, keep=["doc_id", "text", "lang", "source"]), path)
     return both.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
 
 
-STAGES = [("bpe encoding and decoding", encode_stage)]
+STAGES = [("quality classifier", quality_stage), ("simhash near-dedup", simhash_stage),
+          ("substring dedup", substring_stage), ("mixing sources", mix_stage), ("bpe", encode_stage)]
 
 ORACLE_SQL = None
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, fresh, once
+from .common import binaries, fresh, once, without
 
 CACHE_BYTES = 64 << 20
 CHUNK_MASK_BITS = 11  # chunks of about 2 KB
@@ -219,7 +219,7 @@ class ChunkEncoder:
         return np.concatenate(runs) if runs else np.zeros(0, np.int32)
 
 
-def _signature(name: str):
+def _signature(name: str, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = np.zeros(batch.num_rows, np.int64)
@@ -230,7 +230,7 @@ def _signature(name: str):
                         least = min(least, xxhash.xxh3_64_intdigest(text[a:b]) >> 1)
                         a = b
                     out[i] = least
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, "__signature"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, key])
     return run
 
 
@@ -240,7 +240,7 @@ def _vocabulary(spec) -> Vocabulary:
     return once(("vocabulary", xxhash.xxh3_128_hexdigest(text)), lambda: Vocabulary(text))
 
 
-def _encoder(spec, name: str, kept: list[str], cache_bytes: int):
+def _encoder(spec, name: str, kept: list[str], ids_col: str, cache_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = ChunkEncoder(_vocabulary(spec), cache_bytes)
         for batch in batches:
@@ -254,12 +254,12 @@ def _encoder(spec, name: str, kept: list[str], cache_bytes: int):
                     offsets = np.zeros(len(runs) + 1, np.int32)
                     np.cumsum([len(r) for r in runs], out=offsets[1:])
                     ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(runs)))
-                    yield pa.RecordBatch.from_arrays([*keep.slice(first, len(runs)).columns, ids], [*kept, "__ids"])
+                    yield pa.RecordBatch.from_arrays([*keep.slice(first, len(runs)).columns, ids], [*kept, ids_col])
                     runs, size, first = [], 0, i + 1
     return run
 
 
-def _decoder(spec, name: str, kept: list[str]):
+def _decoder(spec, name: str, kept: list[str], text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bytes_of = _vocabulary(spec).bytes_of
         for batch in batches:
@@ -274,7 +274,7 @@ def _decoder(spec, name: str, kept: list[str]):
                 size += 4 * len(own)
                 if size >= _FLUSH or i + 1 == batch.num_rows:
                     yield pa.RecordBatch.from_arrays(
-                        [*keep.slice(first, len(texts)).columns, pa.array(texts, pa.string())], [*kept, "__decoded"])
+                        [*keep.slice(first, len(texts)).columns, pa.array(texts, pa.string())], [*kept, text_col])
                     texts, size, first = [], 0, i + 1
     return run
 
@@ -292,21 +292,20 @@ def _with(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
 def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "ids",
            keep: list[str] | None = None, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """`keep` columns (default: all) of every row plus its token ids (array<int>, never null)."""
-    keep = docs.columns if keep is None else keep
-    alias = fresh(docs, "__text")
+    keep = without(docs.columns if keep is None else keep, ids_col)
+    alias, key = fresh(docs, "__text"), fresh(docs, "__signature")
     src = docs.select(*keep, F.col(text_col).alias(alias))
-    signed = src.mapInArrow(_signature(alias), _with(src.schema, "__signature", T.LongType()))
-    met = signed.hint("rebalance", "__signature")
-    schema = _with(docs.select(*keep).schema, "__ids", T.ArrayType(T.IntegerType()))
-    out = met.mapInArrow(_encoder(_spec(docs, vocabulary_path), alias, list(keep), cache_bytes), schema)
-    return out.withColumnRenamed("__ids", ids_col)
+    signed = src.mapInArrow(_signature(alias, key), _with(src.schema, key, T.LongType()))
+    schema = _with(docs.select(*keep).schema, ids_col, T.ArrayType(T.IntegerType()))
+    coder = _encoder(_spec(docs, vocabulary_path), alias, keep, ids_col, cache_bytes)
+    return signed.hint("rebalance", key).mapInArrow(coder, schema)
 
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """All columns of `encoded` plus the decoded text."""
-    out = encoded.mapInArrow(_decoder(_spec(encoded, vocabulary_path), ids_col, encoded.columns),
-                             _with(encoded.schema, "__decoded", T.StringType()))
-    return out.withColumnRenamed("__decoded", text_col)
+    keep = without(encoded.columns, text_col)
+    return encoded.mapInArrow(_decoder(_spec(encoded, vocabulary_path), ids_col, keep, text_col),
+                              _with(encoded.select(*keep).schema, text_col, T.StringType()))
 
 
 def ids_text(col: Column | str) -> Column:

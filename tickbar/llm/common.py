@@ -37,6 +37,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def without(columns: list[str], *names: str) -> list[str]:
+    """The columns but for those that an operator's own output columns replace."""
+    own = {n.lower() for n in names}
+    return [c for c in columns if c.lower() not in own]
+
+
 def id_rank(col: Column) -> Column:
     """Comparable id: null ids come after all others."""
     return F.coalesce(col.cast("long"), F.lit((1 << 63) - 1))

@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, without
 
 MAX_MEAN = 16.0  # a larger rate is a sum of independent Poisson counts of at most this mean
 TERMS = 96       # of the distribution function; beyond them lies less than 2**-52 for that mean
@@ -74,6 +74,8 @@ def replicate(docs: DataFrame, weights: dict[str, float], other_weight: float, b
               text_col: str = "text", copy_col: str = "copy_no", copies_col: str = "n_copies",
               key_col: str = "shuffle_key") -> DataFrame:
     """Every copy of every document: all columns plus copy number (from 1), copies, and shuffle key."""
+    docs_cols = without(docs.columns, copy_col, copies_col, key_col)
+    docs = docs.select(*docs_cols)
     bucket, joined = fresh(docs, "__bucket"), fresh(docs, "__joined")
     cdf, parts = fresh(docs, "__cdf"), fresh(docs, "__parts")
     pool = rates(docs, weights, other_weight, by, epochs, source_col, text_col)
@@ -89,7 +91,7 @@ def replicate(docs: DataFrame, weights: dict[str, float], other_weight: float, b
             .withColumn(key_col, F.md5(F.concat_ws(":", F.lit(f"shuffle {seed}"),
                                                    F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
                                                    F.col(copy_col).cast("string"))))
-            .select(*docs.columns, copy_col, copies_col, key_col))
+            .select(*docs_cols, copy_col, copies_col, key_col))
 
 
 def mix(docs: DataFrame, weights: dict[str, float], other_weight: float, **options) -> DataFrame:

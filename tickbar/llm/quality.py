@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, lower_ascii, word_hashes
+from .common import binaries, lower_ascii, without, word_hashes
 
 TRAIN_ROWS = 12_000
 POOL_ROWS = 4_000
@@ -257,7 +257,7 @@ def score(docs: DataFrame, models: dict, targets: dict[str, int], text_col: str
           lang_col: str = "lang", chars_col: str = "n_chars", keep: list[str] | None = None, prefix: str = "p_",
           keep_col: str = "keep") -> DataFrame:
     """`keep` columns (default: all) plus p_<target> (probability of 1) and whether the document stays."""
-    keep = docs.columns if keep is None else keep
+    keep = without(docs.columns if keep is None else keep, keep_col, *[prefix + t for t in targets])
     names = [f"__k{i}" for i in range(len(keep))]
     src = _views(docs, [F.col(c).alias(n) for c, n in zip(keep, names)], text_col, source_col, lang_col, chars_col)
     schema = T.StructType([*src.select(*names).schema.fields,

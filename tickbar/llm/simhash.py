@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, fresh, id_rank, lower_ascii, scratch, word_bounds
+from .common import binaries, fresh, id_rank, lower_ascii, scratch, without, word_bounds
 from .components import connected_components
 
 SEED = 42
@@ -58,23 +58,23 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     return int(set_.view("<u8")[0])
 
 
-def _fingerprints(name: str, kept: int, shingle: int):
+def _fingerprints(name: str, kept: int, shingle: int, fp_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t, shingle) for t in binaries(batch, name)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(fps.view(np.int64))],
-                                             [*batch.schema.names[:kept], "__fp"])
+                                             [*batch.schema.names[:kept], fp_col])
     return run
 
 
 def with_fingerprint(docs: DataFrame, fp_col: str, shingle: int = 3, text_col: str = "text",
                      keep: list[str] | None = None) -> DataFrame:
     """`keep` columns (default: all) of every row plus its fingerprint as a signed long."""
-    keep = docs.columns if keep is None else keep
+    keep = without(docs.columns if keep is None else keep, fp_col)
     alias = fresh(docs, "__text")
     src = docs.select(*keep, F.col(text_col).alias(alias))
-    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("__fp", T.LongType())])
-    return src.mapInArrow(_fingerprints(alias, len(keep), shingle), schema).withColumnRenamed("__fp", fp_col)
+    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField(fp_col, T.LongType())])
+    return src.mapInArrow(_fingerprints(alias, len(keep), shingle, fp_col), schema)
 
 
 def _tile(fp: Column, radius: int) -> Column:

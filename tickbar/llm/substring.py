@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, fresh, id_rank, run_hashes, scratch, word_bounds, word_hashes
+from .common import binaries, fresh, id_rank, run_hashes, scratch, without, word_bounds, word_hashes
 
 WINDOW = 50
 PHRASE = 10
@@ -139,7 +139,7 @@ def _locate(window: int, phrase: int):
     return run
 
 
-def _remove(window: int, text_at: int, told_at: int, kept: list[str], one_space: bool):
+def _remove(window: int, text_at: int, told_at: int, kept: list[str], own: list[str], one_space: bool):
     def cut(text: bytes, told: list[dict] | None) -> tuple[int, int, bytes]:
         joined, starts, stops = joined_words(text)
         n = len(starts)
@@ -176,7 +176,7 @@ def _remove(window: int, text_at: int, told_at: int, kept: list[str], one_space:
                 [*[batch.column(batch.schema.get_field_index(c)) for c in kept], pa.array([r[0] for r in rows], pa.int64()),
                  pa.array([r[1] for r in rows], pa.int64()),
                  pa.array([r[2] for r in rows], pa.binary()).cast(pa.string())],
-                [*kept, "__n", "__removed", "__kept"])
+                [*kept, *own])
     return run
 
 
@@ -236,12 +236,12 @@ def remove_repeats(docs: DataFrame, repeats: DataFrame, window: int = WINDOW, id
 
     With `one_space` the words left are joined by one space; else their own separators stay.
     """
-    keep = [c for c in docs.columns if c != text_col] if keep is None else keep
-    text, rank, told = (fresh(docs, c) for c in ("__text", "__rank", "__told"))
+    keep = without([c for c in docs.columns if c != text_col] if keep is None else keep, n_col, removed_col, kept_col)
+    text, rank, told, key = (fresh(docs, c) for c in ("__text", "__rank", "__told", "__key"))
     src = docs.select(*keep, F.col(text_col).alias(text), id_rank(F.col(id_col)).alias(rank))
-    met = src.join(repeats.select(F.col("id").alias("__id"), F.col("told").alias(told)), F.col(rank) == F.col("__id"), "left")
+    met = src.join(repeats.select(F.col("id").alias(key), F.col("told").alias(told)), F.col(rank) == F.col(key), "left")
     met = met.select(*keep, text, told)
-    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("__n", T.LongType()),
-                           T.StructField("__removed", T.LongType()), T.StructField("__kept", T.StringType())])
-    out = met.mapInArrow(_remove(window, len(keep), len(keep) + 1, list(keep), one_space), schema)
-    return out.withColumnsRenamed({"__n": n_col, "__removed": removed_col, "__kept": kept_col})
+    own = [n_col, removed_col, kept_col]
+    schema = T.StructType([*docs.select(*keep).schema.fields, *[T.StructField(c, t) for c, t in zip(
+        own, (T.LongType(), T.LongType(), T.StringType()))]])
+    return met.mapInArrow(_remove(window, len(keep), len(keep) + 1, keep, own, one_space), schema)
