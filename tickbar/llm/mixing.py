@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, without
@@ -57,9 +57,10 @@ def rates(docs: DataFrame, weights: dict[str, float], other_weight: float, by: s
     weight = F.lit(float(other_weight))
     for name, w in weights.items():
         weight = F.when(F.col("bucket") == name, float(w)).otherwise(weight)
-    mass = mass.withColumn("weight", weight)
-    total = mass.agg(F.sum("mass").alias("total"), F.sum("weight").alias("weights"))
-    return mass.crossJoin(F.broadcast(total)).select(  # one row
+    every = Window.partitionBy(F.lit(0))  # a row per bucket, at most one more than there are weights
+    mass = mass.withColumn("weight", weight).withColumns(
+        {"total": F.sum("mass").over(every), "weights": F.sum("weight").over(every)})
+    return mass.select(
         "bucket", "mass",
         F.when(F.col("weights") > 0, F.col("weight") / F.col("weights") * F.col("total") * F.lit(float(epochs))
                / F.col("mass")).otherwise(F.lit(0.0)).alias("rate"))
