@@ -13,6 +13,9 @@ def spark():
 
     s = build_session(master="local[*]", shuffle_partitions=8)  # checkpoint dir created only if unset
     yield s
+    from tickbar.session import drop_scratch
+
+    drop_scratch(s)
     s.stop()
 
 

@@ -3,6 +3,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickbar.operators import bars as B
 from tickbar.sources import files as FS
@@ -45,7 +46,8 @@ def test_history_union_prefers_daily(spark):
                               "symbol string, trade_date date, open double, high double, low double, close double, volume long")
     d = spark.createDataFrame([("A", dt.date(2024, 1, 2), 9.0, 9.0, 9.0, 9.0, None)], h.schema)
     out = {r["trade_date"]: r for r in B.history_union(h, d).collect()}
-    assert len(out) == 2 and out[dt.date(2024, 1, 2)]["open"] == 9.0 and out[dt.date(2024, 1, 2)]["volume"] is None
+    assert len(out) == 2 and out[dt.date(2024, 1, 2)]["open"] == 9.0
+    assert out[dt.date(2024, 1, 2)]["volume"] == 10  # a null of the daily source doesn't hide a known volume
 
 
 def test_upsert_is_idempotent(spark, tmp_dir):
@@ -57,6 +59,28 @@ def test_upsert_is_idempotent(spark, tmp_dir):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_upsert_keeps_other_symbols_and_newer_snapshots(spark, tmp_dir):
+    schema = "symbol string, trade_date date, open double, high double, low double, close double, volume long, seq long"
+    day, other = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    row = lambda s, d, close, seq: (s, d, 1.0, 2.0, 0.5, close, 10, seq)
+    path = f"{tmp_dir}/bars"
+    B.write_bars(spark.createDataFrame([row("A", day, 1.0, 1), row("B", day, 2.0, 1), row("A", other, 3.0, 1)], schema), path)
+    B.write_bars(spark.createDataFrame([row("A", day, 9.0, 2), row("C", day, 4.0, 2)], schema), path)
+    got = {(r["symbol"], r["trade_date"]): r["close"] for r in spark.read.parquet(path).collect()}
+    assert got == {("A", day): 9.0, ("B", day): 2.0, ("C", day): 4.0, ("A", other): 3.0}
+    path = f"{tmp_dir}/ordered"
+    for part in ([row("A", day, 5.0, 7), row("B", day, 1.0, 1)], [row("A", day, 4.0, 3), row("B", day, 2.0, 2)]):
+        B.write_bars(spark.createDataFrame(part, schema), path, order=("seq",))
+    assert {r["symbol"]: r["close"] for r in spark.read.parquet(path).collect()} == {"A": 5.0, "B": 2.0}
+
+
+def test_layout_aliases_and_exact_volume(spark):
+    d = spark.createDataFrame([(0, dt.date(2024, 1, 1), 1.0, 2.0, 3.0, 0.5, "9007199254740993", "ABC")],
+                              "index long, Date date, Open double, Close double, Max double, Min double, Vol string, ticker string")
+    out = B.normalise_daily(d, "ticker")
+    assert out.columns[0] == "symbol" and out.collect()[0]["volume"] == 9007199254740993
+
+
 def test_tsv_layouts(spark, tmp_dir):
     p = f"{tmp_dir}/dht.tsv"
     with open(p, "w") as f:
@@ -83,7 +107,11 @@ def test_partition_scan_single_digit_month(spark, tmp_dir):
 
     q = _quotes(spark, [("ABC", "2024-01-05 09:00:00", 1, 1.0, 1.0, 1.0, 1.0, 1.0),
                         ("ABC", "2024-11-05 09:00:00", 2, 1.0, 1.0, 1.0, 1.0, 1.0)])
-    partition_columns(q).write.partitionBy("symbol", "year", "month", "day").parquet(f"{tmp_dir}/q")
-    t = spark.read.parquet(f"{tmp_dir}/q").where("year = 2024 AND month = 1 AND day = 5")
+    partition_columns(q).write.partitionBy("year", "month", "day").parquet(f"{tmp_dir}/q")
+    schema = T.StructType([*q.schema.fields, *[T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")]])
+    t = B.for_day(FS.read_partitioned_quotes(spark, f"{tmp_dir}/q", schema), "2024-01-05")
     assert [r["msg_seq"] for r in t.collect()] == [1]
-    assert "PartitionFilters" in t._jdf.queryExecution().executedPlan().toString() or t.count() == 1
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert all(c in filters for c in ("year", "month", "day"))
+    assert "trade_time" in plan.split("PushedFilters: [")[1].split("]")[0]

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import types as T
 
-from tickbar.operators.framing import avro_schema_json
+from tickbar.operators.framing import avro_schema_json, struct_from_avro
 from tickbar.schemas import QUOTE_SCHEMA
 from tickbar.sources import files as FS
 
@@ -22,7 +22,9 @@ def test_avro_writer_schema():
     doc = json.loads(avro_schema_json(QUOTE_SCHEMA))
     assert doc["type"] == "record" and len(doc["fields"]) == 30
     f = {x["name"]: x["type"] for x in doc["fields"]}
-    assert f["symbol"] == ["null", "string"] and f["last_price"] == ["null", "double"]
-    assert f["trade_time"][1] == {"type": "long", "logicalType": "timestamp-micros"}
+    assert f["symbol"] == "string" and f["exchange_name"] == "string"  # required: no union, no branch byte
+    assert f["trade_time"] == {"type": "long", "logicalType": "timestamp-micros"}
+    assert f["last_price"] == ["null", "double"]
+    assert struct_from_avro(avro_schema_json(QUOTE_SCHEMA)) == QUOTE_SCHEMA
     extra = T.StructType(list(QUOTE_SCHEMA.fields) + [T.StructField("lot_size", T.DoubleType())])
     assert len(json.loads(avro_schema_json(extra))["fields"]) == 31

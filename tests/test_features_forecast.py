@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tickbar.operators import features as FE
 from tickbar.operators import forecast as FC
@@ -51,7 +52,7 @@ def _closes(n, seed=7):
 
 def test_ar_walkforward_matches_numpy(spark):
     closes = _closes(80)
-    got = {r["trade_date"]: r["prediction_raw"] for r in FC.ar_walkforward(_series(spark, closes)).collect()}
+    got = {r["trade_date"]: r["prediction_raw"] for r in FC.ar_walkforward(_series(spark, closes), tick=0.01).collect()}
     y = np.round(np.array(closes) * 100)
     dy = np.diff(y, prepend=np.nan)
     n = len(y)
@@ -67,7 +68,7 @@ def test_ar_walkforward_matches_numpy(spark):
 
 def test_lag_ols_matches_numpy(spark):
     closes = _closes(60, seed=3)
-    got = {r["trade_date"]: r["prediction_raw"] for r in FC.lag_ols(_series(spark, closes)).collect()}
+    got = {r["trade_date"]: r["prediction_raw"] for r in FC.lag_ols(_series(spark, closes), tick=0.01).collect()}
     y = np.round(np.array(closes) * 100)
     n, train_len = len(y), math.ceil(0.9 * len(y))
     X = np.array([[1.0] + [y[s - i] for i in range(1, 6)] for s in range(5, train_len)])
@@ -78,6 +79,43 @@ def test_lag_ols_matches_numpy(spark):
         assert abs(got[start + dt.timedelta(days=t)] - pred) < 1e-4
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e-4, 4e5])
+def test_raw_prices_match_numpy(spark, scale):
+    """No tick: sub-cent moves are seen, and large prices don't overflow."""
+    closes = [c * scale for c in _closes(80)]
+    wide = {r["trade_date"]: r for r in FC.predictions(_series(spark, closes)).collect()}
+    y, n = np.array(closes), 80
+    train_len, start, dy = math.ceil(0.9 * 80), dt.date(2020, 1, 1), np.diff(np.array(closes), prepend=np.nan)
+    x = np.array([[1.0] + [y[s - i] for i in range(1, 6)] for s in range(5, train_len)])
+    mid = y[:train_len].mean()
+    c = np.linalg.lstsq(np.column_stack((x[:, :1], x[:, 1:] - mid)), y[5:train_len] - mid, rcond=None)[0]
+    for t in range(train_len, n):
+        r = wide[start + dt.timedelta(days=t)]
+        lag = np.array([[dy[s - i] for i in range(1, 6)] for s in range(6, t)])
+        phi = np.linalg.lstsq(lag, dy[6:t], rcond=None)[0]
+        assert r["pred_ar5"] == pytest.approx(y[t - 1] + phi @ np.array([dy[t - i] for i in range(1, 6)]), rel=1e-7)
+        assert r["pred_lag_ols"] == pytest.approx(mid + c @ np.array([1.0] + [y[t - i] - mid for i in range(1, 6)]), rel=1e-7)
+
+
+@pytest.mark.parametrize("tick", [None, 0.01])
+def test_large_prices_do_not_overflow(spark, tick):
+    big = _series(spark, [4.0e7 + c for c in _closes(60)])
+    assert all(r["pred_lag_ols"] is not None and r["pred_ar5"] is not None for r in FC.predictions(big, tick=tick).collect())
+
+
+def test_missing_predictions_are_not_counted(spark):
+    r = FC.rmse(FC.predictions(_series(spark, [5.0] * 30))).collect()
+    assert {(x["model"], x["n_valid"], x["rmse_raw"]) for x in r} == {("ar5", 0, None), ("lag_ols", 0, None)}
+
+
+def test_mllib_keeps_rows_with_gaps(spark):
+    closes = _closes(60)
+    b = _series(spark, closes)
+    gap = b.withColumn("close", F.when(F.col("trade_date") != dt.date(2020, 1, 1) + dt.timedelta(days=56), F.col("close")))
+    got = FC.lag_mllib(gap).collect()
+    assert len(got) == 6 and sum(r["prediction_raw"] is None for r in got) == 4
+
+
 def test_short_and_constant_series(spark):
     assert FC.ar_walkforward(_series(spark, [1.0] * 9)).count() == 0
     const = FC.ar_walkforward(_series(spark, [5.0] * 30)).collect()
@@ -86,10 +124,10 @@ def test_short_and_constant_series(spark):
 
 def test_rmse_and_comparison(spark):
     b = _series(spark, _closes(50)).unionByName(_series(spark, _closes(50, seed=9), symbol="B"))
-    r1, r2 = FC.rmse(FC.ar_walkforward(b), "ar5"), FC.rmse(FC.lag_ols(b), "lag_ols")
-    cmp = FC.model_comparison([r1, r2]).collect()
+    both = FC.predictions(b)
+    cmp = FC.model_comparison(FC.rmse(both)).collect()
     assert sorted((r["symbol"], r["rank"]) for r in cmp) == [("A", 1), ("A", 2), ("B", 1), ("B", 2)]
-    rep = FC.rmse_report(r1).collect()
+    rep = FC.rmse_report(FC.rmse(both)).collect()
     assert all(r["report"].startswith("Test RMSE: ") for r in rep)
-    last = FC.forecast_last(FC.ar_walkforward(b), "ar5").collect()
+    last = FC.forecast_last(both).collect()
     assert {r["trade_date"] for r in last} == {dt.date(2020, 1, 1) + dt.timedelta(days=49)}

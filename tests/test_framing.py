@@ -24,24 +24,34 @@ def test_header_and_round_trip(spark):
 
 
 def test_decode_by_schema_merges_columns(spark):
-    u = FR.unframe(_frames(spark, [1, 2, 1, 2]))
-    d = FR.decode_by_schema(u, {1: S1, 2: S2}).orderBy("key").collect()
+    d = FR.decode_by_schema(_frames(spark, [1, 2, 1, 2]), {1: S1, 2: S2}).orderBy("key").collect()
     assert [r["lot_size"] for r in d] == [None, 100.0, None, 100.0]
     assert [r["last_price"] for r in d] == [0.0, 1.0, 2.0, 3.0]
 
 
-def test_unknown_id_raises(spark):
-    u = FR.unframe(_frames(spark, [1, 258]))
-    with pytest.raises(KeyError):
-        FR.decode_by_schema(u, {1: S1})
-
-
-def test_empty_and_malformed_body(spark):
-    raw = spark.createDataFrame([("a", bytes([0, 0, 0, 0, 1])), ("b", bytes([0, 0, 0, 0, 1]) + b"{not json")],
-                                "key string, value binary")
-    d = {r["key"]: r for r in FR.decode_by_schema(FR.unframe(raw), {1: S1}).collect()}
-    assert d["a"]["symbol"] is None and d["b"]["symbol"] is None
-    assert FR.unframe(raw).where("key = 'a'").collect()[0]["payload"] == bytearray()
+def test_unknown_id(spark):
+    f = _frames(spark, [1, 258])
+    d = {r["key"]: r["reason"] for r in FR.decode_by_schema(f, {1: S1}).collect()}
+    assert d == {"0": None, "1": "unknown_schema"}
+    with pytest.raises(Exception, match="no writer schema registered for id 258"):
+        FR.decode_by_schema(f, {1: S1}, unknown="raise").collect()
+
+
+def test_damaged_frames_are_told_apart(spark):
+    need = T.StructType([T.StructField("symbol", T.StringType(), False), *S1.fields[1:], T.StructField("trade_time", T.TimestampType())])
+    head = bytes([0, 0, 0, 0, 1])
+    rows = [("ok", head + b'{"symbol":"S","last_price":1.5}'), ("none", None), ("short", b"\0\0"), ("header", head[:4]),
+            ("empty", head), ("magic", b"\1" + head[1:] + b'{"symbol":"S"}'), ("json", head + b"{not json"), ("text", head + b"not json"),
+            ("type", head + b'{"symbol":"S","last_price":"abc"}'), ("time", head + b'{"symbol":"S","trade_time":"soon"}'),
+            ("null", head + b'{"last_price":1.0}'), ("blank", head + b'{"symbol":""}'), ("utf8", head + b"\xff\xfe{")]
+    raw = spark.createDataFrame(rows, "key string, value binary")
+    d = {r["key"]: r for r in FR.decode_by_schema(raw, {1: need}).collect()}
+    assert {k: r["reason"] for k, r in d.items()} == {
+        "ok": None, "none": "short_frame", "short": "short_frame", "header": "short_frame", "empty": "bad_body",
+        "magic": "bad_magic", "json": "bad_body", "text": "bad_body", "type": "bad_body", "time": "bad_body",
+        "null": "missing_field", "blank": "missing_field", "utf8": "bad_body"}
+    assert all(d[k]["value"] == v for k, v in rows)
+    assert FR.unframe(raw).where("key = 'empty'").collect()[0]["payload"] == bytearray()
 
 
 def test_partition_columns_padded(spark):

@@ -7,7 +7,7 @@ from tickbar.operators import quotes as Q
 from tickbar.schemas import QUOTE_NUMERIC_FIELDS
 
 NAMES = QUOTE_NUMERIC_FIELDS[:6] + ["foo", "bar_baz", 'q"x', "b\\s"]
-VALUES = ["", "1", "12.5", "1,234", "-3.25", "0", "7,000.5", "n/a", "x1", "1e3"]
+VALUES = ["", "1", "12.5", "1,234", "-3.25", "0", "7,000.5", "n/a", "x1", "1e3", "12.5f", "12d", "ABC_5", ".5", "+7.", "-"]
 
 
 def expected(content):

@@ -25,6 +25,7 @@ def test_no_cartesian_no_python(plans, name):
     p = plans[name]
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+    assert "RoundRobinPartitioning" not in p
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -37,6 +38,21 @@ def test_scans_are_pruned(plans, name):
             assert len([c for c in schema.split(",") if c]) <= 5, (name, schema)
 
 
+def test_one_scan_for_both_models(plans):
+    assert plans["model_comparison"].count("FileScan") == 1
+    assert plans["rmse_report"].count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", ["chart_candles_range", "corr_matrix_range", "bars_last_week_as_of"])
+def test_ranges_reach_the_scan(plans, name):
+    filters = plans[name].split("PushedFilters: [")[1].split("]")[0]
+    assert "o_orderdate" in filters.replace("IsNotNull(o_orderdate)", "")
+
+
+def test_one_symbol_reaches_the_scan(plans):
+    assert "EqualTo(o_orderpriority" in plans["history_one_symbol"]
+
+
 def test_daily_bars_aggregates_before_its_shuffle(plans):
     p = plans["daily_bars"]
     # the symbol restriction is a semi join above the arg-max, never a join under it

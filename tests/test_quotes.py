@@ -30,9 +30,12 @@ def test_normal_comma_empty_duplicate(spark):
 
 
 def test_rejects(spark):
-    good, bad = _typed(spark, ["nothing", "x|ABC|ABC_LAST_PRICE*1*f", "|ABC|ABC_LAST_PRICE*n/a*f|", None])
+    good, bad = _typed(spark, ["nothing", "x|ABC|ABC_LAST_PRICE*1*f", "|ABC|ABC_LAST_PRICE*n/a*f|", None,
+                               "||ABC_LAST_PRICE*1*f|", "|", "|ABC|ABC_LAST_PRICE*12.5f*f|", "|ABC|ABC_LAST_PRICE*12d*f|",
+                               "|ABC|ABC_LAST_PRICE*ABC_5*f|"])
     assert not good
-    assert bad == {0: "no_pipe", 1: "bad_frame", 2: "bad_number", 3: "null_content"}
+    assert bad == {0: "no_pipe", 1: "bad_frame", 2: "bad_number", 3: "null_content", 4: "missing_symbol",
+                   5: "missing_symbol", 6: "bad_number", 7: "bad_number", 8: "bad_number"}
 
 
 def test_metadata_and_trailing_pipe(spark):

@@ -30,6 +30,13 @@ def test_running_stats_equals_plain_window(spark):
     assert g == e
 
 
+def test_running_stats_keep_null_keys(spark):
+    rows = [(None, dt.datetime(2024, 1, 1), 1, 2.0), (None, dt.datetime(2024, 1, 1), 2, 5.0), ("A", None, 3, 1.0)]
+    df = spark.createDataFrame(rows, "symbol string, trade_time timestamp, msg_seq long, value double")
+    got = {r["msg_seq"]: (r["run_max"], r["run_count"]) for r in running_stats(df, ["symbol"], "trade_time", "msg_seq", "value").collect()}
+    assert got == {1: (2.0, 1), 2: (5.0, 2), 3: (1.0, 1)}
+
+
 def test_bars_quality_flags(spark):
     rows = [("DHT", dt.date(2015, 1, 5), 10.0, 9.5, 9.0, 9.8, 100),    # Max below Open
             ("HAT", dt.date(2012, 3, 1), 10.0, 12.0, 10.5, 10.2, 50),  # Min above Open and Close

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tickbar.streaming.bars_stream import stream_daily_bars
+from tickbar.streaming.bars_stream import start_daily_bars
 
 
 def test_day_window_in_session_zone(spark, tmp_dir):
@@ -21,11 +21,9 @@ def test_day_window_in_session_zone(spark, tmp_dir):
         src, out, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
         df.write.parquet(src)
         stream = spark.readStream.schema(df.schema).parquet(src)
-        q = (stream_daily_bars(stream).writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
-        q.awaitTermination()
+        start_daily_bars(stream, out, ckpt, available_now=True).awaitTermination()
         got = {r["trade_date"]: r for r in spark.read.parquet(out).collect()}
-        assert set(got) == {dt.date(2024, 1, 2)}
+        assert set(got) == {dt.date(2024, 1, 2), dt.date(2024, 1, 4)}
         assert got[dt.date(2024, 1, 2)]["close"] == 11.5 and got[dt.date(2024, 1, 2)]["volume"] == 9
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)

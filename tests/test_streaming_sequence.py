@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from tickbar.operators import framing as FR
 from tickbar.operators.sequence import chunk_numbers, global_row_number
-from tickbar.sources.fixtures import FRAME_SCHEMAS, frames_v
+from tickbar.operators import bars as B
+from tickbar.sources.fixtures import BAD_FRAMES, FRAME_SCHEMAS, bad_frames_v, frames_v, quotes_v
+from tickbar.streaming import bars_stream as BS
 from tickbar.streaming import staging as ST
 
 SMOKE = "/root/testdata/sf0.001"
@@ -19,9 +21,60 @@ def test_stream_stage_matches_batch_and_is_idempotent(spark, tmp_dir):
         q.awaitTermination()
     staged = ST.staged_schema(FRAME_SCHEMAS)
     got = spark.read.schema(staged).parquet(sink).drop("batch", "year", "month", "day")
-    batch = FR.decode_by_schema(FR.unframe(spark.read.parquet(topic)), FRAME_SCHEMAS).where("_decoded").drop("_decoded")
+    batch = FR.decode_by_schema(spark.read.parquet(topic), FRAME_SCHEMAS).where("reason IS NULL").drop("value", "reason")
     assert got.count() == batch.count() == 1000
     assert got.select(*sorted(batch.columns)).exceptAll(batch.select(*sorted(batch.columns))).count() == 0
+    assert ST.read_rejects(spark, sink).count() == 0
+    ST.compact_staged(spark, sink, f"{tmp_dir}/compact", FRAME_SCHEMAS)
+    compact = spark.read.schema(staged).parquet(f"{tmp_dir}/compact")
+    assert compact.select(*sorted(batch.columns)).exceptAll(batch.select(*sorted(batch.columns))).count() == 0
+    assert compact.count() == 1000
+
+
+def test_damaged_frames_do_not_stop_the_stream(spark, tmp_dir):
+    topic, sink, ckpt = f"{tmp_dir}/topic", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
+    frames = bad_frames_v(spark, SMOKE)
+    frames.write.parquet(topic)
+    ST.start_staging(ST.framed_stream(spark, "parquet", path=topic), sink, ckpt, FRAME_SCHEMAS,
+                     available_now=True).awaitTermination()
+    assert spark.read.schema(ST.staged_schema(FRAME_SCHEMAS)).parquet(sink).count() == 1000
+    bad = ST.read_rejects(spark, sink)
+    assert set(r["reason"] for r in bad.select("reason").distinct().collect()) == set(BAD_FRAMES)
+    raw = frames.where("key LIKE 'bad-%'")
+    assert bad.select("key", "value").exceptAll(raw).count() == 0 and bad.count() == raw.count()  # replayable
+
+
+def _shuffled_stream(spark, path, df, files=4):
+    for i in range(files):  # out of order by days: every file holds rows of every day
+        df.where(F.pmod(F.xxhash64("msg_seq"), F.lit(files)) == i).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_streamed_bars_over_shuffled_batches_equal_batch_bars(spark, tmp_dir):
+    quotes = quotes_v(spark, "/root/testdata/sf0.01")
+    out = f"{tmp_dir}/bars"
+    q = BS.start_daily_bars(_shuffled_stream(spark, f"{tmp_dir}/src", quotes), out, f"{tmp_dir}/ckpt", available_now=True)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 4
+    want = B.daily_bars(quotes)
+    got = spark.read.parquet(out).select(*want.columns)
+    assert got.count() == want.count() == 150
+    assert got.exceptAll(want).count() == 0
+
+
+def test_streamed_dedup_over_shuffled_batches_keeps_every_key_once(spark, tmp_dir):
+    quotes = quotes_v(spark, SMOKE).select(F.col("msg_seq").cast("string").alias("key"), "symbol", "trade_time", "msg_seq")
+    twice = quotes.unionAll(quotes.where("msg_seq % 3 = 0")).withColumn("msg_seq", F.monotonically_increasing_id()).checkpoint()
+    out = f"{tmp_dir}/dedup"
+    for _ in range(2):  # the second run resumes and adds nothing
+        stream = _shuffled_stream(spark, f"{tmp_dir}/src", twice) if _ == 0 else \
+            spark.readStream.schema(twice.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/src")
+        BS.start_dedup(stream.drop("msg_seq"), out, f"{tmp_dir}/ckpt", available_now=True).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == got.select("key").distinct().count() == quotes.count()
+    first = spark.read.parquet(f"{tmp_dir}/src").drop("msg_seq").limit(50)  # a replayed batch replaces itself
+    BS.dedup_batch(first, 0, out)
+    assert spark.read.parquet(out).groupBy("key").count().where("count > 1").count() == 0
 
 
 def test_global_row_number(spark):

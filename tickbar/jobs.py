@@ -61,16 +61,13 @@ def run_daily(spark: SparkSession, staged_path: str, symbols: DataFrame, bars_pa
               schemas: dict[int, T.StructType]) -> DataFrame:
     """Bars of ``as_of`` from the staged table (partition-pruned read), upserted into ``bars_path``;
     returns the symbols that had no data that day."""
-    d = F.lit(as_of).cast("date")
-    staged = read_partitioned_quotes(spark, staged_path, ST.staged_schema(schemas)).where(
-        (F.col("year") == F.year(d)) & (F.col("month") == F.month(d)) & (F.col("day") == F.dayofmonth(d)))
+    staged = B.for_day(read_partitioned_quotes(spark, staged_path, ST.staged_schema(schemas)), as_of)
     quotes = staged.withColumn("msg_seq", F.col("key"))
     B.write_bars(B.daily_bars(quotes, symbols, order=("trade_time", "batch", "msg_seq")), bars_path)
     return B.symbols_missing(symbols, quotes)
 
 
 def run_forecast(bars: DataFrame) -> dict[str, DataFrame]:
-    ar, ols = FC.ar_walkforward(bars), FC.lag_ols(bars)
-    rmses = [FC.rmse(ar, "ar5"), FC.rmse(ols, "lag_ols")]
-    return {"ar5": FC.finish(ar), "lag_ols": FC.finish(ols), "comparison": FC.model_comparison(rmses),
-            "last": FC.forecast_last(ar, "ar5").unionByName(FC.forecast_last(ols, "lag_ols"))}
+    both = FC.predictions(bars)
+    return {**{m: FC.finish(FC.of_model(both, m)) for m in FC.MODELS}, "comparison": FC.model_comparison(FC.rmse(both)),
+            "last": FC.forecast_last(both)}

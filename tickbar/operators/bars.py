@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import BAR_COLUMNS
+from ..session import path_exists, scratch_path
 
 SNAPSHOT_ORDER = ("trade_time", "msg_seq")
 
@@ -25,9 +26,13 @@ def with_trade_date(quotes: DataFrame) -> DataFrame:
 
 
 def for_day(quotes: DataFrame, as_of) -> DataFrame:
-    """Restrict to one session day; on a table partitioned by year/month/day this prunes."""
+    """Restrict to one session day by a range on ``trade_time`` (pushed to the scan); on a
+    table with year / month / day partition columns also by these, which prunes."""
     d = F.lit(as_of).cast("date") if not isinstance(as_of, Column) else as_of
-    return quotes.where(F.to_date("trade_time") == d)
+    day = quotes.where((F.col("trade_time") >= d.cast("timestamp")) & (F.col("trade_time") < F.date_add(d, 1).cast("timestamp")))
+    if {"year", "month", "day"} <= set(quotes.columns):
+        day = day.where((F.col("year") == F.year(d)) & (F.col("month") == F.month(d)) & (F.col("day") == F.dayofmonth(d)))
+    return day
 
 
 def latest_quote(quotes: DataFrame, order: tuple[str, ...] = SNAPSHOT_ORDER) -> DataFrame:
@@ -39,6 +44,17 @@ def latest_quote(quotes: DataFrame, order: tuple[str, ...] = SNAPSHOT_ORDER) ->
     return latest.select("symbol", "trade_date", *[F.col(f"_s.{c}").alias(c) for c in fields])
 
 
+def last_snapshot_bars(quotes: DataFrame, order: tuple[str, ...] = SNAPSHOT_ORDER) -> DataFrame:
+    """One bar per symbol and day from the day's last snapshot, with the order columns of that snapshot."""
+    q = with_trade_date(quotes)
+    snap = F.struct(
+        F.col("open_price").alias("open"), F.col("max_price").alias("high"), F.col("min_price").alias("low"),
+        F.col("close_price").alias("close"), F.col("traded_quantity").alias("volume"), *[F.col(c) for c in order])
+    agg = q.groupBy("symbol", "trade_date").agg(F.max_by(snap, _order_key(order)).alias("_b"))
+    return agg.select("symbol", "trade_date", "_b.open", "_b.high", "_b.low", "_b.close",
+                      F.col("_b.volume").try_cast("bigint").alias("volume"), *[F.col(f"_b.{c}").alias(c) for c in order])
+
+
 def daily_bars(quotes: DataFrame, symbols: DataFrame | None = None, as_of=None,
                order: tuple[str, ...] = SNAPSHOT_ORDER) -> DataFrame:
     """One OHLCV bar per symbol and day from the day's last snapshot.
@@ -51,13 +67,7 @@ def daily_bars(quotes: DataFrame, symbols: DataFrame | None = None, as_of=None,
     a hot symbol into one task.  ``as_of`` restricts to one day, as the
     scheduled run does (a partition predicate on a staged table).
     """
-    q = with_trade_date(quotes if as_of is None else for_day(quotes, as_of))
-    snap = F.struct(
-        F.col("open_price").alias("open"), F.col("max_price").alias("high"), F.col("min_price").alias("low"),
-        F.col("close_price").alias("close"), F.col("traded_quantity").alias("volume"))
-    agg = q.groupBy("symbol", "trade_date").agg(F.max_by(snap, _order_key(order)).alias("_b"))
-    bars = agg.select("symbol", "trade_date", "_b.open", "_b.high", "_b.low", "_b.close",
-                      F.col("_b.volume").try_cast("bigint").alias("volume"))
+    bars = last_snapshot_bars(quotes if as_of is None else for_day(quotes, as_of), order).select(*BAR_COLUMNS)
     if symbols is not None:
         bars = bars.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
     return bars
@@ -76,29 +86,29 @@ def symbols_missing(symbols: DataFrame, quotes: DataFrame, as_of=None) -> DataFr
 def normalise_history(hist: DataFrame, symbol: Column | str = "symbol") -> DataFrame:
     """Historical layout ``index, Open, Max, Min, Close, Vol, Date`` -> canonical bars (by name)."""
     return hist.select(
-        F.col(symbol) if isinstance(symbol, str) else symbol.alias("symbol"),
+        (F.col(symbol) if isinstance(symbol, str) else symbol).alias("symbol"),
         F.to_date("Date").alias("trade_date"), F.col("Open").alias("open"), F.col("Max").alias("high"),
         F.col("Min").alias("low"), F.col("Close").alias("close"), F.col("Vol").cast("bigint").alias("volume"))
 
 
 def normalise_daily(daily: DataFrame, symbol: Column | str = "symbol") -> DataFrame:
-    """Daily layout ``index, Date, Open, Close, Max, Min, Vol(text)`` -> canonical bars (by name)."""
+    """Daily layout ``index, Date, Open, Close, Max, Min, Vol(text)`` -> canonical bars (by name).
+    Text volumes go through an exact decimal, not a double."""
     return daily.select(
-        F.col(symbol) if isinstance(symbol, str) else symbol.alias("symbol"),
+        (F.col(symbol) if isinstance(symbol, str) else symbol).alias("symbol"),
         F.col("Date").cast("date").alias("trade_date"), F.col("Open").alias("open"), F.col("Max").alias("high"),
         F.col("Min").alias("low"), F.col("Close").alias("close"),
-        F.col("Vol").try_cast("double").try_cast("bigint").alias("volume"))
+        F.col("Vol").try_cast("decimal(38,6)").try_cast("bigint").alias("volume"))
 
 
 def history_union(historical: DataFrame, daily: DataFrame) -> DataFrame:
-    """UNION ALL of both sources, then one row per (symbol, trade_date); the daily
-    source wins where both have the day.  Groups hold at most one row per source."""
+    """UNION ALL of both sources, then one row per (symbol, trade_date).  Where both have
+    the day, each column takes the daily source's value unless that is null."""
     both = (historical.select(*BAR_COLUMNS).withColumn("_src", F.lit(0))
             .unionByName(daily.select(*BAR_COLUMNS).withColumn("_src", F.lit(1))))
     vals = [c for c in BAR_COLUMNS if c not in ("symbol", "trade_date")]
-    agg = both.groupBy("symbol", "trade_date").agg(
-        F.max_by(F.struct(*[F.col(c) for c in vals]), F.col("_src")).alias("_b"))
-    return agg.select("symbol", "trade_date", *[F.col(f"_b.{c}").alias(c) for c in vals])
+    return both.groupBy("symbol", "trade_date").agg(
+        *[F.max_by(c, F.struct(F.col(c).isNotNull(), F.col("_src"))).alias(c) for c in vals])
 
 
 def to_history_layout(bars: DataFrame) -> DataFrame:
@@ -121,12 +131,35 @@ def to_daily_layout(bars: DataFrame) -> DataFrame:
         F.col("low").alias("Min"), F.col("volume").cast("string").alias("Vol"))
 
 
-def write_bars(bars: DataFrame, path: str) -> None:
-    """Idempotent upsert: dynamic partition overwrite by trade_date, so re-running a
-    day replaces that day's bars instead of appending a duplicate.  One date holds
-    one row per symbol (bounded by the symbol count); rows are sorted by symbol so
-    the Parquet min/max statistics let a per-symbol history read skip row groups."""
-    (bars.select(*BAR_COLUMNS).repartition("trade_date").sortWithinPartitions("trade_date", "symbol")
+def write_bars(bars: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
+    """Upsert on (symbol, trade_date) into the table partitioned by ``trade_date``.
+
+    Only the touched dates are read and rewritten (dynamic partition overwrite).  A bar
+    replaces the stored one of its symbol and date, all other rows of the date stay.  With
+    ``order``, the columns of that name are stored too and the row with the larger value
+    wins, so late or redelivered snapshots never replace newer ones.  Rows are sorted by
+    symbol inside a date, so Parquet's min/max statistics serve per-symbol reads.
+    """
+    spark = bars.sparkSession
+    keys = ["symbol", "trade_date"]
+    cols = [*BAR_COLUMNS, *order]
+    landed = scratch_path(spark, "bars_landed")  # the input is used twice; the table is read while it is written
+    bars.select(*cols).write.parquet(landed)
+    new = spark.read.schema(bars.select(*cols).schema).parquet(landed)
+    merged = new
+    if path_exists(spark, path):
+        touched = new.select("trade_date").distinct()
+        old = spark.read.schema(new.schema).parquet(path).join(touched, "trade_date", "left_semi").select(*cols)
+        if not order:
+            merged = old.join(new.select(*keys), keys, "left_anti").unionByName(new)
+        else:
+            merged = old.unionByName(new)
+    if order:
+        rest = [c for c in cols if c not in keys]
+        merged = merged.groupBy(*keys).agg(
+            F.max_by(F.struct(*rest), F.struct(*[F.col(c) for c in order])).alias("_b")).select(
+            *keys, *[F.col(f"_b.{c}").alias(c) for c in rest])
+    (merged.select(*cols).hint("rebalance", "trade_date").sortWithinPartitions("trade_date", "symbol")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("trade_date").parquet(path))
 

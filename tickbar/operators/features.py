@@ -16,8 +16,8 @@ def _w():
 
 
 def close_series(bars: DataFrame, value_col: str = "close") -> DataFrame:
-    """``(symbol, trade_date, close)``, oldest first."""
-    return bars.select("symbol", "trade_date", value_col).orderBy("symbol", "trade_date")
+    """``(symbol, trade_date, close)``, each symbol's rows together and oldest first."""
+    return bars.select("symbol", "trade_date", value_col).repartition("symbol").sortWithinPartitions("symbol", "trade_date")
 
 
 def train_valid_split(bars: DataFrame, value_col: str = "close") -> DataFrame:

@@ -52,9 +52,11 @@ def preset_range(bars: DataFrame, preset: str, as_of=None) -> DataFrame:
     if as_of is not None:
         end = F.lit(as_of).cast("date")
         return bars.where(F.col("trade_date").between(preset_start(end, preset), end))
-    anchored = bars.withColumn("_as_of", F.max("trade_date").over(Window.partitionBy("symbol")))
+    # one partially aggregated row per symbol, joined back: no sort and no shuffle of the whole history
+    anchors = bars.groupBy(F.col("symbol").alias("_sym")).agg(F.max("trade_date").alias("_as_of"))
+    anchored = bars.join(anchors, F.col("symbol").eqNullSafe(F.col("_sym")))
     return anchored.where(F.col("trade_date").between(preset_start(F.col("_as_of"), preset), F.col("_as_of"))) \
-        .drop("_as_of")
+        .drop("_as_of", "_sym")
 
 
 def kpi_latest(bars: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Feed responses -> parsed payloads -> typed, stamped quote snapshots.
 
 Payload grammar: ``|NAME|NAME_<COL>*<value>*<format>|...``.  Tokens with a
-``*`` are fields (the ``NAME_`` prefix is removed everywhere in the name and
+``*`` are fields (the ``NAME_`` is removed from the field name only and
 the rest lower-cased; the last duplicate wins); tokens without are metadata.
 Values: empty -> NULL, thousands commas removed, then a double.  Rows that do
 not parse go to a reject table with a reason instead of failing the job.
@@ -39,11 +39,6 @@ def feed_explode(raw: DataFrame, keep: tuple[str, ...] = ("response_id",)) -> Da
     return parsed.select(*keep, F.posexplode("_obj").alias("item_pos", "content"))
 
 
-def feed_union(parts: list[DataFrame]) -> DataFrame:
-    """UNION ALL of per-request results, duplicates kept."""
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
 def _tokens(content: Column) -> Column:
     return F.split(content, r"\|", -1)
 
@@ -99,40 +94,40 @@ def parsed_map(df: DataFrame) -> DataFrame:
     return df.withColumn("quote_map", F.map_from_entries(parsed_entries(F.col("fields"))))
 
 
-# A field token ``|name*value*fmt`` becomes ``,"name":"value"``; a token without ``*`` becomes ``,"":""``.
-_TOKEN_TO_JSON = r"\|([^|*]*)\*([^|*]*)[^|]*|\|[^|*]*(?=\||$)"
 FIELD_TEXT_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in QUOTE_NUMERIC_FIELDS])
+# What counts as a number; a Java cast alone would also take type suffixes (12.5f, 12d).
+_NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
-def payload_json(content: Column, ticker: Column) -> Column:
-    """The payload as a JSON object of its field tokens, in token order.
+def fields_json(fields: Column) -> Column:
+    """The field entries as a JSON object, in token order: a JSON parser keeps the last of
+    repeated keys, which is the last-duplicate-wins rule."""
+    def quoted(text: Column) -> Column:
+        return F.concat(F.lit('"'), F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
 
-    Names lose every ``<ticker>_`` and are lower-cased; a JSON parser keeps the
-    last of repeated keys, which is the last-duplicate-wins rule.
-    """
-    norm = F.lower(F.replace(content, F.concat(ticker, F.lit("_")), F.lit("")))
-    esc = F.replace(F.replace(norm, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    return F.concat(F.lit('{"":""'), F.regexp_replace(esc, _TOKEN_TO_JSON, ',"$1":"$2"'), F.lit("}"))
+    entry = F.transform(fields, lambda e: F.concat(quoted(e.getField("k")), F.lit(":"),
+                                                   quoted(F.coalesce(e.getField("v"), F.lit("")))))
+    return F.concat(F.lit("{"), F.array_join(entry, ","), F.lit("}"))
 
 
 def typed_quotes(parsed: DataFrame) -> DataFrame:
     """Project to the quote model: known numeric fields typed, unknown keys ignored.
 
-    One regex rewrite and one JSON decode per payload give every model field's
-    text (no higher-order functions, no Python); values are then cleaned and
-    cast.  (A value that itself contains ``<ticker>_`` would be read without
-    it; quote values are numbers, so this does not arise.)
+    The entries of ``parse_payload`` become the model's fields in one JSON decode per
+    payload; values are then cleaned, checked and cast.  A text that isn't a number or an
+    empty symbol rejects the payload.
     """
-    rec = parsed.withColumn("_rec", F.from_json(payload_json(F.col("content"), F.col("ticker")), FIELD_TEXT_SCHEMA,
+    rec = parsed.withColumn("_rec", F.from_json(fields_json(F.col("fields")), FIELD_TEXT_SCHEMA,
                                                 {"allowUnquotedControlChars": "true"}))
     txt = rec.withColumns({f"_t_{f}": clean_number(F.col("_rec").getField(f)) for f in QUOTE_NUMERIC_FIELDS})
-    typed = txt.withColumns({f: F.col(f"_t_{f}").try_cast("double") for f in QUOTE_NUMERIC_FIELDS})
+    typed = txt.withColumns({f: F.when(F.col(f"_t_{f}").rlike(_NUMBER), F.col(f"_t_{f}").try_cast("double"))
+                             for f in QUOTE_NUMERIC_FIELDS})
     bad = reduce(lambda a, b: a | b, [F.col(f"_t_{f}").isNotNull() & F.col(f).isNull() for f in QUOTE_NUMERIC_FIELDS])
     reason = (
         F.when(F.col("content").isNull(), F.lit("null_content"))
         .when(~F.col("has_pipe"), F.lit("no_pipe"))
         .when(~F.col("first_empty"), F.lit("bad_frame"))
-        .when(F.col("ticker").isNull(), F.lit("missing_symbol"))
+        .when(F.coalesce(F.col("ticker"), F.lit("")) == "", F.lit("missing_symbol"))
         .when(bad, F.lit("bad_number"))
     )
     return typed.withColumn("reject_reason", reason).drop("_rec", *[f"_t_{f}" for f in QUOTE_NUMERIC_FIELDS])
@@ -158,5 +153,5 @@ def quotes_from_content(items: DataFrame, trade_time=None, keep: tuple[str, ...]
     return good, bad
 
 
-__all__ = ["feed_requests", "feed_request_grid", "feed_explode", "feed_union", "parse_payload", "parsed_map",
-           "typed_quotes", "stamp", "quotes_from_content", "parsed_entries", "payload_json"]
+__all__ = ["feed_requests", "feed_request_grid", "feed_explode", "parse_payload", "parsed_map",
+           "typed_quotes", "stamp", "quotes_from_content", "parsed_entries", "fields_json"]

@@ -16,6 +16,8 @@ truncation of the leading order column.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +38,9 @@ def running_stats(df: DataFrame, keys: list[str], ts_col: str, tie_col: str, val
     w_chunks = Window.partitionBy(*keys).orderBy(chunk)
     before = w_chunks.rowsBetween(Window.unboundedPreceding, -1)
     upto = w_chunks.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    join_keys = [*keys, chunk]
     prefix_tbl = per_chunk.select(
-        *keys, chunk,
+        *[F.col(k).alias(f"_k_{k}") for k in join_keys],
         F.coalesce(F.sum("_c_n").over(before), F.lit(0)).alias("_p_n"),
         F.max("_c_max").over(before).alias("_p_max"),
         F.min("_c_min").over(before).alias("_p_min"),
@@ -45,7 +48,9 @@ def running_stats(df: DataFrame, keys: list[str], ts_col: str, tie_col: str, val
     )
 
     w_in = Window.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = base.join(prefix_tbl, [*keys, chunk])
+    # null-safe: a row with a null key or time belongs to a group like any other
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in join_keys])
+    joined = base.join(prefix_tbl, same)
     return joined.select(
         *[c for c in df.columns],
         F.col("_p_first").alias(f"{prefix}_first"),

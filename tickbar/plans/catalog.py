@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import bars as B
 from ..operators import features as FE
@@ -18,10 +19,10 @@ from ..operators import framing as FR
 from ..operators import history as H
 from ..operators import quotes as Q
 from ..operators.sequence import chunk_numbers, global_row_number
-from ..schemas import PUBLISH_BATCH_SIZE
+from ..schemas import BAR_COLUMNS, PUBLISH_BATCH_SIZE, QUOTE_SCHEMA
 from ..session import scratch_path
 from ..sources import files as FS
-from ..sources.fixtures import FRAME_SCHEMAS, bars_v, frames_v, quotes_v, raw_v, symbols_v
+from ..sources.fixtures import FRAME_SCHEMAS, bad_frames_v, bars_v, frames_v, quotes_v, raw_v, symbols_v
 from ..streaming import bars_stream as BS
 from ..streaming import staging as ST
 
@@ -29,7 +30,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Parameters of the registered queries (the operators take them as arguments).
 RANGE_START, RANGE_END = "1996-01-01", "1997-12-31"
-SCAN_DAY = "2024-01-15"
+SCAN_DAY, SCAN_SYMBOL = "2024-01-15", "click"
+AS_OF, ONE_SYMBOL = "1997-02-28", "1-URGENT"
+TICK = 0.01  # the order prices are quoted in cents
 HISTORY_CUT_END, DAILY_CUT_START = "2000-12-31", "2000-12-01"
 PASSTHROUGH_SQL = ("SELECT symbol, count(*) AS n_bars, min(trade_date) AS first_date, max(trade_date) AS last_date, "
                    "CAST(sum(volume) AS BIGINT) AS total_volume FROM bars GROUP BY symbol")
@@ -55,24 +58,33 @@ def q_latest_quote(spark, sf):
 
 @register("symbols_missing_today")
 def q_symbols_missing(spark, sf):
-    return B.symbols_missing(symbols_v(spark, sf), quotes_v(spark, sf))
+    return B.symbols_missing(symbols_v(spark, sf), quotes_v(spark, sf), SCAN_DAY)
 
 
-def _stage_quotes(spark, sf) -> str:
+QUOTE_TABLE = T.StructType([*QUOTE_SCHEMA.fields, T.StructField("msg_seq", T.LongType()),
+                            *[T.StructField(c, T.IntegerType()) for c in ST.PARTITION_COLS]])
+
+
+def _stage_quotes(spark, sf) -> DataFrame:
     path = scratch_path(spark, "quotes_staged")
-    q = FS.clustered_for_write(FR.partition_columns(quotes_v(spark, sf)), ["symbol", "year", "month", "day"])
-    q.write.mode("overwrite").partitionBy("symbol", "year", "month", "day").parquet(path)
-    return path
+    q = FS.clustered_for_write(FR.partition_columns(quotes_v(spark, sf)), ST.PARTITION_COLS)
+    (q.sortWithinPartitions(*ST.PARTITION_COLS, "symbol", "trade_time")
+     .write.mode("overwrite").partitionBy(*ST.PARTITION_COLS).parquet(path))
+    return FS.read_partitioned_quotes(spark, path, QUOTE_TABLE)
+
+
+_SCAN_COLUMNS = ["symbol", "trade_time", "open_price", "max_price", "min_price", "close_price", "traded_quantity",
+                 "msg_seq", "year", "month", "day"]
 
 
 @register("quotes_partition_scan")
 def q_partition_scan(spark, sf):
-    path = _stage_quotes(spark, sf)
-    d = F.lit(SCAN_DAY).cast("date")
-    t = FS.read_partitioned_quotes(spark, path)
-    t = t.where((F.col("year") == F.year(d)) & (F.col("month") == F.month(d)) & (F.col("day") == F.dayofmonth(d)))
-    return t.select("symbol", "trade_time", "open_price", "max_price", "min_price", "close_price",
-                    "traded_quantity", "msg_seq", "year", "month", "day")
+    return B.for_day(_stage_quotes(spark, sf), SCAN_DAY).select(*_SCAN_COLUMNS)
+
+
+@register("quotes_symbol_day_scan")
+def q_symbol_day_scan(spark, sf):
+    return B.for_day(_stage_quotes(spark, sf), SCAN_DAY).where(F.col("symbol") == SCAN_SYMBOL).select(*_SCAN_COLUMNS)
 
 
 @register("daily_bars_upsert")
@@ -80,7 +92,9 @@ def q_daily_bars_upsert(spark, sf):
     path = scratch_path(spark, "bars_table")
     bars = B.daily_bars(quotes_v(spark, sf), symbols_v(spark, sf))
     B.write_bars(bars, path)
-    B.write_bars(bars, path)  # a re-run of the same days replaces, never duplicates
+    table = spark.read.parquet(path)
+    some = table.where(F.crc32("symbol") % 2 == 0)
+    B.write_bars(some, path)  # a re-run with some of the symbols keeps the others' bars
     return spark.read.parquet(path)
 
 
@@ -94,8 +108,8 @@ def _history_files(spark, sf) -> tuple[str, str]:
     hist_path, daily_path = scratch_path(spark, "history_tsv"), scratch_path(spark, "daily_tsv")
     hist = B.to_history_layout(bars.where(F.col("trade_date") <= F.lit(HISTORY_CUT_END).cast("date")))
     daily = B.to_daily_layout(bars.where(F.col("trade_date") >= F.lit(DAILY_CUT_START).cast("date")))
-    FS.write_tsv(hist, hist_path, ["symbol"])
-    FS.write_tsv(daily, daily_path, ["symbol"])
+    FS.write_tsv(FS.clustered_for_write(hist, ["symbol"]), hist_path, ["symbol"])
+    FS.write_tsv(FS.clustered_for_write(daily, ["symbol"]), daily_path, ["symbol"])
     return hist_path, daily_path
 
 
@@ -129,7 +143,9 @@ def _symbols_with_duplicate(spark, sf):
 def q_symbols_csv_load(spark, sf):
     path = scratch_path(spark, "symbols_csv")
     FS.write_symbols_csv(_symbols_with_duplicate(spark, sf), path)
-    return FS.dedup_symbols(FS.read_symbols_csv(spark, path))
+    table = scratch_path(spark, "symbols")
+    FS.load_symbols(FS.read_symbols_csv(spark, path), table)
+    return FS.read_symbols(spark, table)
 
 
 @register("symbols_pk_audit")
@@ -145,6 +161,11 @@ def q_history_for_symbol(spark, sf):
     return H.history_for_symbol(bars_v(spark, sf))
 
 
+@register("history_one_symbol")
+def q_history_one_symbol(spark, sf):
+    return H.history_for_symbol(bars_v(spark, sf), [ONE_SYMBOL])
+
+
 @register("sql_passthrough")
 def q_sql_passthrough(spark, sf):
     bars_v(spark, sf).createOrReplaceTempView("bars")
@@ -161,14 +182,15 @@ def q_bars_date_range(spark, sf):
     return H.date_range(bars_v(spark, sf), RANGE_START, RANGE_END)
 
 
-def _preset(name):
+def _preset(name, as_of=None):
     def fn(spark, sf):
-        return H.preset_range(bars_v(spark, sf), name)
+        return H.preset_range(bars_v(spark, sf), name, as_of)
     return fn
 
 
 for _p in H.PRESETS:
     register(f"bars_{_p}")(_preset(_p))
+    register(f"bars_{_p}_as_of")(_preset(_p, AS_OF))
 
 
 @register("kpi_latest")
@@ -207,6 +229,20 @@ def q_corr_matrix_rounded(spark, sf):
     return H.corr_matrix(bars_v(spark, sf), decimals=2)
 
 
+def _range(spark, sf):
+    return H.date_range(bars_v(spark, sf), RANGE_START, RANGE_END)
+
+
+@register("chart_candles_range")
+def q_chart_candles_range(spark, sf):
+    return H.chart_candles(_range(spark, sf))
+
+
+@register("corr_matrix_range")
+def q_corr_matrix_range(spark, sf):
+    return H.corr_matrix(_range(spark, sf)).withColumn("corr", F.round("corr", 6))
+
+
 # ------------------------------------------------------------ features ----
 @register("close_series")
 def q_close_series(spark, sf):
@@ -246,57 +282,63 @@ def q_diff_series(spark, sf):
 
 
 # ------------------------------------------------------------ forecast ----
-def _ar(spark, sf):
-    return FC.ar_walkforward(bars_v(spark, sf))
-
-
-def _ols(spark, sf):
-    return FC.lag_ols(bars_v(spark, sf))
+def _both(spark, sf, models=FC.MODELS):
+    return FC.predictions(bars_v(spark, sf), models, tick=TICK)
 
 
 @register("forecast_ar5_walkforward")
 def q_forecast_ar5(spark, sf):
-    return FC.finish(_ar(spark, sf))
+    return FC.finish(FC.of_model(_both(spark, sf, ("ar5",)), "ar5"))
 
 
 @register("forecast_lag_ols")
 def q_forecast_ols(spark, sf):
-    return FC.finish(_ols(spark, sf))
+    return FC.finish(FC.of_model(_both(spark, sf, ("lag_ols",)), "lag_ols"))
 
 
 @register("forecast_lag_mllib")
 def q_forecast_mllib(spark, sf):
-    return FC.finish(FC.lag_mllib(bars_v(spark, sf)))
+    return FC.finish(FC.lag_mllib(bars_v(spark, sf)), decimals=0)
 
 
 @register("rmse_ar5")
 def q_rmse_ar5(spark, sf):
-    return FC.rmse_table(FC.rmse(_ar(spark, sf), "ar5"))
+    return FC.rmse_table(FC.rmse(_both(spark, sf, ("ar5",)), ("ar5",)))
 
 
 @register("rmse_lag_ols")
 def q_rmse_ols(spark, sf):
-    return FC.rmse_table(FC.rmse(_ols(spark, sf), "lag_ols"))
+    return FC.rmse_table(FC.rmse(_both(spark, sf, ("lag_ols",)), ("lag_ols",)))
 
 
 @register("rmse_report")
 def q_rmse_report(spark, sf):
-    return FC.rmse_report(FC.rmse(_ar(spark, sf), "ar5").unionByName(FC.rmse(_ols(spark, sf), "lag_ols")))
+    return FC.rmse_report(FC.rmse(_both(spark, sf)))
 
 
 @register("model_comparison")
 def q_model_comparison(spark, sf):
-    return FC.model_comparison([FC.rmse(_ar(spark, sf), "ar5"), FC.rmse(_ols(spark, sf), "lag_ols")])
+    return FC.model_comparison(FC.rmse(_both(spark, sf)))
 
 
 @register("forecast_last")
 def q_forecast_last(spark, sf):
-    return FC.forecast_last(_ar(spark, sf), "ar5").unionByName(FC.forecast_last(_ols(spark, sf), "lag_ols"))
+    return FC.forecast_last(_both(spark, sf))
+
+
+def _chart_frame(spark, sf, model):
+    pred = FC.of_model(_both(spark, sf, (model,)), model)
+    return FC.forecast_chart_frame(bars_v(spark, sf), pred, model)
 
 
 @register("forecast_chart_frame")
 def q_forecast_chart_frame(spark, sf):
-    return FC.forecast_chart_frame(bars_v(spark, sf), _ar(spark, sf), "ar5")
+    return _chart_frame(spark, sf, "ar5")
+
+
+@register("forecast_chart_frame_ols")
+def q_forecast_chart_frame_ols(spark, sf):
+    return _chart_frame(spark, sf, "lag_ols")
 
 
 # ---------------------------------------------------------------- feed ----
@@ -322,11 +364,8 @@ def q_feed_union(spark, sf):
     path = scratch_path(spark, "raw_landed")
     FS.clustered_for_write(raw_v(spark, sf), ["exchange_code", "key_area"]) \
         .write.mode("overwrite").partitionBy("exchange_code", "key_area").parquet(path)
-    landed = spark.read.parquet(path)
-    parts = [Q.feed_explode(landed.where((F.col("exchange_code") == c) & (F.col("key_area") == a)),
-                            keep=("exchange_code", "key_area", "response_id"))
-             for _, c, a in Q.feed_requests()]
-    return Q.feed_union(parts)
+    # what is landed is the union of all requests; a response without a bucket is part of it
+    return Q.feed_explode(spark.read.parquet(path), keep=("exchange_code", "key_area", "response_id"))
 
 
 def _items(spark, sf):
@@ -377,7 +416,9 @@ def q_publish_batches(spark, sf):
 # ------------------------------------------------------------- framing ----
 @register("frame_quotes")
 def q_frame_quotes(spark, sf):
-    return frames_v(spark, sf).select("key", F.hex(F.substring("value", 1, 5)).alias("header_hex"))
+    body = F.expr("substring(value, 6)")
+    return frames_v(spark, sf).select("key", F.hex(F.substring("value", 1, 5)).alias("header_hex"),
+                                      F.length("value").alias("n_bytes"), F.md5(body).alias("body_md5"))
 
 
 @register("unframe_quotes")
@@ -395,8 +436,19 @@ def q_distinct_schema_ids(spark, sf):
 
 @register("stage_by_schema")
 def q_stage_by_schema(spark, sf):
-    d = FR.decode_by_schema(FR.unframe(frames_v(spark, sf)), FRAME_SCHEMAS)
-    return FR.partition_columns(d.where("_decoded").drop("_decoded"))
+    d = FR.decode_by_schema(frames_v(spark, sf), FRAME_SCHEMAS, unknown="raise")
+    return FR.partition_columns(d.where("reason IS NULL").drop("value", "reason"))
+
+
+@register("stage_rejects")
+def q_stage_rejects(spark, sf):
+    """Damaged frames after a staging run: the reject table with the raw values."""
+    topic, sink, ckpt = (scratch_path(spark, n) for n in ("topic_bad", "staged_bad", "staging_bad_ckpt"))
+    bad_frames_v(spark, sf).write.mode("overwrite").parquet(topic)
+    ST.start_staging(ST.framed_stream(spark, "parquet", path=topic), sink, ckpt, FRAME_SCHEMAS,
+                     available_now=True).awaitTermination()
+    return ST.read_rejects(spark, sink).select("key", "reason", F.length("value").alias("n_bytes"),
+                                               F.hex(F.substring("value", 1, 5)).alias("header_hex"))
 
 
 @register("partition_columns")
@@ -415,35 +467,32 @@ def q_stream_stage(spark, sf):
     return FS.read_partitioned_quotes(spark, sink, ST.staged_schema(FRAME_SCHEMAS)).drop("batch")
 
 
-def _quotes_file(spark, sf, copies: int = 1) -> str:
+def _quote_stream(spark, sf, copies: int = 1) -> DataFrame:
+    """The quotes as a stream of shuffled files, one per micro-batch (so batches are out of order)."""
     path = scratch_path(spark, "quotes_src")
     q = quotes_v(spark, sf).withColumn("key", F.col("msg_seq").cast("string"))
-    for i in range(copies):
-        q.write.mode("append" if i else "overwrite").parquet(path)
-    return path
+    for _ in range(copies):
+        q.repartition(STREAM_FILES, F.xxhash64("msg_seq")).write.mode("append").parquet(path)
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", STREAM_FILES * copies // 4).parquet(path)
+
+
+STREAM_FILES = 4
 
 
 @register("stream_daily_bars")
 def q_stream_daily_bars(spark, sf):
-    src, out, ckpt = _quotes_file(spark, sf), scratch_path(spark, "bars_out"), scratch_path(spark, "bars_ckpt")
-    schema = spark.read.parquet(src).schema
-    stream = spark.readStream.schema(schema).parquet(src)
-    q = (BS.stream_daily_bars(stream).writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    out, ckpt = scratch_path(spark, "bars_out"), scratch_path(spark, "bars_ckpt")
+    BS.start_daily_bars(_quote_stream(spark, sf), out, ckpt, available_now=True).awaitTermination()
+    return spark.read.parquet(out).select(*BAR_COLUMNS)
 
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf):
-    src, out, ckpt = _quotes_file(spark, sf, copies=2), scratch_path(spark, "dedup_out"), scratch_path(spark, "dd_ckpt")
-    schema = spark.read.parquet(src).schema
-    stream = spark.readStream.schema(schema).parquet(src)
-    q = (BS.stream_dedup(stream).select("key", "symbol", "trade_time", "last_price").writeStream
-         .format("parquet").outputMode("append").option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start(out))
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    out, ckpt = scratch_path(spark, "dedup_out"), scratch_path(spark, "dd_ckpt")
+    messages = _quote_stream(spark, sf, copies=2).select("key", "symbol", "trade_time", "last_price")
+    BS.start_dedup(messages, out, ckpt, available_now=True).awaitTermination()
+    return spark.read.parquet(out).select("key", "symbol", "trade_time", "last_price")
 
 
 __all__ = ["QUERIES"]

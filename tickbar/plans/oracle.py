@@ -10,7 +10,8 @@ from itertools import combinations
 
 from ..functions.linalg import solve_sql
 from ..schemas import EXCHANGE_CODES, EXCHANGE_NAME, KEY_AREAS, PUBLISH_BATCH_SIZE, QUOTE_NUMERIC_FIELDS
-from .catalog import (DAILY_CUT_START, HISTORY_CUT_END, PASSTHROUGH_SQL, RANGE_END, RANGE_START, SCAN_DAY)
+from .catalog import (AS_OF, DAILY_CUT_START, HISTORY_CUT_END, ONE_SYMBOL, PASSTHROUGH_SQL, RANGE_END, RANGE_START,
+                      SCAN_DAY, SCAN_SYMBOL)
 
 ORACLE: dict[str, str] = {}
 
@@ -50,13 +51,15 @@ _PAYLOAD = (
     "|| event_type || '_REF_PRICE*' || CAST(value AS VARCHAR) || '*f|' "
     "|| event_type || '_TRADED_QUANTITY*' || format('{:,}', event_id) || '*n|' "
     "|| event_type || '_OPEN_PRICE**f|' || 'LOT' || CAST(user_id AS VARCHAR) || '|' "
-    "|| event_type || '_CEIL_PRICE*' || CASE WHEN event_id % 53 = 0 THEN 'n/a' ELSE CAST(user_id AS VARCHAR) END || '*f|' "
+    "|| event_type || '_CEIL_PRICE*' || CASE WHEN event_id % 53 = 0 THEN 'n/a' WHEN event_id % 59 = 0 THEN '12.5f' "
+    "WHEN event_id % 61 = 0 THEN '12d' WHEN event_id % 67 = 0 THEN event_type || '_5' ELSE CAST(user_id AS VARCHAR) END || '*f|' "
     "|| event_type || '_LAST_PRICE*' || CAST(value AS VARCHAR) || '*f|'")
 RAW_V = ("raw_v", (
     "SELECT event_id AS response_id, CASE WHEN user_id % 2 = 0 THEN 'LIS' ELSE 'UPC' END AS exchange_code, "
     f"{_AREA} AS key_area, CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status, ts AS fetched_at, "
     "CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN CAST([] AS VARCHAR[]) "
-    "WHEN event_id % 41 = 0 THEN [p, 'nothing'] WHEN event_id % 43 = 0 THEN [p, 'x' || p] ELSE [p] END AS obj "
+    "WHEN event_id % 41 = 0 THEN [p, 'nothing'] WHEN event_id % 43 = 0 THEN [p, 'x' || p] "
+    "WHEN event_id % 47 = 0 THEN [p, '||'] ELSE [p] END AS obj "
     f"FROM (SELECT *, {_PAYLOAD} AS p FROM events) e"))
 
 ITEMS = ("items", (
@@ -86,7 +89,7 @@ TYPED = ("typed", (
     "SELECT p.response_id, p.item_pos, p.content, p.fetched_at, p.ticker, "
     + ", ".join(f"t.{f}" for f in QUOTE_NUMERIC_FIELDS)
     + ", CASE WHEN p.content IS NULL THEN 'null_content' WHEN NOT p.has_pipe THEN 'no_pipe' "
-      "WHEN NOT p.first_empty THEN 'bad_frame' WHEN p.ticker IS NULL THEN 'missing_symbol' "
+      "WHEN NOT p.first_empty THEN 'bad_frame' WHEN coalesce(p.ticker, '') = '' THEN 'missing_symbol' "
       "WHEN COALESCE(t.any_bad, false) THEN 'bad_number' END AS reject_reason "
       "FROM parsed p LEFT JOIN typed_fields t USING (response_id, item_pos)"))
 FEED = [RAW_V, ITEMS, TOKENS, PARSED, FIELDS, LAST_FIELDS, TYPED_FIELDS, TYPED]
@@ -113,12 +116,15 @@ reg("latest_quote", _with([QUOTES_V], (
     + ", ".join(f"arg_max({c}, (trade_time, msg_seq)) AS {c}" for c in _LATEST_FIELDS)
     + " FROM quotes_v GROUP BY 1, 2")))
 reg("symbols_missing_today", _with([QUOTES_V, SYMBOLS_V],
-                                   "SELECT * FROM symbols_v s WHERE NOT EXISTS (SELECT 1 FROM quotes_v q WHERE q.symbol = s.symbol)"))
-reg("quotes_partition_scan", _with([QUOTES_V], (
+                                   "SELECT * FROM symbols_v s WHERE NOT EXISTS (SELECT 1 FROM quotes_v q "
+                                   f"WHERE q.symbol = s.symbol AND CAST(q.trade_time AS DATE) = DATE '{SCAN_DAY}')"))
+_DAY_SCAN = _with([QUOTES_V], (
     "SELECT symbol, trade_time, open_price, max_price, min_price, close_price, traded_quantity, msg_seq, "
     "CAST(year(trade_time) AS INTEGER) AS year, CAST(month(trade_time) AS INTEGER) AS month, "
     "CAST(day(trade_time) AS INTEGER) AS day FROM quotes_v "
-    f"WHERE CAST(trade_time AS DATE) = DATE '{SCAN_DAY}'")))
+    f"WHERE CAST(trade_time AS DATE) = DATE '{SCAN_DAY}'"))
+reg("quotes_partition_scan", _DAY_SCAN)
+reg("quotes_symbol_day_scan", _DAY_SCAN + f" AND symbol = '{SCAN_SYMBOL}'")
 reg("bars_quality", _with([BARS_V], (
     "SELECT symbol, count(*) AS n_bars, count(*) FILTER (WHERE high < greatest(open, close)) AS n_high_below_body, "
     "count(*) FILTER (WHERE low > least(open, close)) AS n_low_above_body, "
@@ -137,9 +143,11 @@ reg("symbols_pk_audit", _with([SYMBOLS_V], (
     "GROUP BY symbol HAVING count(*) > 1")))
 
 # ------------------------------------------------------------- history ----
-reg("history_for_symbol", _with([BARS_V], (
+_HISTORY = _with([BARS_V], (
     "SELECT symbol, row_number() OVER (PARTITION BY symbol ORDER BY trade_date DESC) - 1 AS id, open AS Open, "
-    "high AS High, low AS Low, close AS Close, volume AS Volume, trade_date AS Date FROM bars_v")))
+    "high AS High, low AS Low, close AS Close, volume AS Volume, trade_date AS Date FROM bars_v"))
+reg("history_for_symbol", _HISTORY)
+reg("history_one_symbol", _HISTORY + f" WHERE symbol = '{ONE_SYMBOL}'")
 reg("sql_passthrough", _with([BARS_V, ("bars", "SELECT * FROM bars_v")], PASSTHROUGH_SQL))
 reg("history_bounds", _with([BARS_V], (
     "SELECT symbol, min(trade_date) AS first_date, max(trade_date) AS last_date, count(*) AS n_bars "
@@ -152,6 +160,9 @@ for _name, _start in _PRESET_START.items():
     reg(f"bars_{_name}", _with([BARS_V, ("anch", "SELECT *, max(trade_date) OVER (PARTITION BY symbol) AS a FROM bars_v")], (
         "SELECT symbol, trade_date, open, high, low, close, volume FROM anch "
         f"WHERE trade_date BETWEEN CAST({_start} AS DATE) AND a")))
+    reg(f"bars_{_name}_as_of", _with([BARS_V], (
+        "SELECT symbol, trade_date, open, high, low, close, volume FROM (SELECT *, "
+        f"DATE '{AS_OF}' AS a FROM bars_v) t WHERE trade_date BETWEEN CAST({_start} AS DATE) AND a")))
 reg("kpi_latest", _with([BARS_V, ("k", (
     "SELECT *, lag(open) OVER w AS p_open, lag(high) OVER w AS p_high, lag(low) OVER w AS p_low, "
     "lag(close) OVER w AS p_close, row_number() OVER (PARTITION BY symbol ORDER BY trade_date DESC) AS rn "
@@ -161,6 +172,9 @@ reg("kpi_latest", _with([BARS_V, ("k", (
 reg("chart_volume", _with([BARS_V], "SELECT symbol, trade_date AS Date, volume AS Volume FROM bars_v"))
 reg("chart_candles", _with([BARS_V], (
     "SELECT symbol, trade_date AS Date, open AS Open, high AS High, low AS Low, close AS Close FROM bars_v")))
+_BARS_IN_RANGE = ("bars_r", f"SELECT * FROM bars_v WHERE trade_date BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'")
+reg("chart_candles_range", _with([BARS_V, _BARS_IN_RANGE], (
+    "SELECT symbol, trade_date AS Date, open AS Open, high AS High, low AS Low, close AS Close FROM bars_r")))
 reg("chart_volume_close", _with([BARS_V], "SELECT symbol, trade_date AS Date, volume AS Volume, close AS Close FROM bars_v"))
 reg("chart_prices_long", _with([BARS_V], " UNION ALL ".join(
     f"SELECT symbol, trade_date, '{c}' AS series, {c} AS price FROM bars_v" for c in ["open", "high", "low", "close"])))
@@ -168,7 +182,7 @@ reg("chart_prices_long", _with([BARS_V], " UNION ALL ".join(
 _CORR_COLS = ["open", "close", "high", "low", "volume"]
 
 
-def _corr_sql(rounding: str) -> str:
+def _corr_sql(rounding: str, source: tuple = BARS_V) -> str:
     aggs = [f"stddev_pop({c}) AS sd_{c}" for c in _CORR_COLS]
     aggs += [f"covar_pop({a}, {b}) AS cv_{a}_{b}" for a, b in combinations(_CORR_COLS, 2)]
     cells = []
@@ -180,11 +194,13 @@ def _corr_sql(rounding: str) -> str:
                 x, y = (a, b) if i < j else (b, a)
                 val = rounding.format(f"cv_{x}_{y} / NULLIF(sd_{a} * sd_{b}, 0)") + " + 0.0"
             cells.append(f"SELECT symbol, '{a}' AS row_col, '{b}' AS col_col, CAST({val} AS DOUBLE) AS corr FROM st")
-    return _with([BARS_V, ("st", f"SELECT symbol, {', '.join(aggs)} FROM bars_v GROUP BY symbol")],
+    return _with(list(dict.fromkeys([BARS_V, source])) + [
+        ("st", f"SELECT symbol, {', '.join(aggs)} FROM {source[0]} GROUP BY symbol")],
                  " UNION ALL ".join(cells))
 
 
 reg("corr_matrix", _corr_sql("round({}, 6)"))
+reg("corr_matrix_range", _corr_sql("round({}, 6)", _BARS_IN_RANGE))
 reg("corr_matrix_rounded", _corr_sql("round_even({}, 2)"))
 
 # ------------------------------------------------------------ features ----
@@ -220,12 +236,18 @@ _BEFORE = "(PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECE
 AR_Y = ("ar_y", "SELECT *, CAST(round(close / 0.01) AS BIGINT) AS y FROM split2")
 AR_D = ("ar_d", f"SELECT *, lag(y) OVER {_W} AS y_prev, y - lag(y) OVER {_W} AS dy FROM ar_y")
 AR_X = ("ar_x", "SELECT *, " + ", ".join(f"lag(dy, {i}) OVER {_W} AS x{i}" for i in range(1, P + 1)) + " FROM ar_d")
+
+
+def _num(c: str) -> str:
+    return f"CAST({c} AS DECIMAL(19,0))"
+
+
 _ar_sums = []
 for _i in range(1, P + 1):
     for _j in range(_i, P + 1):
-        _ar_sums.append(f"sum(CASE WHEN x{P} IS NOT NULL THEN CAST(x{_i} * x{_j} AS DECIMAL(38,0)) END) "
+        _ar_sums.append(f"sum(CASE WHEN x{P} IS NOT NULL THEN {_num(f'x{_i}')} * {_num(f'x{_j}')} END) "
                         f"OVER {_BEFORE} AS g{_i}_{_j}")
-    _ar_sums.append(f"sum(CASE WHEN x{P} IS NOT NULL THEN CAST(x{_i} * dy AS DECIMAL(38,0)) END) OVER {_BEFORE} AS b{_i}")
+    _ar_sums.append(f"sum(CASE WHEN x{P} IS NOT NULL THEN {_num(f'x{_i}')} * {_num('dy')} END) OVER {_BEFORE} AS b{_i}")
 AR_S = ("ar_s", "SELECT *, " + ", ".join(_ar_sums) + " FROM ar_x")
 AR_V = ("ar_v", "SELECT * FROM ar_s WHERE split = 'valid'")
 _keep = ["symbol", "trade_date", "close", "y_prev"] + [f"x{i}" for i in range(1, P + 1)]
@@ -241,8 +263,8 @@ _xs = ["one"] + [f"x{i}" for i in range(1, P + 1)]
 _ols_sums = []
 for _i in range(P + 1):
     for _j in range(_i, P + 1):
-        _ols_sums.append(f"sum(CAST({_xs[_i]} * {_xs[_j]} AS DECIMAL(38,0))) AS g{_i}_{_j}")
-    _ols_sums.append(f"sum(CAST({_xs[_i]} * y AS DECIMAL(38,0))) AS b{_i}")
+        _ols_sums.append(f"sum({_num(_xs[_i])} * {_num(_xs[_j])}) AS g{_i}_{_j}")
+    _ols_sums.append(f"sum({_num(_xs[_i])} * {_num('y')}) AS b{_i}")
 OLS_N = ("ols_n", "SELECT symbol, " + ", ".join(_ols_sums) + " FROM ols_x WHERE split = 'train' AND rn > 5 GROUP BY symbol")
 _ols_ctes, _ols_final = solve_sql(P + 1, "ols_n", [[f"g{min(i, j)}_{max(i, j)}" for j in range(P + 1)] for i in range(P + 1)],
                                   [f"b{i}" for i in range(P + 1)], [f"c{i}" for i in range(P + 1)], ["symbol"], "gjo")
@@ -255,7 +277,7 @@ OLS_CTES = [BARS_V, SPLIT, SPLIT2, AR_Y, OLS_X, OLS_N, *_ols_ctes, OLS_PRED]
 _FINISH = "SELECT symbol, trade_date, close, round(prediction_raw, 2) AS prediction FROM {}"
 reg("forecast_ar5_walkforward", _with(AR_CTES, _FINISH.format("ar_pred")))
 reg("forecast_lag_ols", _with(OLS_CTES, _FINISH.format("ols_pred")))
-_RMSE = ("SELECT symbol, '{m}' AS model, count(*) AS n_valid, sqrt(avg(pow(close - prediction_raw, 2))) AS rmse_raw "
+_RMSE = ("SELECT symbol, '{m}' AS model, count(prediction_raw) AS n_valid, sqrt(avg(pow(close - prediction_raw, 2))) AS rmse_raw "
          "FROM {src} GROUP BY symbol")
 RMSE_AR = ("rmse_ar", _RMSE.format(m="ar5", src="ar_pred"))
 RMSE_OLS = ("rmse_ols", _RMSE.format(m="lag_ols", src="ols_pred"))
@@ -272,9 +294,22 @@ reg("model_comparison", _with(ALL_CTES, (
 _LAST = ("SELECT symbol, '{m}' AS model, max(trade_date) AS trade_date, round(arg_max(prediction_raw, trade_date), 2) "
          "AS prediction FROM {src} GROUP BY symbol")
 reg("forecast_last", _with(ALL_CTES, _LAST.format(m="ar5", src="ar_pred") + " UNION ALL " + _LAST.format(m="lag_ols", src="ols_pred")))
-reg("forecast_chart_frame", _with(AR_CTES, (
-    "SELECT symbol, trade_date, split AS series, close AS value, 'ar5' AS model FROM split2 UNION ALL "
-    "SELECT symbol, trade_date, 'prediction', round(prediction_raw, 2), 'ar5' FROM ar_pred")))
+_CHART = ("SELECT symbol, trade_date, split AS series, close AS value, '{m}' AS model FROM split2 UNION ALL "
+          "SELECT symbol, trade_date, 'prediction', round(prediction_raw, 2), '{m}' FROM {src}")
+reg("forecast_chart_frame", _with(AR_CTES, _CHART.format(m="ar5", src="ar_pred")))
+reg("forecast_chart_frame_ols", _with(OLS_CTES, _CHART.format(m="lag_ols", src="ols_pred")))
+
+# one regression over every symbol's scaled lag windows, by its normal equations
+_ML_X = ["1.0"] + [f"lag_{i}" for i in range(1, P + 1)]
+_ml_sums = [f"sum(CAST({_ML_X[i]} AS DOUBLE) * {_ML_X[j]}) AS g{i}_{j}" for i in range(P + 1) for j in range(i, P + 1)]
+_ml_sums += [f"sum({_ML_X[i]} * scaled) AS b{i}" for i in range(P + 1)]
+ML_N = ("ml_n", f"SELECT 1 AS one, {', '.join(_ml_sums)} FROM lags WHERE split = 'train' AND rn > 5")
+_ml_ctes, _ml_final = solve_sql(P + 1, "ml_n", [[f"g{min(i, j)}_{max(i, j)}" for j in range(P + 1)] for i in range(P + 1)],
+                                [f"b{i}" for i in range(P + 1)], [f"c{i}" for i in range(P + 1)], ["one"], "gjm")
+_mlhat = "c0" + "".join(f" + c{i} * lag_{i}" for i in range(1, P + 1))
+reg("forecast_lag_mllib", _with([BARS_V, SPLIT, SPLIT2, SCALED, SCALED2, LAGS, ML_N, *_ml_ctes], (
+    f"SELECT symbol, trade_date, close, round(({_mlhat}) * (x_max - x_min) + x_min, 0) AS prediction "
+    f"FROM lags JOIN {_ml_final} ON one = 1 WHERE split = 'valid' AND rn > 5")))
 
 # ---------------------------------------------------------------- feed ----
 _GRID = " UNION ALL ".join(
@@ -310,8 +345,22 @@ reg("publish_batches", _with(FEED + [("good", _GOOD), ("seq", (
 
 # ------------------------------------------------------------- framing ----
 _SID = "CASE WHEN msg_seq % 2 = 0 THEN 1 ELSE 2 END"
-reg("frame_quotes", _with([QUOTES_V], (
-    f"SELECT CAST(msg_seq AS VARCHAR) AS key, printf('%02X%08X', 0, {_SID}) AS header_hex FROM quotes_v")))
+# the message body: the writer schema's non-null fields as JSON, in schema order
+_JSON_FIELDS = "".join(f" || CASE WHEN {f} IS NULL THEN '' ELSE ',\"{f}\":' || CAST({f} AS VARCHAR) END" for f in QUOTE_NUMERIC_FIELDS)
+_BODY = ("'{\"symbol\":\"' || symbol || '\",\"exchange_name\":\"' || exchange_name || '\",\"trade_time\":\"' "
+         "|| strftime(trade_time, '%Y-%m-%dT%H:%M:%S.%fZ') || '\"'" + _JSON_FIELDS +
+         f" || CASE WHEN {_SID} = 2 THEN ',\"lot_size\":100.0' ELSE '' END || '}}'")
+FRAMES = ("frames", f"SELECT CAST(msg_seq AS VARCHAR) AS key, msg_seq, {_SID} AS sid, last_price, symbol, {_BODY} AS body FROM quotes_v")
+reg("frame_quotes", _with([QUOTES_V, FRAMES], (
+    "SELECT key, printf('%02X%08X', 0, sid) AS header_hex, CAST(strlen(body) + 5 AS INTEGER) AS n_bytes, "
+    "md5(body) AS body_md5 FROM frames")))
+reg("stage_rejects", _with([QUOTES_V, FRAMES], (
+    "SELECT 'bad-' || key AS key, CASE msg_seq % 6 WHEN 0 THEN 'short_frame' WHEN 1 THEN 'bad_magic' "
+    "WHEN 2 THEN 'unknown_schema' WHEN 3 THEN 'bad_body' WHEN 4 THEN 'bad_body' ELSE 'missing_field' END AS reason, "
+    "CAST(CASE msg_seq % 6 WHEN 0 THEN 2 WHEN 3 THEN 13 WHEN 4 THEN strlen(body) + 10 - strlen(CAST(last_price AS VARCHAR)) "
+    "WHEN 5 THEN strlen(body) + 5 - strlen(symbol) ELSE strlen(body) + 5 END AS INTEGER) AS n_bytes, "
+    "CASE msg_seq % 6 WHEN 0 THEN '0000' WHEN 1 THEN '0100000001' WHEN 2 THEN '0000000063' "
+    "ELSE printf('%02X%08X', 0, sid) END AS header_hex FROM frames")))
 reg("unframe_quotes", _with([QUOTES_V], (
     f"SELECT CAST(msg_seq AS VARCHAR) AS key, 0 AS magic, {_SID} AS schema_id, symbol, last_price FROM quotes_v")))
 reg("distinct_schema_ids", _with([QUOTES_V], (
@@ -334,6 +383,5 @@ reg("stream_daily_bars", _with([QUOTES_V, (
     "arg_max(open_price, (trade_time, msg_seq)) AS open, arg_max(max_price, (trade_time, msg_seq)) AS high, "
     "arg_max(min_price, (trade_time, msg_seq)) AS low, arg_max(close_price, (trade_time, msg_seq)) AS close, "
     "CAST(arg_max(traded_quantity, (trade_time, msg_seq)) AS BIGINT) AS volume FROM quotes_v q GROUP BY 1, 2")], (
-    "SELECT * FROM db WHERE CAST(trade_date + INTERVAL 1 DAY AS TIMESTAMP) "
-    "<= (SELECT max(trade_time) FROM quotes_v) - INTERVAL 1 HOUR")))
+    "SELECT * FROM db")))
 reg("stream_dedup", _with([QUOTES_V], "SELECT CAST(msg_seq AS VARCHAR) AS key, symbol, trade_time, last_price FROM quotes_v"))

@@ -20,9 +20,6 @@ KEY_AREAS = ["ABC", "DEF", "GHI", "JKL", "MNO", "PQR", "STUV", "WXYZ"]
 # Constant stamped on every fetched record, and the publish chunk size.
 EXCHANGE_NAME = "HNX"
 PUBLISH_BATCH_SIZE = 10
-# Historical and daily bar table layouts (column order of the dumps).
-HISTORY_LAYOUT = ["index", "Open", "Max", "Min", "Close", "Vol", "Date"]
-DAILY_LAYOUT = ["index", "Date", "Open", "Close", "Max", "Min", "Vol"]
 # ---------------------------------------------------------------------------
 
 QUOTE_SCHEMA = T.StructType(
@@ -33,7 +30,6 @@ QUOTE_SCHEMA = T.StructType(
     ]
     + [T.StructField(f, T.DoubleType(), True) for f in QUOTE_NUMERIC_FIELDS]
 )
-QUOTE_FIELDS = [f.name for f in QUOTE_SCHEMA.fields]
 
 BAR_SCHEMA = T.StructType(
     [
@@ -78,7 +74,9 @@ DAILY_TSV_SCHEMA = T.StructType(
 
 
 def quote_schema_for(schema_id: int, extra_fields: dict[int, list[str]] | None = None) -> T.StructType:
-    """Writer schema of a framed message: the quote model plus per-id additions."""
+    """Writer schema of a framed message: the quote model plus per-id additions.
+
+    The model's required fields (symbol, exchange name, trade time) are not nullable.
+    """
     extra = (extra_fields or {}).get(schema_id, [])
-    fields = list(QUOTE_SCHEMA.fields) + [T.StructField(f, T.DoubleType(), True) for f in extra]
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+    return T.StructType([*QUOTE_SCHEMA.fields, *[T.StructField(f, T.DoubleType(), True) for f in extra]])

@@ -72,12 +72,19 @@ def clustered_for_write(df: DataFrame, partition_cols: list[str]) -> DataFrame:
     return df.hint("rebalance", *partition_cols)
 
 
-def read_partitioned_quotes(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Staged quote table; with a schema the partition columns get its types."""
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.option("mergeSchema", "true").parquet(path)
+def read_partitioned_quotes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Partitioned quote table.  The schema is given, so no footer is read before pruning and
+    files written before a field was added read it as NULL."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def load_symbols(df: DataFrame, path: str) -> None:
+    """Write the symbol dimension, one row per symbol."""
+    dedup_symbols(df).write.mode("overwrite").parquet(path)
+
+
+def read_symbols(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SYMBOL_SCHEMA).parquet(path)
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None, **extra) -> dict:

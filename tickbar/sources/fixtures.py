@@ -90,8 +90,11 @@ def symbols_v(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_payload(sym: Column, value: Column, event_id: Column, user_id: Column) -> Column:
     """``|S|S_<FIELD>*<value>*<fmt>|...`` with a duplicate key, a comma number,
-    an empty value, a metadata token, an occasional bad number and a trailing pipe."""
-    ceil_val = F.when(event_id % 53 == 0, F.lit("n/a")).otherwise(user_id.cast("string"))
+    an empty value, a metadata token, an occasional bad number (also with a type suffix, or
+    with the ticker in it) and a trailing pipe."""
+    ceil_val = (F.when(event_id % 53 == 0, F.lit("n/a")).when(event_id % 59 == 0, F.lit("12.5f"))
+                .when(event_id % 61 == 0, F.lit("12d")).when(event_id % 67 == 0, F.concat(sym, F.lit("_5")))
+                .otherwise(user_id.cast("string")))
     return F.concat(
         F.lit("|"), sym, F.lit("|"),
         sym, F.lit("_LAST_PRICE*0*f|"),
@@ -113,6 +116,7 @@ def raw_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(eid % 89 == 0, F.array().cast("array<string>"))
         .when(eid % 41 == 0, F.array(payload, F.lit("nothing")))
         .when(eid % 43 == 0, F.array(payload, F.concat(F.lit("x"), payload)))
+        .when(eid % 47 == 0, F.array(payload, F.lit("||")))
         .otherwise(F.array(payload))
     )
     return ev.select(
@@ -129,11 +133,28 @@ def frame_schema_id(msg_seq: Column) -> Column:
     return F.when(msg_seq % 2 == 0, F.lit(1)).otherwise(F.lit(2))
 
 
+BAD_FRAMES = ("short_frame", "bad_magic", "unknown_schema", "bad_body", "missing_field")
+
+
+def bad_frames_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``frames_v`` plus a damaged copy of every frame, damaged in a way that follows its key."""
+    good = frames_v(spark, sf_dir)
+    kind = F.col("key").cast("bigint") % 6
+    text = F.expr("substring(value, 6)").cast("string")
+    body = (F.when(kind == 3, F.lit("not json"))
+            .when(kind == 4, F.regexp_replace(text, '"last_price":[^,}]*', '"last_price":"abc"'))
+            .when(kind == 5, F.regexp_replace(text, '"symbol":"[^"]*"', '"symbol":""')).otherwise(text))
+    head = (F.when(kind == 1, F.unhex(F.lit("0100000001"))).when(kind == 2, F.unhex(F.lit("0000000063")))
+            .otherwise(F.substring("value", 1, 5)))
+    value = F.when(kind == 0, F.unhex(F.lit("0000"))).otherwise(F.concat(head, F.encode(body, "UTF-8")))
+    return good.unionByName(good.select(F.concat(F.lit("bad-"), F.col("key")).alias("key"), value.alias("value")))
+
+
 def frames_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = quotes_v(spark, sf_dir).withColumn("lot_size", F.lit(100.0))
     q = q.withColumn("schema_id", frame_schema_id(F.col("msg_seq")))
     return frame_quotes(q, FRAME_SCHEMAS, key=F.col("msg_seq").cast("string"))
 
 
-__all__ = ["quotes_v", "bars_v", "symbols_v", "raw_v", "frames_v", "FRAME_SCHEMAS", "EXTRA_FIELDS",
+__all__ = ["quotes_v", "bars_v", "symbols_v", "raw_v", "frames_v", "bad_frames_v", "FRAME_SCHEMAS", "EXTRA_FIELDS",
            "key_area", "NO_DATA_SYMBOL"]

@@ -1,35 +1,47 @@
 """Continuous daily bars and at-least-once dedup on a quote stream.
 
-Daily bars: event-time windows of one day per symbol with a watermark; each
-closed window emits the bar of its last snapshot (the same arg-max as the
-batch job), in append mode.  Dedup: ``dropDuplicatesWithinWatermark`` on the
-message key removes redelivered messages with bounded state.
+Both keep their result as a table that every micro-batch merges into, so the order and the
+cut of the micro-batches don't matter and no row is ever late: bars hold the order key of
+their snapshot and the larger one wins; dedup looks up the keys already stored for the
+days that the batch touches.  A replayed batch changes nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.bars import SNAPSHOT_ORDER, last_snapshot_bars, write_bars
+from ..session import path_exists
 
-def stream_daily_bars(quotes: DataFrame, delay: str = "1 hour", order: tuple[str, ...] = ("trade_time", "msg_seq"),
-                      tz: str | None = None) -> DataFrame:
-    """Day windows follow the session's local midnight, not UTC midnight: the
-    window runs on the local wall clock (``from_utc_timestamp``, DST-aware per
-    row), and the date is read from the window start as epoch days, which does
-    not depend on any zone setting."""
-    tz = tz or quotes.sparkSession.conf.get("spark.sql.session.timeZone")
-    snap = F.struct(F.col("open_price").alias("open"), F.col("max_price").alias("high"),
-                    F.col("min_price").alias("low"), F.col("close_price").alias("close"),
-                    F.col("traded_quantity").alias("volume"))
-    agg = (quotes.withColumn("_local", F.from_utc_timestamp("trade_time", tz))
-           .withWatermark("_local", delay)
-           .groupBy("symbol", F.window("_local", "1 day"))
-           .agg(F.max_by(snap, F.struct(*[F.col(c) for c in order])).alias("_b")))
-    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / 86400).cast("int"))
-    return agg.select("symbol", day.alias("trade_date"), "_b.open", "_b.high",
-                      "_b.low", "_b.close", F.col("_b.volume").try_cast("bigint").alias("volume"))
-
-
-def stream_dedup(messages: DataFrame, key: str = "key", ts: str = "trade_time", delay: str = "1 hour") -> DataFrame:
-    return messages.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+
+def _start(stream: DataFrame, merge, checkpoint: str, available_now: bool) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def start_daily_bars(quotes: DataFrame, path: str, checkpoint: str, order: tuple[str, ...] = SNAPSHOT_ORDER,
+                     available_now: bool = False) -> StreamingQuery:
+    """Keep the bar table at ``path`` equal to the batch bars of all quotes seen so far.
+
+    Days are those of the session's time zone.  Only dates that a batch touches are rewritten.
+    """
+    return _start(quotes, lambda batch, _: write_bars(last_snapshot_bars(batch, order), path, order), checkpoint, available_now)
+
+
+def dedup_batch(batch: DataFrame, batch_id: int, path: str, key: str = "key", ts: str = "trade_time") -> None:
+    """Append the batch's messages whose key isn't stored yet (redelivery keeps key and time)."""
+    spark = batch.sparkSession
+    new = batch.withColumn("day", F.to_date(ts)).dropDuplicates([key, "day"])
+    if path_exists(spark, path):
+        # a replay of this batch must not meet its own rows
+        stored = spark.read.schema(f"`{key}` string, day date, batch long").parquet(path).where(F.col("batch") != batch_id)
+        new = new.join(stored.select(key, "day"), [key, "day"], "left_anti")
+    (new.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(path))
+
+
+def start_dedup(messages: DataFrame, path: str, checkpoint: str, key: str = "key", ts: str = "trade_time",
+                available_now: bool = False) -> StreamingQuery:
+    return _start(messages, lambda batch, i: dedup_batch(batch, i, path, key, ts), checkpoint, available_now)

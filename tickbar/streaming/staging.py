@@ -1,59 +1,58 @@
 """Structured Streaming: framed messages -> staged, partitioned quote table.
 
-Source format is a parameter: Kafka in production
-(``kafka_source_options``), a file directory of ``(key, value)`` rows in
-tests.  Per micro-batch the batch is persisted once, its schema ids are read
-(a handful of values), each id is decoded with its own writer schema, and the
-union is written partitioned by symbol/year/month/day/batch with dynamic
-partition overwrite, so a replayed batch id replaces its own files instead of
-appending a duplicate.  The query has its own checkpoint location.
+Source format is a parameter: Kafka in production (``kafka_source_options``), a file
+directory of ``(key, value)`` rows in tests.  Each micro-batch is decoded with the whole
+schema catalogue in one plan and written partitioned by year/month/day/batch with dynamic
+partition overwrite, so a replayed batch id replaces its own files instead of appending a
+duplicate; rows are sorted by symbol inside a day.  Messages that don't decode go to a reject
+table with key, id, raw value and reason, so they can be replayed.  ``compact_staged`` rewrites
+the batches of a table into one run of files per day.  The query has its own checkpoint location.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.framing import FRAME_SCHEMA, decode_by_schema, partition_columns, unframe
-from ..sources.files import clustered_for_write
+from ..operators.framing import FRAME_SCHEMA, as_struct, decode_by_schema, partition_columns
+from ..sources.files import clustered_for_write, read_partitioned_quotes
 
-PARTITION_COLS = ["symbol", "year", "month", "day"]
+PARTITION_COLS = ["year", "month", "day"]
+REJECT_SCHEMA = "key string, schema_id int, value binary, reason string, batch long"
 
 
-def stage_batch(batch: DataFrame, batch_id: int, sink_path: str, schemas: dict[int, T.StructType],
+def rejects_of(sink_path: str) -> str:
+    """Where the rejects of a staged table go unless another path is given."""
+    return sink_path.rstrip("/") + "_rejects"
+
+
+def _write(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+
+
+def stage_batch(batch: DataFrame, batch_id: int, sink_path: str, schemas: dict[int, T.StructType | str],
                 codec: str = "json", rejects_path: str | None = None) -> None:
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ids = sorted(r[0] for r in batch.select("schema_id").distinct().collect() if r[0] is not None)
-        if not ids:
-            return
-        decoded = decode_by_schema(batch, schemas, ids, codec)
-        good = decoded.where(F.col("_decoded") & F.col("symbol").isNotNull()).drop("_decoded")
-        staged = partition_columns(good).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        (clustered_for_write(staged, PARTITION_COLS)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*PARTITION_COLS, "batch").parquet(sink_path))
-        if rejects_path is not None:
-            bad = decoded.where(~F.col("_decoded") | F.col("symbol").isNull()).select("key", "schema_id")
-            bad.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite") \
-                .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(rejects_path)
-    finally:
-        batch.unpersist()
+    """Write one micro-batch of ``(key, value)`` rows to the staged table and the reject table."""
+    decoded = decode_by_schema(batch, schemas, codec).withColumn("batch", F.lit(batch_id).cast("bigint"))
+    staged = partition_columns(decoded.where(F.col("reason").isNull()).drop("value", "reason"))
+    order = [*PARTITION_COLS, "batch", "symbol", "trade_time"]
+    _write(clustered_for_write(staged, PARTITION_COLS).sortWithinPartitions(*order), sink_path, [*PARTITION_COLS, "batch"])
+    bad = decoded.where(F.col("reason").isNotNull()).select("key", "schema_id", "value", "reason", "batch")
+    _write(bad, rejects_path or rejects_of(sink_path), ["batch"])
 
 
 def framed_stream(spark: SparkSession, fmt: str, options: dict | None = None, path: str | None = None) -> DataFrame:
-    """Unframed message stream: key (string), schema_id, payload."""
+    """Message stream: key (string) and value (the whole frame)."""
     reader = spark.readStream.format(fmt).options(**(options or {}))
     if fmt != "kafka":
         reader = reader.schema(FRAME_SCHEMA)
     src = reader.load(path) if path else reader.load()
-    return unframe(src.select(F.col("key").cast("string").alias("key"), "value")).drop("value", "magic")
+    return src.select(F.col("key").cast("string").alias("key"), "value")
 
 
-def start_staging(stream: DataFrame, sink_path: str, checkpoint: str, schemas: dict[int, T.StructType],
+def start_staging(stream: DataFrame, sink_path: str, checkpoint: str, schemas: dict[int, T.StructType | str],
                   codec: str = "json", available_now: bool = False, rejects_path: str | None = None
                   ) -> StreamingQuery:
     writer = (stream.writeStream
@@ -64,15 +63,24 @@ def start_staging(stream: DataFrame, sink_path: str, checkpoint: str, schemas: d
     return writer.start()
 
 
-def staged_schema(schemas: dict[int, T.StructType]) -> T.StructType:
+def staged_schema(schemas: dict[int, T.StructType | str]) -> T.StructType:
     """Read-back schema of the staged table: union of writer schemas + partitions."""
     seen: dict[str, T.DataType] = {"key": T.StringType(), "schema_id": T.IntegerType()}
     for _, s in sorted(schemas.items()):
-        for f in s.fields:
-            if f.name not in PARTITION_COLS:
-                seen.setdefault(f.name, f.dataType)
+        for f in as_struct(s).fields:
+            seen.setdefault(f.name, f.dataType)
     fields = [T.StructField(k, v) for k, v in seen.items()]
-    fields += [T.StructField("symbol", T.StringType()), T.StructField("year", T.IntegerType()),
-               T.StructField("month", T.IntegerType()), T.StructField("day", T.IntegerType()),
-               T.StructField("batch", T.LongType())]
+    fields += [T.StructField(c, T.IntegerType()) for c in PARTITION_COLS] + [T.StructField("batch", T.LongType())]
     return T.StructType(fields)
+
+
+def read_rejects(spark: SparkSession, sink_path: str) -> DataFrame:
+    return spark.read.schema(REJECT_SCHEMA).parquet(rejects_of(sink_path))
+
+
+def compact_staged(spark: SparkSession, source_path: str, target_path: str, schemas: dict[int, T.StructType | str]) -> None:
+    """Rewrite a staged table into a new one with one run of files per day, sorted by symbol;
+    ``batch`` becomes a column.  The caller swaps the paths when it has succeeded."""
+    staged = read_partitioned_quotes(spark, source_path, staged_schema(schemas))
+    (clustered_for_write(staged, PARTITION_COLS).sortWithinPartitions(*PARTITION_COLS, "symbol", "trade_time")
+     .write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(target_path))
