@@ -18,7 +18,8 @@ from tickbar.llm.queries import MIX_OTHER, MIX_SEED, MIX_WEIGHTS, QUALITY_TARGET
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier finds of low quality or toxic go."""
     models = quality.fit(docs, table(spark, sf_dir, "labels"), QUALITY_TARGETS)
-    return quality.score(docs, models, QUALITY_TARGETS).where("keep").select(*docs.columns)
+    scored = quality.score(docs, models, QUALITY_TARGETS, prefix="__p_", score_col="__score", keep_col="__keep")
+    return scored.where("__keep").select(*docs.columns)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,14 +29,15 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words that stand in a document with a smaller id go; n_chars follows the text."""
-    cut = substring.remove_repeats(docs, substring.find_repeats(docs), kept_col="text")
-    return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long"))
+    cut = substring.remove_repeats(docs, substring.find_repeats(docs), kept_col="text", n_col="__n", removed_col="__removed")
+    return cut.withColumn("n_chars", F.when(F.col("__removed") > 0, F.char_length("text").cast("long"))
                           .otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated by their source's rate, and shuffled; a copy is a row of its own."""
-    return mixing.mix(docs, MIX_WEIGHTS, MIX_OTHER, seed=MIX_SEED).select(*docs.columns)
+    return mixing.mix(docs, MIX_WEIGHTS, MIX_OTHER, seed=MIX_SEED, copy_col="__copy", copies_col="__copies",
+                      key_col="__key").select(*docs.columns)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

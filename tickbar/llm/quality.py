@@ -255,17 +255,17 @@ def _scorer(broadcast, targets: dict[str, int], kept: list[str]):
 
 def score(docs: DataFrame, models: dict, targets: dict[str, int], text_col: str = "text", source_col: str = "source",
           lang_col: str = "lang", chars_col: str = "n_chars", keep: list[str] | None = None, prefix: str = "p_",
-          keep_col: str = "keep") -> DataFrame:
-    """`keep` columns (default: all) plus p_<target> (probability of 1) and whether the document stays."""
-    keep = without(docs.columns if keep is None else keep, keep_col, *[prefix + t for t in targets])
+          score_col: str = "score", keep_col: str = "keep") -> DataFrame:
+    """`keep` columns (default: all) plus p_<target> (probability of 1), the score (probability that the
+    document is good by its worst target) and whether it stays."""
+    keep = without(docs.columns if keep is None else keep, keep_col, score_col, *[prefix + t for t in targets])
     names = [f"__k{i}" for i in range(len(keep))]
     src = _views(docs, [F.col(c).alias(n) for c, n in zip(keep, names)], text_col, source_col, lang_col, chars_col)
     schema = T.StructType([*src.select(*names).schema.fields,
                            *[T.StructField(f"__chance_{t}", T.DoubleType()) for t in targets]])
     out = src.mapInArrow(_scorer(docs.sparkSession.sparkContext.broadcast(models), targets, names), schema)
-    good = F.lit(True)
-    for t, bad in targets.items():
-        if models[t] is not None:
-            good = good & ((F.col(f"__chance_{t}") <= 0.5) if bad else (F.col(f"__chance_{t}") >= 0.5))
+    good = [1 - F.col(f"__chance_{t}") if bad else F.col(f"__chance_{t}") for t, bad in targets.items() if models[t] is not None]
+    worst = F.least(*good) if len(good) > 1 else good[0] if good else F.lit(1.0)
     return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)],
-                      *[F.col(f"__chance_{t}").alias(prefix + t) for t in targets], good.alias(keep_col))
+                      *[F.col(f"__chance_{t}").alias(prefix + t) for t in targets], worst.alias(score_col),
+                      (worst >= 0.5).alias(keep_col))

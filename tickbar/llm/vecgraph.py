@@ -6,13 +6,14 @@
 3. Every block builds a graph: each vector's nearest candidates, robust-pruned to DEGREE
    edges.  The adjacency lists of a vector from all its blocks are united, and edges run both ways.
 4. Every member of a shard searches each of the shard's blocks: greedy from the block's
-   medoid and from its own place in the graph, with a beam, until nothing nearer comes; then the
-   search expands through every vector within range (less a slack) until no more are found.
-5. Links are verified: the cosine in double precision on the original vectors decides.
-
-A pair may meet in several shards; the smallest shard number that both vectors share
-counts it, so link counts add up without listing pairs, and a task reports only links
-that join different trees.
+   medoid, from its own place in the graph and from its united list, with a beam, until nothing
+   nearer comes; then the search expands through every vector within range (less a slack) until
+   no more are found.  Blocks are dealt anew in every shard, so a list holds neighbours from
+   different blocks and leads into them.
+5. A task reports only links that join different trees; these give the components.
+6. Links are verified and counted inside the components: blocks of members are compared with
+   each other by cosine in double precision on the original vectors.  Only counts leave a task, so
+   a large group gives a row per member and block, not per pair.
 
 The recall of the links is audited on a bounded sample of vectors against all rows; while it is under
 the target, the overlap grows, in the end to all shards.
@@ -36,15 +37,15 @@ from .components import Forest, connected_components
 from .vectors import as_doubles, matrix, sample_vectors, unit, usable
 
 COSINE = 0.9
-SHARD_ROWS = 1024     # wanted mean size of a shard without overlap
-MAX_PIVOTS = 4096     # bound of the pivot sample
-BLOCK = 2048
+SHARD_ROWS = 512      # wanted mean size of a shard without overlap
+MAX_PIVOTS = 16384    # bound of the pivot sample
+BLOCK = 3072          # above the usual size of a shard with overlap: only hot shards are cut
 OVERLAP = 3
 DEGREE = 16
 CANDIDATES = 48
 ALPHA = 1.2
 BEAM = 16
-SLACK = 0.1           # the search expands through vectors this much below the range
+SLACK = 0.2           # the search expands through vectors this much below the range
 AUDIT_ROWS = 128      # bound of the audit sample
 AUDIT_RECALL = 0.99
 
@@ -67,14 +68,15 @@ def robust_prune(sims: np.ndarray, order: np.ndarray, own: np.ndarray, degree: i
 def build_block(x: np.ndarray) -> list[list[int]]:
     """Adjacency lists of a block of unit vectors, edges both ways."""
     n = len(x)
+    x = x.astype(np.float32)
     sims = x @ x.T
     np.fill_diagonal(sims, -2.0)
     k = min(CANDIDATES, n - 1)
     out: list[set[int]] = [set() for _ in range(n)]
     if k > 0:
-        top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
         for i in range(n):
-            cand = top[i][np.argsort(-sims[i, top[i]], kind="stable")]
+            top = np.argpartition(sims[i], n - k)[n - k:]
+            cand = top[np.lexsort((top, -sims[i, top]))]
             for j in robust_prune(sims, cand, sims[i]):
                 out[i].add(j)
                 out[j].add(i)
@@ -165,7 +167,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _search(cosine: float):
-    """Per query and block: links counted there, and the links that join different trees."""
+    """Links (u, v) found by each query in each block, those that join different trees."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts, graph = None, [], None
 
@@ -175,10 +177,8 @@ def _search(cosine: float):
             at = {int(n): i for i, n in enumerate(nodes)}
             near = [[at[j] for j in (own or ()) if j in at] for p in parts for own in p.column("near").to_pylist()]
             links = [np.array(sorted(set(own)), np.int64) for own in near]
-            shards = [set(s) for p in parts for s in p.column("shards").to_pylist()]
-            weight = np.concatenate([p.column("copies").to_numpy() for p in parts])
             medoid = int(np.argmax(x @ x.mean(axis=0)))
-            return nodes, x, at, links, shards, weight, medoid, Forest()
+            return nodes, x, at, links, medoid, Forest(), np.arange(len(nodes))
 
         for k, part in _grouped(batches, 3):
             shard, block, role = k
@@ -191,24 +191,45 @@ def _search(cosine: float):
                 continue
             if graph is None:
                 graph = prepare()
-            nodes, x, at, links, shards, weight, medoid, trees = graph
+            nodes, x, at, links, medoid, trees, tree_of = graph
             q = unit(matrix(part, "v"))
             ids = part.column(3).to_numpy()
-            own_shards = part.column("shards").to_pylist()
-            counts, partner = np.zeros(len(ids), np.int64), [[] for _ in ids]
+            lists = part.column("near").to_pylist()
+            pairs: list[tuple[int, int]] = []
             for i, node in enumerate(ids.tolist()):
-                starts = [medoid, at[node]] if node in at else [medoid]
+                starts = [medoid, *[at[j] for j in (node, *(lists[i] or ())) if j in at]]
                 found = greedy(x, links, q[i], starts, cosine - SLACK)
                 found = found[(x[found] @ q[i] >= cosine) & (nodes[found] != node)]
-                mine = set(own_shards[i])
-                for j in found.tolist():
-                    if min(mine & shards[j]) == shard:
-                        counts[i] += weight[j]
-                    other = int(nodes[j])
-                    if trees.join(node, other):
-                        partner[i].append(other)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts), pa.array(partner, pa.list_(pa.int64()))],
-                                             ["node", "links", "joined"])
+                if len(found):
+                    known = np.unique(tree_of[found])  # one member of each tree met stands for it
+                    pairs += [(node, int(nodes[k])) for k in known if trees.join(node, int(nodes[k]))]
+                    tree_of[found] = known[0]
+            if pairs:
+                u, v = np.array(pairs, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+    return run
+
+
+def _count(cosine: float):
+    """Per member and block of its component: the copies it links with there."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, parts, home = None, [], None
+        for k, part in _grouped(batches, 3):
+            component, block, role = k
+            if (component, block) != key:
+                key, parts, home = (component, block), [], None
+            if role == 0:
+                parts.append(part)
+                continue
+            if not parts:
+                continue
+            if home is None:
+                home = (unit(np.concatenate([matrix(p, "v") for p in parts])), np.concatenate([p.column(3).to_numpy() for p in parts]),
+                        np.concatenate([p.column(5).to_numpy() for p in parts]))
+            x, nodes, copies = home
+            ids, q = part.column(3).to_numpy(), unit(matrix(part, "v"))
+            counts = [((q[a:a + 512] @ x.T >= cosine) & (ids[a:a + 512, None] != nodes)) @ copies for a in range(0, len(q), 512)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(counts))], ["node", "links"])
     return run
 
 
@@ -227,32 +248,46 @@ def _audit(sample: np.ndarray, nodes: np.ndarray, cosine: float):
     return run
 
 
-def _links_once(classes: DataFrame, pivots: np.ndarray, overlap: int, cosine: float) -> tuple[DataFrame, DataFrame]:
-    fields = "node long, v array<double>, copies long, shards array<int>"
-    placed = classes.select(F.col("rank").alias("node"), "v", "copies").mapInArrow(_assign(pivots, overlap), fields)
+def _edges(classes: DataFrame, pivots: np.ndarray, overlap: int, cosine: float) -> DataFrame:
+    """u, v: a forest that joins all linked classes found with this overlap."""
+    fields = "node long, v array<double>, shards array<int>"
+    placed = classes.select(F.col("rank").alias("node"), "v").mapInArrow(_assign(pivots, overlap), fields)
     placed = scratch(placed, "vec-placed")
     # a row per pivot at most: bounded by MAX_PIVOTS
     blocks = (placed.select(F.explode("shards").alias("shard")).groupBy("shard").count()
               .select("shard", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
     blocks = F.broadcast(scratch(blocks, "vec-blocks"))
     member = placed.withColumn("shard", F.explode("shards")).join(blocks, "shard")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("node", "shard"), F.col("blocks")).cast("int")
 
     built = member.select("shard", own.alias("block"), "node", "v").repartition("shard", "block")
     built = built.sortWithinPartitions("shard", "block", "node").mapInArrow(_build, "node long, near array<long>")
     united = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     graph = scratch(united.withColumnRenamed("node", "of"), "vec-graph")  # at most overlap lists a node
 
-    home = member.join(graph, F.col("node") == F.col("of")).select(
-        "shard", own.alias("block"), F.lit(0).alias("role"), "node", "v", "near", "shards", "copies")
-    none = F.lit(None).cast("array<long>").alias("near")
+    member = member.join(graph, F.col("node") == F.col("of"))
+    home = member.select("shard", own.alias("block"), F.lit(0).alias("role"), "node", "v", "near")
     query = member.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "shard", "block", F.lit(1).alias("role"), "node", "v", none, "shards", "copies")
+        "shard", "block", F.lit(1).alias("role"), "node", "v", "near")
     stream = home.union(query).repartition("shard", "block").sortWithinPartitions("shard", "block", "role", "node")
-    found = scratch(stream.mapInArrow(_search(cosine), "node long, links long, joined array<long>"), "vec-found")
-    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    edges = found.select(F.col("node").alias("u"), F.explode("joined").alias("v"))
-    return scratch(counts, "vec-counts"), edges
+    return stream.mapInArrow(_search(cosine), "u long, v long")
+
+
+def _links(classes: DataFrame, pivots: np.ndarray, overlap: int, cosine: float) -> DataFrame:
+    """node, component, links of every class that links with another one."""
+    comp = scratch(connected_components(_edges(classes, pivots, overlap, cosine)), "vec-components")
+    sizes = comp.groupBy(F.col("component").alias("c")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    sizes = scratch(sizes, "vec-sizes")
+    member = comp.join(sizes, F.col("component") == F.col("c")).join(
+        classes.select("rank", "v", "copies"), F.col("node") == F.col("rank")).select("component", "node", "v", "copies", "blocks")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    home = member.select("component", own.alias("block"), F.lit(0).alias("role"), "node", "v", "copies")
+    query = member.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "component", "block", F.lit(1).alias("role"), "node", "v", "copies")
+    stream = home.union(query).repartition("component", "block").sortWithinPartitions("component", "block", "role", "node")
+    counts = stream.mapInArrow(_count(cosine), "node long, links long").groupBy(F.col("node").alias("of")).agg(
+        F.sum("links").alias("links"))
+    return scratch(comp.join(counts, F.col("node") == F.col("of")).select("node", "component", "links"), "vec-links")
 
 
 def recall(classes: DataFrame, counts: DataFrame, cosine: float, rows: int = AUDIT_ROWS) -> float:
@@ -264,7 +299,8 @@ def recall(classes: DataFrame, counts: DataFrame, cosine: float, rows: int = AUD
     sample = unit(np.array(picked.column("v").to_pylist(), np.float64))
     truth = classes.select("rank", "v", "copies").mapInArrow(_audit(sample, nodes, cosine), "node long, truth long")
     truth = truth.groupBy("node").agg(F.sum("truth").alias("truth")).where("truth > 0")
-    both = truth.join(counts.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+    counts = counts.select(F.col("node").alias("of"), "links")
+    both = truth.join(counts, F.col("node") == F.col("of"), "left")
     true, held = both.agg(F.sum("truth"), F.sum(F.least("truth", F.coalesce("links", F.lit(0))))).first()
     return 1.0 if not true else held / true
 
@@ -282,27 +318,25 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, id_col: str =
     dims = [r[0] for r in classes.select("dim").distinct().sort("dim").limit(1025).collect()]
     if len(dims) > 1024:
         raise ValueError("more than 1024 different vector lengths")
-    counts = edges = None
+    linked = None
     for dim in dims:
         own = classes.where(F.col("dim") == dim)
         n = own.count()
         pivots = sample_vectors(own, min(MAX_PIVOTS, max(1, n // SHARD_ROWS)))
         wide = min(overlap, len(pivots))
         while True:
-            c, e = _links_once(own, pivots, wide, cosine)
-            if wide >= len(pivots) or recall(own, c, cosine) >= target:
+            found = _links(own, pivots, wide, cosine)
+            if wide >= len(pivots) or recall(own, found, cosine) >= target:
                 break
             wide = min(2 * wide, len(pivots))
-        counts, edges = (c, e) if counts is None else (counts.union(c), edges.union(e))
-    if counts is None:
+        linked = found if linked is None else linked.union(found)
+    if linked is None:
         return src.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                           F.lit(True).alias("kept"))
-    comp = connected_components(edges)
-    of = (classes.join(comp, classes["rank"] == comp["node"], "left").join(counts.withColumnRenamed("node", "of"), F.col("rank") == F.col("of"), "left")
-          .select("rank", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"),
-                  F.coalesce("component", "rank").alias("component")))
+    of = classes.join(linked, F.col("rank") == F.col("node"), "left").select(
+        "rank", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "rank").alias("component"))
     of = scratch(of, "vec-of")
-    named = scratch(of.groupBy(F.col("component").alias("c")).agg(F.min("least").alias("component_rank")), "vec-components")
+    named = scratch(of.groupBy(F.col("component").alias("c")).agg(F.min("least").alias("component_rank")), "vec-named")
     of = scratch(of.join(named, F.col("component") == F.col("c")).select(
         F.col("rank").alias("class"), "copies", "links", "component_rank"), "vec-result")
     out = src.withColumn("key", F.xxhash64("v")).join(of, F.col("v").isNotNull() & (F.col("key") == F.col("class")), "left")
