@@ -131,7 +131,9 @@ def q_history_union(spark, sf):
 # ------------------------------------------------------------- symbols ----
 @register("symbols_scan")
 def q_symbols_scan(spark, sf):
-    return symbols_v(spark, sf)
+    table = scratch_path(spark, "symbols")
+    FS.load_symbols(symbols_v(spark, sf), table)
+    return FS.read_symbols(spark, path=table)
 
 
 def _symbols_with_duplicate(spark, sf):
@@ -145,7 +147,7 @@ def q_symbols_csv_load(spark, sf):
     FS.write_symbols_csv(_symbols_with_duplicate(spark, sf), path)
     table = scratch_path(spark, "symbols")
     FS.load_symbols(FS.read_symbols_csv(spark, path), table)
-    return FS.read_symbols(spark, table)
+    return FS.read_symbols(spark, path=table)
 
 
 @register("symbols_pk_audit")

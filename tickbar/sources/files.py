@@ -83,8 +83,9 @@ def load_symbols(df: DataFrame, path: str) -> None:
     dedup_symbols(df).write.mode("overwrite").parquet(path)
 
 
-def read_symbols(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SYMBOL_SCHEMA).parquet(path)
+def read_symbols(spark: SparkSession, fmt: str = "parquet", options: dict | None = None, path: str | None = None) -> DataFrame:
+    """Full scan of the symbol dimension."""
+    return read_relation(spark, fmt, options, path, SYMBOL_SCHEMA).select("symbol", "tb")
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None, **extra) -> dict:
@@ -99,8 +100,13 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
     return opts
 
 
-def read_jdbc(spark: SparkSession, **opts) -> DataFrame:
-    return spark.read.format("jdbc").options(**opts).load()
+def read_relation(spark: SparkSession, fmt: str, options: dict | None = None, path: str | None = None,
+                  schema: T.StructType | None = None) -> DataFrame:
+    """A whole relational table: ``fmt="jdbc"`` with ``jdbc_options`` in production, a file format in tests."""
+    reader = spark.read.format(fmt).options(**(options or {}))
+    if schema is not None and fmt != "jdbc":  # a database brings its own schema
+        reader = reader.schema(schema)
+    return reader.load(path) if path else reader.load()
 
 
 def kafka_source_options(bootstrap: str, topic: str, starting: str = "latest", **extra) -> dict:
