@@ -214,7 +214,9 @@ def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, int], id_col: str
     chosen = train_ids.unionByName(pool_ids, allowMissingColumns=True)
     # bounded by train_rows + pool_rows
     src = _views(docs, [F.col(id_col).alias("__id")], text_col, source_col, lang_col, chars_col)
-    src = src.join(F.broadcast(chosen), "__id")
+    view = ["__text", "__source", "__lang", "__chars"]
+    src = (src.join(F.broadcast(chosen), "__id").groupBy("__id", *targets)  # one row per id, however often it occurs
+           .agg(F.min(F.struct(*view)).alias("view")).select("__id", *targets, *[f"view.{c}" for c in view]))
     cols = ["__id", *targets]
     schema = T.StructType([*src.select(*cols).schema.fields, T.StructField("terms", T.ArrayType(T.LongType())),
                            T.StructField("figures", T.ArrayType(T.FloatType()))])
