@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, lower_ascii, without, word_hashes
+from .common import binaries, hash_sample, lower_ascii, without, word_hashes
 
 TRAIN_ROWS = 12_000
 POOL_ROWS = 4_000
@@ -205,12 +205,11 @@ def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, int], id_col: str
         source_col: str = "source", lang_col: str = "lang", chars_col: str = "n_chars", train_rows: int = TRAIN_ROWS,
         pool_rows: int = POOL_ROWS, rounds: int = ROUNDS) -> dict:
     """Models per target; `targets` maps a label column to its bad value (0 or 1)."""
-    by_hash = [F.xxhash64(F.col("__id").cast("string")), "__id"]
     worst = [(F.max if bad else F.min)(F.col(t).cast("int")).alias(t) for t, bad in targets.items()]
     told = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(*worst)
     ids = docs.select(F.col(id_col).alias("__id")).where(F.col("__id").isNotNull())
-    train_ids = told.join(ids, "__id", "left_semi").orderBy(*by_hash).limit(train_rows)
-    pool_ids = ids.join(told, "__id", "left_anti").distinct().orderBy(*by_hash).limit(pool_rows)
+    train_ids = hash_sample(told.join(ids, "__id", "left_semi"), train_rows, "__id")
+    pool_ids = hash_sample(ids.join(told, "__id", "left_anti").distinct(), pool_rows, "__id")
     chosen = train_ids.unionByName(pool_ids, allowMissingColumns=True)
     # bounded by train_rows + pool_rows
     src = _views(docs, [F.col(id_col).alias("__id")], text_col, source_col, lang_col, chars_col)

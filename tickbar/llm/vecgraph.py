@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_rank, scratch
+from .common import hash_sample, id_rank, scratch
 from .components import Forest, connected_components
 from .vectors import as_doubles, matrix, sample_vectors, unit, usable
 
@@ -292,7 +292,7 @@ def _links(classes: DataFrame, pivots: np.ndarray, overlap: int, cosine: float)
 
 def recall(classes: DataFrame, counts: DataFrame, cosine: float, rows: int = AUDIT_ROWS) -> float:
     """Share of the links of a bounded sample of vectors that the counts hold (1 if there is none)."""
-    picked = classes.select("rank", "v").orderBy(F.xxhash64(F.lit(5), "rank")).limit(rows).toArrow()
+    picked = hash_sample(classes.select("rank", "v"), rows, "rank").toArrow()
     if not picked.num_rows:
         return 1.0
     nodes = picked.column("rank").to_numpy()

@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import hash_sample
+
 
 def usable(vector: Column) -> Column:
     """Neither null nor zero nor empty, without null or non-finite components."""
@@ -37,5 +39,5 @@ def sample_vectors(rows: DataFrame, n: int, vector: str = "v", key: str = "rank"
     """At most n vectors, the smallest by hash of the key (a bounded sample)."""
     if n <= 0:
         return np.zeros((0, 0))
-    picked = rows.select(vector, key).orderBy(F.xxhash64(F.lit(17), key), key).limit(n).select(vector).toArrow()
+    picked = hash_sample(rows.select(vector, key), n, key).select(vector).toArrow()
     return unit(np.array(picked.column(0).to_pylist(), np.float64)) if picked.num_rows else np.zeros((0, 0))
