@@ -9,7 +9,7 @@
    from the owners' texts, and streams every document with one of them through it to locate
    every occurrence.  A shard with many documents is dealt to several tasks, each with the
    automaton.
-4. Confirmation.  Windows around the occurrences are told apart by 128-bit hashes; a window
+4. Confirmation.  Windows anchored at an occurrence are told apart by 128-bit hashes; a window
    that also stands in a document with a smaller id is removed from this one.
 
 Memory in a task follows the shard size (a parameter) and the longest text.  Documents
@@ -51,16 +51,12 @@ def sequence_key(joined: bytes) -> bytes:
     return hashlib.blake2b(joined, digest_size=16).digest()
 
 
-def anchor_places(phrases: np.ndarray, per_window: int) -> np.ndarray:
-    """Places of the leftmost smallest phrase hash of each window of `per_window` phrases."""
+def anchor_of_windows(phrases: np.ndarray, per_window: int) -> np.ndarray:
+    """Place of the leftmost smallest phrase hash of each window of `per_window` phrases."""
     if len(phrases) < per_window:
         return np.zeros(0, np.int64)
-    out = []
-    for at in range(0, len(phrases) - per_window + 1, 1 << 16):
-        part = phrases[at:at + (1 << 16) + per_window - 1]
-        views = np.lib.stride_tricks.sliding_window_view(part, per_window)
-        out.append(np.unique(views.argmin(axis=1) + np.arange(len(views))) + at)
-    return np.unique(np.concatenate(out))
+    views = np.lib.stride_tricks.sliding_window_view(phrases, per_window)
+    return views.argmin(axis=1) + np.arange(len(views))
 
 
 def _anchors(window: int, phrase: int):
@@ -74,7 +70,7 @@ def _anchors(window: int, phrase: int):
                 counts.append(len(starts))
                 if len(starts) >= window:
                     runs = run_hashes(word_hashes(joined, starts, stops), phrase)
-                    anchors.append(np.unique(runs[anchor_places(runs, window - phrase + 1)]))
+                    anchors.append(np.unique(runs[np.unique(anchor_of_windows(runs, window - phrase + 1))]))
                     offsets.append(offsets[-1] + len(anchors[-1]))
                 else:
                     offsets.append(offsets[-1])
@@ -119,12 +115,9 @@ def _locate(window: int, phrase: int):
                 found = np.fromiter((e for e, _ in automaton.iter(padded.decode("latin-1"))), np.int64)
                 if not len(found):
                     continue
-                places = np.searchsorted(stops, found - 1) - phrase + 1
-                n = len(starts) - window + 1
-                marks = np.zeros(n + 1, np.int64)
-                np.add.at(marks, np.clip(places - (window - phrase), 0, n), 1)
-                np.add.at(marks, np.clip(places + 1, 0, n), -1)
-                at = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
+                located = np.zeros(len(starts) - phrase + 1, bool)
+                located[np.searchsorted(stops, found - 1) - phrase + 1] = True
+                at = np.flatnonzero(located[anchor_of_windows(run_hashes(words, phrase), window - phrase + 1)])
                 if not len(at):
                     continue
                 other = word_hashes(joined, starts, stops, 1)
