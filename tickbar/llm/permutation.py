@@ -28,7 +28,7 @@ from .common import scratch
 from .vectors import as_doubles, matrix, sample_vectors, unit, usable
 
 PIVOTS = 256
-PREFIX = 32
+PREFIX = 64
 RERANK = 0.4
 LEAST_RERANK = 64
 BLOCK = 8192
