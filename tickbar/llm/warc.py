@@ -36,6 +36,7 @@ MIN_REVISIT = 100
 ROLL_BYTES = 64 << 20   # an archive file is closed beyond this size
 GAP_BYTES = 64 << 10    # ranges closer than this are read as one
 READ_BYTES = 8 << 20    # a coalesced read stays below this, unless one record is larger
+TASK_BYTES = 16 << 20   # archive bytes per reading task (index rows are too small to size tasks by)
 _DATE = "2024-01-01T00:00:00Z"
 _INDEX = ("page_id long, url string, record_type string, refers_to long, payload_digest string, "
           "file string, offset long, length long")
@@ -192,7 +193,8 @@ def _reader(root: str, gap: int, most: int):
 def read_records(selected: DataFrame, root: str, gap: int = GAP_BYTES, most: int = READ_BYTES) -> DataFrame:
     """The records of the selected index rows (payload null for revisits)."""
     stretch = F.floor(F.col("offset") / most)
-    rows = (selected.select("file", "offset", "length").repartition("file", stretch)
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    rows = (selected.select("file", "offset", "length").repartition(max(1, -(-total // TASK_BYTES)), "file", stretch)
             .sortWithinPartitions("file", "offset"))
     return rows.mapInArrow(_reader(f"{root}/archive", gap, most), _RECORD)
 
