@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, fresh, once, without
+from .common import binaries, fresh, lean, once, without
 
 CACHE_BYTES = 24 << 20
 CHUNK_MASK_BITS = 11  # chunks of about 2 KB
@@ -216,7 +216,7 @@ def _signature(name: str, key: str):
                         a = b
                     out[i] = least
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, key])
-    return run
+    return lean(run)
 
 
 def _vocabulary(spec) -> Vocabulary:
@@ -241,7 +241,7 @@ def _encoder(spec, name: str, kept: list[str], ids_col: str, cache_bytes: int):
                     ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(runs)))
                     yield pa.RecordBatch.from_arrays([*keep.slice(first, len(runs)).columns, ids], [*kept, ids_col])
                     runs, size, first = [], 0, i + 1
-    return run
+    return lean(run)
 
 
 def _decoder(spec, name: str, kept: list[str], text_col: str):
@@ -261,7 +261,7 @@ def _decoder(spec, name: str, kept: list[str], text_col: str):
                     yield pa.RecordBatch.from_arrays(
                         [*keep.slice(first, len(texts)).columns, pa.array(texts, pa.string())], [*kept, text_col])
                     texts, size, first = [], 0, i + 1
-    return run
+    return lean(run)
 
 
 def _spec(df: DataFrame, path: str):

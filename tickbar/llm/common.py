@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -134,6 +135,32 @@ def run_hashes(words: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     return mix(out)
 
 
+def release() -> None:
+    """Give memory that a finished task has freed back to the system (workers live on between tasks)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A batch function whose task releases its memory at the end."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return wrapped
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that what is made per batch stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def once(key: tuple, build: Callable[[], Any]) -> Any:
     """What `build` gives, made once in the life of a Python worker (tasks reuse workers)."""
     store = sys.modules.setdefault("_tickbar_worker", types.ModuleType("_tickbar_worker")).__dict__

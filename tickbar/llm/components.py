@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import lean, scratch
 
 
 class Forest:
@@ -62,7 +62,7 @@ def _state(edges: DataFrame) -> tuple:
 def connected_components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest reachable node) of every node of the edges (u, v: long)."""
     spread = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    now = scratch(spread.repartition(F.col("u")).mapInArrow(_spanning, "u long, v long"), "cc-edges")
+    now = scratch(spread.repartition(F.col("u")).mapInArrow(lean(_spanning), "u long, v long"), "cc-edges")
     state = _state(now)
     while state[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import lean, scratch
 from .vectors import as_doubles, matrix, sample_vectors, unit, usable
 
 PIVOTS = 256
@@ -110,7 +110,7 @@ def _answer(pivots: np.ndarray, k: int, prefix: int, share: float):
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
                                                   pa.array([r[2] for r in out], pa.float64())], ["query_id", "vec_id", "score"])
-    return run
+    return lean(run)
 
 
 def search(embeddings: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",

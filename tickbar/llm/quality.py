@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, hash_sample, lower_ascii, without, word_hashes
+from .common import binaries, hash_sample, lean, lower_ascii, slices, without, word_hashes
 
 TRAIN_ROWS = 12_000
 POOL_ROWS = 4_000
@@ -102,7 +102,7 @@ def _features(columns: list[str]):
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found).view(np.int64))),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(figures) + 1) * width, pa.int32()),
                                           pa.array(np.concatenate(figures)))], [*columns, "terms", "figures"])
-    return run
+    return lean(run)
 
 
 def _views(docs: DataFrame, keep: list, text_col: str, source_col: str, lang_col: str, chars_col: str) -> DataFrame:
@@ -235,7 +235,7 @@ def _scorer(broadcast, targets: dict[str, int], kept: list[str]):
         models = broadcast.value
         wanted = [m["vocabulary"] for m in models.values() if m is not None]
         wanted = np.unique(np.concatenate(wanted)) if wanted else np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             meta = zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__source", "__lang", "__chars")))
             lists, figures = [], []
             for text, (source, lang, chars) in zip(binaries(batch, "__text"), meta):
@@ -251,7 +251,7 @@ def _scorer(broadcast, targets: dict[str, int], kept: list[str]):
             found = [chances(models[t], lists, figures) for t in targets]
             yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, *map(pa.array, found)],
                                              [*kept, *[f"__chance_{t}" for t in targets]])
-    return run
+    return lean(run)
 
 
 def score(docs: DataFrame, models: dict, targets: dict[str, int], text_col: str = "text", source_col: str = "source",

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, fresh, id_rank, lower_ascii, scratch, without, word_bounds
+from .common import binaries, fresh, id_rank, lean, lower_ascii, scratch, without, word_bounds
 from .components import connected_components
 
 SEED = 42
@@ -64,7 +64,7 @@ def _fingerprints(name: str, kept: int, shingle: int, fp_col: str):
             fps = np.fromiter((fingerprint(t, shingle) for t in binaries(batch, name)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(fps.view(np.int64))],
                                              [*batch.schema.names[:kept], fp_col])
-    return run
+    return lean(run)
 
 
 def with_fingerprint(docs: DataFrame, fp_col: str, shingle: int = 3, text_col: str = "text",
@@ -161,7 +161,7 @@ def _compare(radius: int):
                 yield batch_of(found)
         if held and home is None and (found := settle()):
             yield batch_of(found)
-    return run
+    return lean(run)
 
 
 def links(groups: DataFrame, radius: int = 2, block: int = BLOCK) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, fresh, id_rank, run_hashes, scratch, without, word_bounds, word_hashes
+from .common import binaries, fresh, id_rank, lean, run_hashes, scratch, slices, without, word_bounds, word_hashes
 
 WINDOW = 50
 PHRASE = 10
@@ -61,7 +61,7 @@ def anchor_of_windows(phrases: np.ndarray, per_window: int) -> np.ndarray:
 
 def _anchors(window: int, phrase: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             seqs, counts, anchors, offsets = [], [], [np.zeros(0, np.uint64)], [0]
             for text in binaries(batch, "text"):
                 text = text or b""
@@ -79,7 +79,7 @@ def _anchors(window: int, phrase: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(seqs, pa.binary()), pa.array(counts, pa.int64()), lists],
                 ["id", "seq", "n_words", "anchors"])
-    return run
+    return lean(run)
 
 
 def _locate(window: int, phrase: int):
@@ -129,7 +129,7 @@ def _locate(window: int, phrase: int):
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out],
                                                  ["w1", "w2", "id", "tag", "start"])
-    return run
+    return lean(run)
 
 
 def _remove(window: int, text_at: int, told_at: int, kept: list[str], own: list[str], one_space: bool):
@@ -161,7 +161,7 @@ def _remove(window: int, text_at: int, told_at: int, kept: list[str], own: list[
         return n, int(n - keep.sum()), out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             told = batch.column(told_at).to_pylist()
             rows = [(0, 0, None) if t is None else cut(t, d)
                     for t, d in zip(binaries(batch, batch.schema.names[text_at]), told)]
@@ -170,7 +170,7 @@ def _remove(window: int, text_at: int, told_at: int, kept: list[str], own: list[
                  pa.array([r[1] for r in rows], pa.int64()),
                  pa.array([r[2] for r in rows], pa.binary()).cast(pa.string())],
                 [*kept, *own])
-    return run
+    return lean(run)
 
 
 def find_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id_col: str = "doc_id",

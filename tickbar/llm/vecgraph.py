@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, id_rank, scratch
+from .common import hash_sample, id_rank, lean, scratch
 from .components import Forest, connected_components
 from .vectors import as_doubles, matrix, sample_vectors, unit, usable
 
@@ -132,7 +132,7 @@ def _assign(pivots: np.ndarray, overlap: int):
                 shards += np.sort(near, axis=1).tolist()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shards, pa.list_(pa.int32()))],
                                              [*batch.schema.names, "shards"])
-    return run
+    return lean(run)
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, pa.Table]]:
@@ -207,7 +207,7 @@ def _search(cosine: float):
             if pairs:
                 u, v = np.array(pairs, np.int64).T
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
-    return run
+    return lean(run)
 
 
 def _count(cosine: float):
@@ -230,7 +230,7 @@ def _count(cosine: float):
             ids, q = part.column(3).to_numpy(), unit(matrix(part, "v"))
             counts = [((q[a:a + 512] @ x.T >= cosine) & (ids[a:a + 512, None] != nodes)) @ copies for a in range(0, len(q), 512)]
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(counts))], ["node", "links"])
-    return run
+    return lean(run)
 
 
 def _audit(sample: np.ndarray, nodes: np.ndarray, cosine: float):
@@ -245,7 +245,7 @@ def _audit(sample: np.ndarray, nodes: np.ndarray, cosine: float):
                     hit = (sample @ x[at:at + 4096].T >= cosine) & (nodes[:, None] != ids[None, at:at + 4096])
                     total += hit @ weight[at:at + 4096]
         yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(total)], ["node", "truth"])
-    return run
+    return lean(run)
 
 
 def _edges(classes: DataFrame, pivots: np.ndarray, overlap: int, cosine: float) -> DataFrame:
@@ -261,7 +261,7 @@ def _edges(classes: DataFrame, pivots: np.ndarray, overlap: int, cosine: float)
     own = F.pmod(F.xxhash64("node", "shard"), F.col("blocks")).cast("int")
 
     built = member.select("shard", own.alias("block"), "node", "v").repartition("shard", "block")
-    built = built.sortWithinPartitions("shard", "block", "node").mapInArrow(_build, "node long, near array<long>")
+    built = built.sortWithinPartitions("shard", "block", "node").mapInArrow(lean(_build), "node long, near array<long>")
     united = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     graph = scratch(united.withColumnRenamed("node", "of"), "vec-graph")  # at most overlap lists a node
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tickbar.session import scratch_path
 
-from .common import binaries
+from .common import binaries, lean
 
 MIN_REVISIT = 100
 ROLL_BYTES = 64 << 20   # an archive file is closed beyond this size
@@ -138,7 +138,7 @@ def _writer(root: str, roll: int):
         finally:
             if out is not None:
                 out.close()
-    return run
+    return lean(run)
 
 
 def write_archives(pages: DataFrame, root: str, min_revisit: int = MIN_REVISIT, roll: int = ROLL_BYTES) -> DataFrame:
@@ -187,7 +187,7 @@ def _reader(root: str, gap: int, most: int):
         finally:
             if opened[1] is not None:
                 opened[1].close()
-    return run
+    return lean(run)
 
 
 def read_records(selected: DataFrame, root: str, gap: int = GAP_BYTES, most: int = READ_BYTES) -> DataFrame:
