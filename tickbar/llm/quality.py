@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, hash_sample, lean, lower_ascii, slices, without, word_hashes
+from .common import binaries, hash_sample, lean, lower_ascii, release, slices, without, word_hashes
 
 TRAIN_ROWS = 12_000
 POOL_ROWS = 4_000
@@ -112,14 +112,18 @@ def _views(docs: DataFrame, keep: list, text_col: str, source_col: str, lang_col
 
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Ridge logistic regression by Newton steps; the last weight is the offset."""
-    a = np.hstack((x, np.ones((len(x), 1), x.dtype))).astype(np.float64)
-    w = np.zeros(a.shape[1])
-    penalty = np.full(len(w), ridge)
+    n = x.shape[1] + 1
+    w = np.zeros(n)
+    penalty = np.full(n, ridge)
     penalty[-1] = 1e-4
     for _ in range(25):
-        p = 1.0 / (1.0 + np.exp(-np.clip(a @ w, -30, 30)))
-        gradient = a.T @ (weight * (y - p)) - penalty * w
-        hessian = (a * (weight * p * (1 - p))[:, None]).T @ a + np.diag(penalty)
+        gradient, hessian = -penalty * w, np.diag(penalty)
+        for at in range(0, len(x), 2048):  # pieces, so that no second copy of the rows is made
+            part = np.ones((len(x[at:at + 2048]), n))
+            part[:, :-1] = x[at:at + 2048]
+            p, own = 1.0 / (1.0 + np.exp(-np.clip(part @ w, -30, 30))), weight[at:at + 2048]
+            gradient = gradient + part.T @ (own * (y[at:at + 2048] - p))
+            hessian = hessian + (part * (own * p * (1 - p))[:, None]).T @ part
         step = np.linalg.solve(hessian, gradient)
         w += step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-6:
@@ -227,6 +231,8 @@ def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, int], id_col: str
     for t in targets:
         y = np.array([-1 if v is None else v for v in rows.column(t).to_pylist()], np.int64)
         out[t] = co_train(lists, figures, y, part, rounds) if len(y) else None
+    del lists, figures, rows
+    release()
     return out
 
 
