@@ -140,6 +140,17 @@ def test_vector_links_match_brute_force(vectors, monkeypatch, shard_rows, block)
     assert vecgraph.near_duplicates(vectors.limit(0)).count() == 0
 
 
+def test_tight_groups_are_linked_with_each_other(spark):
+    rnd = np.random.default_rng(4)
+    centres = [np.eye(16)[0], np.r_[0.93, np.sqrt(1 - 0.93 ** 2), np.zeros(14)]]
+    groups = [c + rnd.normal(size=(70, 16)) * 0.002 for c in centres]  # more than CANDIDATES near copies each
+    far = np.eye(16)[5] + rnd.normal(size=(200, 16)) * 0.002  # holds the medoid
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([*groups, far]))]
+    got = {r["vec_id"]: r for r in vecgraph.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.9).collect()}
+    assert {got[i]["component_id"] for i in range(140)} == {0} and {got[i]["n_links"] for i in range(140)} == {139}
+    assert {got[i]["component_id"] for i in range(140, 340)} == {140}
+
+
 def test_nearest_neighbours(vectors):
     good = fit_vectors(messy_vectors())
     got = {}

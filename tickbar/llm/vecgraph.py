@@ -9,7 +9,8 @@
    medoid, from its own place in the graph and from its united list, with a beam, until nothing
    nearer comes; then the search expands through every vector within range (less a slack) until
    no more are found.  Blocks are dealt anew in every shard, so a list holds neighbours from
-   different blocks and leads into them.
+   different blocks and leads into them.  A tight group can hold all candidates of its members, so
+   that no edge leaves it: after the search each member is compared with the whole block.
 5. A task reports only links that join different trees; these give the components.
 6. Links are verified and counted inside the components: blocks of members are compared with
    each other by cosine in double precision on the original vectors.  Only counts leave a task, so
@@ -167,7 +168,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _search(cosine: float):
-    """Links (u, v) found by each query in each block, those that join different trees."""
+    """Links (u, v) of each query in each block, those that join different trees."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts, graph = None, [], None
 
@@ -204,6 +205,13 @@ def _search(cosine: float):
                     known = np.unique(tree_of[found])  # one member of each tree met stands for it
                     pairs += [(node, int(nodes[k])) for k in known if trees.join(node, int(nodes[k]))]
                     tree_of[found] = known[0]
+            for a in range(0, len(q), 512):  # what the search didn't reach
+                hit = (q[a:a + 512] @ x.T >= cosine) & (ids[a:a + 512, None] != nodes)
+                for i in np.flatnonzero(hit.any(axis=1)).tolist():
+                    node, found = int(ids[a + i]), np.flatnonzero(hit[i])
+                    known = np.unique(tree_of[found])
+                    pairs += [(node, int(nodes[k])) for k in known if trees.join(node, int(nodes[k]))]
+                    tree_of[found] = known[0]
             if pairs:
                 u, v = np.array(pairs, np.int64).T
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
