@@ -151,6 +151,31 @@ def test_tight_groups_are_linked_with_each_other(spark):
     assert {got[i]["component_id"] for i in range(140, 340)} == {140}
 
 
+def test_audit_sees_lost_pairs_beside_a_large_group(spark):
+    rnd = np.random.default_rng(6)
+    group = np.eye(32)[0] + rnd.normal(size=(700, 32)) * 0.002
+    single = rnd.normal(size=(1300, 32))
+    pairs = rnd.normal(size=(20, 32))
+    every = np.concatenate([group, single, pairs, pairs + rnd.normal(size=pairs.shape) * 0.01])
+    rows = [(i, v.tolist(), 1, 32) for i, v in enumerate(every)]
+    classes = spark.createDataFrame(rows, "rank long, v array<double>, copies long, dim int").repartition(3)
+    held = [(i, 0, 699) for i in range(700)]
+    schema = "node long, component long, links long"
+    assert vecgraph.recall(classes, spark.createDataFrame(held, schema), 0.9) < 0.1  # all pairs are lost
+    pair = [(2000 + i + k, 2000 + i, 1) for i in range(20) for k in (0, 20)]
+    assert vecgraph.recall(classes, spark.createDataFrame(held + pair, schema), 0.9) == 1.0
+    rare = classes.where("rank >= 700")
+    assert vecgraph.recall(rare, spark.createDataFrame([], schema), 0.9) == 0.0
+    assert vecgraph.recall(classes.where("rank >= 700 and rank < 2000"), spark.createDataFrame([], schema), 0.9) == 1.0
+
+
+def test_shards_that_lose_links_end_in_an_exact_comparison(vectors, monkeypatch):
+    monkeypatch.setattr(vecgraph, "SHARD_ROWS", 10)
+    want = sorted(tuple(r) for r in vecgraph.near_duplicates(vectors, 0.9, overlap=1000).collect())
+    monkeypatch.setattr(vecgraph, "recall", lambda *a: 0.0)  # no overlap is ever enough
+    assert sorted(tuple(r) for r in vecgraph.near_duplicates(vectors, 0.9, overlap=1).collect()) == want
+
+
 def test_nearest_neighbours(vectors):
     good = fit_vectors(messy_vectors())
     got = {}

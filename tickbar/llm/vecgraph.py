@@ -16,8 +16,10 @@
    each other by cosine in double precision on the original vectors.  Only counts leave a task, so
    a large group gives a row per member and block, not per pair.
 
-The recall of the links is audited on a bounded sample of vectors against all rows; while it is under
-the target, the overlap grows, in the end to all shards.
+The recall of the links is audited per linked vector on a sample compared with all rows.  The sample
+is drawn until it has AUDIT_LINKED linked vectors outside the large components, if need be from the
+whole table.  While recall is under the target, the overlap grows; once one comparison of all with
+all costs no more than the shards do, there is a single shard, whose blocks are compared exactly.
 
 Defined results: unusable vectors (null, zero, null or non-finite components) link with nothing; vectors
 of different lengths never link; copies link with each other; repeated rows count as copies;
@@ -26,6 +28,7 @@ rows without an id take part, and come last as representatives.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, id_rank, lean, scratch
+from .common import id_rank, lean, scratch
 from .components import Forest, connected_components
 from .vectors import as_doubles, matrix, sample_vectors, unit, usable
 
@@ -47,7 +50,10 @@ CANDIDATES = 48
 ALPHA = 1.2
 BEAM = 16
 SLACK = 0.2           # the search expands through vectors this much below the range
-AUDIT_ROWS = 128      # bound of the audit sample
+AUDIT_ROWS = 1024     # least first draw of the audit, or the root of the table's rows
+AUDIT_LINKED = 400    # linked vectors outside large components that the audit wants
+AUDIT_LARGE = 0.01    # a component with more than this share of the linked vectors is large
+AUDIT_VALUES = 1 << 22  # numbers of sample vectors that tasks hold at once
 AUDIT_RECALL = 0.99
 
 
@@ -249,9 +255,9 @@ def _audit(sample: np.ndarray, nodes: np.ndarray, cosine: float):
             if batch.num_rows:
                 x, ids = unit(matrix(batch, "v")), batch.column(batch.schema.get_field_index("rank")).to_numpy()
                 weight = batch.column(batch.schema.get_field_index("copies")).to_numpy()
-                for at in range(0, len(x), 4096):
-                    hit = (sample @ x[at:at + 4096].T >= cosine) & (nodes[:, None] != ids[None, at:at + 4096])
-                    total += hit @ weight[at:at + 4096]
+                for at in range(0, len(x), 512):
+                    hit = (sample @ x[at:at + 512].T >= cosine) & (nodes[:, None] != ids[None, at:at + 512])
+                    total += hit @ weight[at:at + 512]
         yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(total)], ["node", "truth"])
     return lean(run)
 
@@ -298,19 +304,47 @@ def _links(classes: DataFrame, pivots: np.ndarray, overlap: int, cosine: float)
     return scratch(comp.join(counts, F.col("node") == F.col("of")).select("node", "component", "links"), "vec-links")
 
 
-def recall(classes: DataFrame, counts: DataFrame, cosine: float, rows: int = AUDIT_ROWS) -> float:
-    """Share of the links of a bounded sample of vectors that the counts hold (1 if there is none)."""
-    picked = hash_sample(classes.select("rank", "v"), rows, "rank").toArrow()
-    if not picked.num_rows:
-        return 1.0
-    nodes = picked.column("rank").to_numpy()
-    sample = unit(np.array(picked.column("v").to_pylist(), np.float64))
-    truth = classes.select("rank", "v", "copies").mapInArrow(_audit(sample, nodes, cosine), "node long, truth long")
-    truth = truth.groupBy("node").agg(F.sum("truth").alias("truth")).where("truth > 0")
-    counts = counts.select(F.col("node").alias("of"), "links")
-    both = truth.join(counts, F.col("node") == F.col("of"), "left")
-    true, held = both.agg(F.sum("truth"), F.sum(F.least("truth", F.coalesce("links", F.lit(0))))).first()
-    return 1.0 if not true else held / true
+def _truth(classes: DataFrame, slot, low: int, high: int, cosine: float) -> DataFrame:
+    """node, truth of the linked vectors with a slot in low..high, a bounded number of them at a time."""
+    drawn = scratch(classes.where((slot >= low) & (slot < high)).select("rank", "v", "dim", slot.alias("slot")), "vec-drawn")
+    n, dim = drawn.agg(F.count(F.lit(1)), F.max("dim")).first()
+    parts = max(1, -(-n * (dim or 1) // AUDIT_VALUES))
+    out = None
+    for part in range(parts):
+        picked = drawn.where(F.pmod(F.xxhash64("slot", "rank"), F.lit(parts)) == part).select("rank", "v").toArrow()
+        if not picked.num_rows:
+            continue
+        sample = unit(np.array(picked.column("v").to_pylist(), np.float64))
+        own = classes.select("rank", "v", "copies").mapInArrow(
+            _audit(sample, picked.column("rank").to_numpy(), cosine), "node long, truth long")
+        own = scratch(own.groupBy("node").agg(F.sum("truth").alias("truth")).where("truth > 0"), "vec-truth")
+        out = own if out is None else out.union(own)
+    return out
+
+
+def recall(classes: DataFrame, counts: DataFrame, cosine: float, rows: int = AUDIT_ROWS, wanted: int = AUDIT_LINKED) -> float:
+    """Mean share of its links that the counts hold for a linked vector, outside the large components or
+    in them, whichever is less.  1 only where no vector of the table has a link, or all are held."""
+    n, top = classes.count(), 1 << 40
+    counts = counts.select(F.col("node").alias("of"), "component", "links")
+    sizes = counts.groupBy(F.col("component").alias("c")).agg(F.count(F.lit(1)).alias("size"))
+    large = sizes.where(F.col("size") > max(16, int(AUDIT_LARGE * counts.count())))
+    large = F.broadcast(large.select("c", F.lit(True).alias("large")))  # at most 1 / AUDIT_LARGE rows
+    counts = counts.join(large, F.col("component") == F.col("c"), "left")
+    slot = F.pmod(F.xxhash64(F.lit(23), "rank"), F.lit(top))
+    low, high = 0, min(top, int(top * max(rows, math.isqrt(n)) / max(n, 1)) + 1)
+    found: dict[bool, list] = {False: [0, 0.0], True: [0, 0.0]}
+    while True:
+        truth = _truth(classes, slot, low, high, cosine)
+        if truth is not None:
+            share = F.least(F.coalesce("links", F.lit(0)) / F.col("truth"), F.lit(1.0))
+            both = truth.join(counts, F.col("node") == F.col("of"), "left").groupBy(F.coalesce("large", F.lit(False)).alias("big"))
+            for big, linked, held in both.agg(F.count(F.lit(1)), F.sum(share)).collect():
+                found[big][0] += linked
+                found[big][1] += held
+        if found[False][0] >= wanted or high == top:
+            return min((held / linked for linked, held in found.values() if linked), default=1.0)
+        low, high = high, min(top, 4 * high)
 
 
 def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -333,10 +367,12 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, id_col: str =
         pivots = sample_vectors(own, min(MAX_PIVOTS, max(1, n // SHARD_ROWS)))
         wide = min(overlap, len(pivots))
         while True:
+            if wide * wide >= len(pivots):  # then one shard of everything is no more work, and exact
+                pivots, wide = pivots[:1], 1
             found = _links(own, pivots, wide, cosine)
-            if wide >= len(pivots) or recall(own, found, cosine) >= target:
+            if len(pivots) == 1 or recall(own, found, cosine) >= target:
                 break
-            wide = min(2 * wide, len(pivots))
+            wide = 2 * wide
         linked = found if linked is None else linked.union(found)
     if linked is None:
         return src.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
