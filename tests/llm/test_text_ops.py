@@ -222,6 +222,39 @@ def test_language_model_is_a_distribution_and_ranks():
         assert 0.9 < total <= 1.0001
 
 
+def test_language_counts_are_exact_whatever_the_corpus_holds():
+    rnd = random.Random(8)
+    texts = ["".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(1000)) for _ in range(300)]
+    batch = __import__("pyarrow").RecordBatch.from_pydict({"lang": ["zh"] * len(texts), "text": texts})
+    rows = __import__("pyarrow").Table.from_batches(langid._count(langid.ORDER, langid.BITS)(iter([batch])))
+    want = len({(" " + t + " ")[i:i + 4] for t in texts for i in range(len(t) - 1)})
+    assert want > 1 << 18
+    four = rows.filter(__import__("pyarrow").compute.equal(rows["m"], 4))
+    assert len(set(four["slot"].to_pylist())) == want
+
+
+def test_language_model_of_spark_equals_plain_reading(spark, monkeypatch):
+    monkeypatch.setattr(langid, "RANGE_ROWS", 100)
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice("abcde fgh") for _ in range(200)) for _ in range(12)]
+    rows = spark.createDataFrame([("x" if i % 2 else "y", t) for i, t in enumerate(texts)], "lang string, text string").repartition(3)
+    letters, bits = langid.letter_table(), 22
+    model = langid.build(langid.count(rows, 3, bits), 3, bits)
+    assert model["languages"] == ["x", "y"]
+    got = langid.cross_entropies([t.encode() for t in texts] + [b"12"], model, letters)
+    whole = langid.build(langid.count(rows, 3, 64), 3, 64)
+    assert whole["ranges"] > 1
+    np.testing.assert_allclose(langid.cross_entropies([t.encode() for t in texts] + [b"12"], whole, letters), got, rtol=1e-5)
+    assert np.isnan(got[-1]).all()
+    for k, lang in enumerate("xy"):
+        c = langid.count(rows.where(F.col("lang") == lang), 3, bits).toArrow()
+        plain = langid.kneser_ney(*(c.column(x).to_numpy() for x in ("m", "slot", "ctx", "suf", "n")), 3, bits)
+        for i, t in enumerate(texts):
+            codes = langid.characters(t.encode(), letters)
+            lp = langid._score_places(langid.slots(codes, 3, bits), plain, bits, langid._dense(plain, bits))[1:]
+            assert got[i, k] == pytest.approx(-lp.mean(), rel=1e-4)
+
+
 def test_language_of_documents(spark, docs, none):
     table = queries.table(spark, "/root/testdata/sf0.01", "documents")
     truth = {r["doc_id"]: r["lang"] for r in table.select("doc_id", "lang").collect()}
