@@ -255,6 +255,22 @@ def test_language_model_of_spark_equals_plain_reading(spark, monkeypatch):
             assert got[i, k] == pytest.approx(-lp.mean(), rel=1e-4)
 
 
+def test_a_language_of_the_calibration_fold_is_learned(spark):
+    rows = [(i, "the cat sat on the mat", "en") for i in range(60)] + [(i, "der hund und die katze", "de") for i in range(60, 120)]
+    rows += [(i, "kissa ja koira istuvat", "fi") for i in range(200, 260)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    table = table.where((F.col("lang") != "fi") | (langid.fold("doc_id") == langid.CALIBRATION))
+    model = langid.train(table)
+    assert model["languages"] == ["de", "en", "fi"]
+    got = langid.identify(table.where("lang = 'fi'"), model).select("lang_pred").distinct().collect()
+    assert [r[0] for r in got] == ["fi"]
+    # every document with remainder 1 to 4 is counted
+    learned = table.where(langid.fold("doc_id") != langid.HELD_OUT)
+    plain = langid.build(langid.count(learned, langid.ORDER, langid.BITS), langid.ORDER, langid.BITS)
+    texts, letters = [b"the katze istuvat"], langid.letter_table()
+    np.testing.assert_allclose(langid.cross_entropies(texts, model, letters), langid.cross_entropies(texts, plain, letters))
+
+
 def test_language_of_documents(spark, docs, none):
     table = queries.table(spark, "/root/testdata/sf0.01", "documents")
     truth = {r["doc_id"]: r["lang"] for r in table.select("doc_id", "lang").collect()}
