@@ -77,6 +77,16 @@ def test_streamed_dedup_over_shuffled_batches_keeps_every_key_once(spark, tmp_di
     assert spark.read.parquet(out).groupBy("key").count().where("count > 1").count() == 0
 
 
+def test_dedup_stores_every_message_without_a_key(spark, tmp_dir):
+    rows = [("a", "2024-01-01 10:00:00", 1), ("a", "2024-01-01 10:00:00", 1), ("b", None, 2), (None, "2024-01-01 10:00:00", 3),
+            (None, "2024-01-01 10:00:00", 4), (None, "2024-01-02 10:00:00", 5)]
+    batch = spark.createDataFrame(rows, "key string, t string, n int").select("key", F.to_timestamp("t").alias("trade_time"), "n")
+    for i in (0, 1, 1):  # the last one is a replay
+        BS.dedup_batch(batch, i, f"{tmp_dir}/keyless")
+    got = sorted((r["key"] or "", r["n"]) for r in spark.read.parquet(f"{tmp_dir}/keyless").collect())
+    assert got == [("", 3), ("", 3), ("", 4), ("", 4), ("", 5), ("", 5), ("a", 1), ("b", 2)]
+
+
 def test_global_row_number(spark):
     df = spark.range(0, 1000, 1, 7).select((F.col("id") * 7919 % 1000).alias("v"))
     seq = global_row_number(df, ["v"]).collect()

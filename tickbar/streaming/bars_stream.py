@@ -31,14 +31,19 @@ def start_daily_bars(quotes: DataFrame, path: str, checkpoint: str, order: tuple
 
 
 def dedup_batch(batch: DataFrame, batch_id: int, path: str, key: str = "key", ts: str = "trade_time") -> None:
-    """Append the batch's messages whose key isn't stored yet (redelivery keeps key and time)."""
+    """Append the batch's messages whose key and day aren't stored yet (redelivery keeps key and time).
+
+    Messages without a key have no identity: all of them are stored.
+    """
     spark = batch.sparkSession
-    new = batch.withColumn("day", F.to_date(ts)).dropDuplicates([key, "day"])
+    dated = batch.withColumn("day", F.to_date(ts))
+    keyless, new = dated.where(F.col(key).isNull()), dated.where(F.col(key).isNotNull()).dropDuplicates([key, "day"])
     if path_exists(spark, path):
         # a replay of this batch must not meet its own rows
         stored = spark.read.schema(f"`{key}` string, day date, batch long").parquet(path).where(F.col("batch") != batch_id)
-        new = new.join(stored.select(key, "day"), [key, "day"], "left_anti")
-    (new.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+        stored = stored.select(F.col(key).alias("__key"), F.col("day").alias("__day"))
+        new = new.join(stored, (F.col(key) == F.col("__key")) & F.col("day").eqNullSafe(F.col("__day")), "left_anti")
+    (new.unionByName(keyless).withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(path))
 
 
