@@ -131,3 +131,20 @@ def test_rmse_and_comparison(spark):
     assert all(r["report"].startswith("Test RMSE: ") for r in rep)
     last = FC.forecast_last(both).collect()
     assert {r["trade_date"] for r in last} == {dt.date(2020, 1, 1) + dt.timedelta(days=49)}
+
+
+def test_mllib_fit_equals_normal_equations_before_rounding(spark):
+    import duckdb
+    from __spark_entry__ import oracle_sql
+    from tickbar.sources.fixtures import bars_v
+
+    sf = "/root/testdata/sf0.01"
+    head, last = oracle_sql()["forecast_lag_mllib"].rsplit("round((", 1)
+    assert " + x_min, 0) AS prediction" in last
+    con = duckdb.connect()
+    for t in ("orders", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    rows = con.execute(head + "((" + last.replace(" + x_min, 0) AS", " + x_min) AS")).fetchall()
+    want = {(r[0], r[1]): r[3] for r in rows}
+    got = {(r["symbol"], r["trade_date"]): r["prediction_raw"] for r in FC.lag_mllib(bars_v(spark, sf)).collect()}
+    assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in got) < 1e-6

@@ -1,5 +1,7 @@
 """Framing round trip and decode-by-schema-id (FIXTURES F3)."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,3 +60,12 @@ def test_partition_columns_padded(spark):
     df = spark.createDataFrame([("2024-03-05 09:00:00",)], "t string").select(F.col("t").cast("timestamp").alias("trade_time"))
     r = FR.partition_columns(df).collect()[0]
     assert (r["year"], r["month"], r["day"]) == ("2024", "03", "05")
+
+
+def test_unframe_keeps_the_whole_payload(spark):
+    from tickbar.sources.fixtures import frames_v
+
+    frames = frames_v(spark, "/root/testdata/sf0.001").collect()
+    got = {r["key"]: (r["n"], r["md5"]) for r in FR.unframe(spark.createDataFrame(frames)).select(
+        "key", F.length("payload").alias("n"), F.md5("payload").alias("md5")).collect()}
+    assert got == {r["key"]: (len(r["value"]) - 5, hashlib.md5(bytes(r["value"])[5:]).hexdigest()) for r in frames}
