@@ -271,6 +271,14 @@ def test_a_language_of_the_calibration_fold_is_learned(spark):
     np.testing.assert_allclose(langid.cross_entropies(texts, model, letters), langid.cross_entropies(texts, plain, letters))
 
 
+def test_many_language_values_do_not_stop_the_query(spark):
+    rows = [(i, "the cat sat" if i % 2 else "der hund und", f"r{i}") for i in range(450)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(table, order=2)
+    assert len(model["languages"]) > 256
+    assert langid.identify(table.limit(5), model).where("lang_pred is not null").count() == 5
+
+
 def test_language_of_documents(spark, docs, none):
     table = queries.table(spark, "/root/testdata/sf0.01", "documents")
     truth = {r["doc_id"]: r["lang"] for r in table.select("doc_id", "lang").collect()}
