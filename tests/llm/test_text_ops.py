@@ -314,6 +314,27 @@ def test_quality_on_labels(spark, docs, none):
     assert quality.score(none, models, queries.QUALITY_TARGETS).count() == 0
 
 
+def test_unlabelled_documents_teach_words_that_no_label_has(spark):
+    rnd = random.Random(12)
+    text = lambda: " ".join(rnd.choice("abcdefghij") * 3 for _ in range(12))
+    rows = [(i, text() + (" zork" if i % 2 and i >= 400 else ""), "en", "bad" if i % 2 else "good", None) for i in range(5400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    labels = spark.createDataFrame([(i, None, i % 2) for i in range(400)], "doc_id long, quality int, toxic int")
+    models = quality.fit(table, labels, queries.QUALITY_TARGETS)
+    zork = quality.terms(b"zork").view(np.int64)[0]
+    assert models["quality"] is None and zork in models["toxic"]["vocabulary"]
+    assert models["toxic"]["text"][np.searchsorted(models["toxic"]["vocabulary"], zork)] > 1
+
+
+def test_a_rare_class_is_sampled_whole():
+    groups = [((1, 0), 990000), ((0, 0), 9000), ((1, 1), 900), ((None, 1), 100)]
+    quality_share, toxic_share = quality.class_shares(groups, 12000)
+    assert toxic_share[1] == 1.0 and quality_share[0] > 0.5
+    size = sum(n * max(s.get(c, 0) for s, c in zip((quality_share, toxic_share), own)) for own, n in groups)
+    assert 11900 < size <= 12000
+    assert quality.class_shares([((1,), 50), ((0,), 5)], 100) == [{0: 1.0, 1: 1.0}]
+
+
 def test_quality_scores_equal_plain_reading(spark):
     """The vectorised terms are the runs of letters and of symbols."""
     for text in ("Of%%% the&&& a,b", "", "  x\n", "É1_a!", "a" * 10):

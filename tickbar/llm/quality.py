@@ -3,12 +3,15 @@
 The text view sees which words and symbol runs a document has; the metadata view sees its
 source, language and layout figures (length, lines, shares of letters, digits, symbols,
 distinct words ...).  Per target, each view has a logistic model.  In every round each
-view labels the unlabelled pool documents it is sure of, and these pseudo-labels join the
+view labels the unlabelled documents it is sure of, and these pseudo-labels join the
 other view's training rows.  At the end each view is calibrated on labelled rows that were
 never trained on, and a logistic model of both calibrated views gives the score.
 
-Fitting uses a bounded sample (TRAIN_ROWS labelled and POOL_ROWS unlabelled documents, the
-smallest by hash of the id); every document is scored.
+The labelled rows are a bounded sample (about TRAIN_ROWS, the smallest by hash of the id) that keeps as
+many rows of every class as fit; a row counts by the inverse of its class's share.  All unlabelled
+documents take part: their features are a table, and in each round Spark sums per term how many of
+them each class has, for the choice of terms, and the sums of the Newton steps.  Pseudo-labels
+of a class weigh at most PSEUDO_WEIGHT of its labelled rows together.
 
 Targets are columns of the labels table; `bad` names those where 1 is the bad value.  A document
 is kept if no target finds it more likely bad than good.
@@ -29,15 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, hash_sample, lean, lower_ascii, release, slices, without, word_hashes
+from .common import binaries, hash_sample, lean, lower_ascii, release, scratch, slices, without, word_hashes
 
 TRAIN_ROWS = 12_000
-POOL_ROWS = 4_000
 ROUNDS = 3
+STEPS = 4                # Newton steps over the unlabelled documents in a round
 MAX_TERMS = 512          # terms of the text view's model
 MIN_CHI2, MIN_DOCS = 20.0, 5
 SURE = 0.99              # a view teaches the other what it holds at least this likely
 PSEUDO_WEIGHT = 0.5
+RIDGE = 0.05
 BUCKETS = 32             # hash buckets of source and of language
 CALIBRATION_SHARE = 4    # one labelled row in so many calibrates
 
@@ -110,23 +114,34 @@ def _views(docs: DataFrame, keep: list, text_col: str, source_col: str, lang_col
                        F.col(lang_col).cast("string").alias("__lang"), F.col(chars_col).cast("long").alias("__chars"))
 
 
-def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the last weight is the offset."""
+def _sums(x: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The Hessian of the loss, and as last column the gradient of the likelihood."""
     n = x.shape[1] + 1
-    w = np.zeros(n)
-    penalty = np.full(n, ridge)
+    out = np.zeros((n, n + 1))
+    for at in range(0, len(x), 2048):  # pieces, so that no second copy of the rows is made
+        part = np.ones((len(x[at:at + 2048]), n), np.float32)
+        part[:, :-1] = x[at:at + 2048]
+        p, own = _chance(part @ w), weight[at:at + 2048]
+        out[:, -1] += part.T @ (own * (y[at:at + 2048] - p))
+        out[:, :-1] += (part * (own * p * (1 - p)).astype(np.float32)[:, None]).T @ part
+    return out
+
+
+def _newton(sums: np.ndarray, w: np.ndarray, ridge: float) -> tuple[np.ndarray, float]:
+    """The weights after a step, and the largest change."""
+    penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-4
+    step = np.linalg.solve(sums[:, :-1] + np.diag(penalty), sums[:, -1] - penalty * w)
+    most = float(np.abs(step).max())
+    return w + step * min(1.0, 5.0 / max(most, 1e-12)), most
+
+
+def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
+    """Ridge logistic regression by Newton steps; the last weight is the offset."""
+    w = np.zeros(x.shape[1] + 1)
     for _ in range(25):
-        gradient, hessian = -penalty * w, np.diag(penalty)
-        for at in range(0, len(x), 2048):  # pieces, so that no second copy of the rows is made
-            part = np.ones((len(x[at:at + 2048]), n))
-            part[:, :-1] = x[at:at + 2048]
-            p, own = 1.0 / (1.0 + np.exp(-np.clip(part @ w, -30, 30))), weight[at:at + 2048]
-            gradient = gradient + part.T @ (own * (y[at:at + 2048] - p))
-            hessian = hessian + (part * (own * p * (1 - p))[:, None]).T @ part
-        step = np.linalg.solve(hessian, gradient)
-        w += step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
-        if np.abs(step).max() < 1e-6:
+        w, most = _newton(_sums(x, y, weight, w), w, ridge)
+        if most < 1e-6:
             break
     return w
 
@@ -139,19 +154,27 @@ def _chance(margin: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def select_terms(lists: list[np.ndarray], y: np.ndarray, most: int = MAX_TERMS) -> np.ndarray:
-    """The terms that tell the classes apart best by chi-square, sorted."""
-    flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-    owner = np.repeat(y, [len(x) for x in lists])
+def _term_counts(lists: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> tuple:
+    """The distinct terms, how many rows have each, and the weight of these rows by class."""
+    flat = np.concatenate([*lists, np.zeros(0, np.int64)])
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     vocabulary, index = np.unique(flat, return_inverse=True)
-    df = np.bincount(index, minlength=len(vocabulary)).astype(np.float64)
-    hit = np.bincount(index, weights=owner, minlength=len(vocabulary))
-    n, pos = float(len(y)), float(y.sum())
-    expected = df * pos / n
-    chi2 = (hit - expected) ** 2 / np.maximum(expected * (1 - pos / n) * (1 - df / n), 1e-9)
-    good = np.flatnonzero((df >= MIN_DOCS) & (chi2 >= MIN_CHI2))
-    good = good[np.argsort(-chi2[good], kind="stable")][:most]
-    return np.sort(vocabulary[good])
+    n = np.bincount(index, minlength=len(vocabulary))
+    both = [np.bincount(index, (weight * (y == c))[owner], len(vocabulary)) for c in (0, 1)]
+    return vocabulary, n, *both
+
+
+def _best_terms(counts: DataFrame, total: float, positive: float) -> np.ndarray:
+    """The terms that tell the classes apart best by chi-square, sorted (at most MAX_TERMS).
+
+    counts: term, n, zero, one (weights of the rows that have the term, by class).
+    """
+    df, share = F.col("zero") + F.col("one"), positive / total
+    spread = F.greatest(df * share * (1 - share) * (1 - df / total), F.lit(1e-9))
+    chi2 = F.pow(F.col("one") - df * share, F.lit(2.0)) / spread
+    good = counts.where(F.col("n") >= MIN_DOCS).select("term", chi2.alias("chi2")).where(F.col("chi2") >= MIN_CHI2)
+    top = good.orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).toArrow()
+    return np.sort(top.column("term").to_numpy()).astype(np.int64)
 
 
 def presence(lists: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
@@ -164,35 +187,168 @@ def presence(lists: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
     return out
 
 
-def co_train(lists: list[np.ndarray], figures: np.ndarray, y: np.ndarray, calibrate: np.ndarray, rounds: int = ROUNDS) -> dict | None:
-    """Models of both views for one target; y: 1, 0, or -1 (pool).  None without two classes."""
-    known, pool = (y >= 0) & ~calibrate, y < 0
-    told = (y >= 0) & calibrate
-    if min((y[known] == 1).sum(), (y[known] == 0).sum()) == 0:
-        return None
-    mean, spread = figures[known].mean(axis=0), figures[known].std(axis=0)
-    scaled = (figures - mean) / np.maximum(spread, 1e-3)
-    vocabulary = select_terms([x for x, k in zip(lists, known) if k], y[known])
-    views = [presence(lists, vocabulary), np.clip(scaled, -8, 8)]
-    taught = [np.full(len(y), -1), np.full(len(y), -1)]  # pseudo-labels given to each view
-    weights = [None, None]
-    for turn in range(rounds + 1):
-        for v in (0, 1):
-            label = np.where(known, y, taught[v])
-            use = label >= 0
-            weights[v] = _fit(views[v][use], label[use], np.where(known[use], 1.0, PSEUDO_WEIGHT))
-        if turn == rounds or not pool.any():
-            break
-        for v in (0, 1):
-            chance = _chance(_margin(views[v], weights[v]))
-            taught[1 - v] = np.where(pool & (chance >= SURE), 1, np.where(pool & (chance <= 1 - SURE), 0, -1))
-    margins = np.stack([np.clip(_margin(views[v], weights[v]), -30, 30) for v in (0, 1)], axis=1)
-    use = told if min((y[told] == 1).sum(), (y[told] == 0).sum()) > 0 else known
-    platt = [_fit(margins[use, v:v + 1], y[use], np.ones(use.sum()), 1e-2) for v in (0, 1)]
-    calibrated = np.stack([_margin(margins[:, v:v + 1], platt[v]) for v in (0, 1)], axis=1)
-    joint = _fit(calibrated[use], y[use], np.ones(use.sum()), 1e-2)
-    return {"vocabulary": vocabulary, "text": weights[0], "mean": mean, "spread": spread, "figures": weights[1],
-            "platt": platt, "joint": joint}
+def _scaled(figures: np.ndarray, model: dict) -> np.ndarray:
+    return np.clip((figures - model["mean"]) / np.maximum(model["spread"], 1e-3), -8, 8)
+
+
+def _pool_rows(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray]:
+    terms = [x.values.to_numpy() for x in batch.column(batch.schema.get_field_index("terms"))]
+    flat = batch.column(batch.schema.get_field_index("figures")).flatten().to_numpy()
+    return terms, flat.reshape(batch.num_rows, N_LAYOUT + 2 * BUCKETS)
+
+
+def _lessons(model: dict, lists: list, figures: np.ndarray, opened: np.ndarray) -> list[np.ndarray]:
+    """Per view, the labels that the other view is sure of (else -1), of rows without a label."""
+    margins = _margin(presence(lists, model["vocabulary"]), model["text"]), _margin(_scaled(figures, model), model["figures"])
+    sure = [np.where(c >= SURE, 1, np.where(c <= 1 - SURE, 0, -1)) for c in map(_chance, margins)]
+    return [np.where(opened, sure[1 - v], -1) for v in (0, 1)]
+
+
+def _taught_terms(broadcast):
+    """target, view, term, zero, one: taught rows by class, in all (term null) and for the text view by term."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = broadcast.value
+        totals = np.zeros((len(models), 2, 2), np.int64)
+        for batch in slices(batches, 4096):
+            lists, figures = _pool_rows(batch)
+            for t, (name, model) in enumerate(models.items()):
+                if model is None:
+                    continue
+                opened = batch.column(batch.schema.get_field_index(f"open_{name}")).to_numpy(zero_copy_only=False)
+                taught = _lessons(model, lists, figures, opened)
+                for v in (0, 1):
+                    totals[t, v] += np.bincount(taught[v][taught[v] >= 0], minlength=2)
+                use = np.flatnonzero(taught[0] >= 0)
+                own, _, zero, one = _term_counts([lists[i] for i in use], taught[0][use], np.ones(len(use)))
+                yield _term_rows(t, 0, own, zero, one)
+        for t in range(len(models)):
+            for v in (0, 1):
+                yield _term_rows(t, v, None, totals[t, v, :1], totals[t, v, 1:])
+    return lean(run)
+
+
+def _term_rows(t: int, v: int, own, zero, one) -> pa.RecordBatch:
+    n = len(zero)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, t, np.int32)), pa.array(np.full(n, v, np.int32)), pa.nulls(n, pa.int64()) if own is None else pa.array(own),
+         pa.array(np.asarray(zero, np.int64)), pa.array(np.asarray(one, np.int64))], ["target", "view", "term", "zero", "one"])
+
+
+def _pool_sums(broadcast):
+    """target, view, at, sums: the rows of `_sums` over the taught rows of a partition."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        teachers, students, weights = broadcast.value
+        out: dict[tuple[int, int], np.ndarray] = {}
+        for batch in slices(batches, 2048):
+            lists, figures = _pool_rows(batch)
+            for t, (name, teacher) in enumerate(teachers.items()):
+                if teacher is None:
+                    continue
+                student = students[name]
+                opened = batch.column(batch.schema.get_field_index(f"open_{name}")).to_numpy(zero_copy_only=False)
+                for v, taught in enumerate(_lessons(teacher, lists, figures, opened)):
+                    use = np.flatnonzero(taught >= 0)
+                    x = presence([lists[i] for i in use], student["vocabulary"]) if v == 0 else _scaled(figures[use], student)
+                    own = _sums(x, taught[use], weights[name][v][taught[use]], student[("text", "figures")[v]])
+                    out[t, v] = out[t, v] + own if (t, v) in out else own
+        for (t, v), own in out.items():
+            n = len(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, t, np.int32)), pa.array(np.full(n, v, np.int32)), pa.array(np.arange(n, dtype=np.int32)),
+                 pa.array(own.tolist(), pa.list_(pa.float64()))], ["target", "view", "at", "sums"])
+    return lean(run)
+
+
+def _add_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per key of the partition, its sums added up."""
+    held: dict[tuple, np.ndarray] = {}
+    for batch in batches:
+        for *key, own in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+            own = own.values.to_numpy()
+            held[tuple(key)] = held[tuple(key)] + own if tuple(key) in held else own
+    if held:
+        keys = np.array(list(held), np.int32)
+        yield pa.RecordBatch.from_arrays([*(pa.array(keys[:, i]) for i in range(3)), pa.array([x.tolist() for x in held.values()], pa.list_(pa.float64()))],
+                                         ["target", "view", "at", "sums"])
+
+
+def co_train(pool: DataFrame, lists: list[np.ndarray], figures: np.ndarray, labels: dict[str, np.ndarray],
+             weights: np.ndarray, calibrate: np.ndarray, rounds: int = ROUNDS) -> dict:
+    """Models of both views per target; labels: 1, 0, or -1 (none).  None without two classes.
+
+    pool: terms, figures and open_<target> (without that label) of all other documents.
+    """
+    spark = pool.sparkSession
+    local, models = {}, {}
+    for t, y in labels.items():
+        known = np.flatnonzero((y >= 0) & ~calibrate)
+        models[t] = None
+        if len(set(y[known].tolist())) < 2:
+            continue
+        own = [lists[i] for i in known]
+        w = weights[known] / weights[known].mean()
+        model = {"mean": figures[known].mean(axis=0), "spread": figures[known].std(axis=0)}
+        terms, n, zero, one = _term_counts(own, y[known], w)
+        frame = spark.createDataFrame(pa.table({"term": terms, "n": n, "zero": zero, "one": one}))
+        model["vocabulary"] = _best_terms(frame, w.sum(), w[y[known] == 1].sum())
+        local[t] = known, own, y[known], w, frame
+        model["text"] = _fit(presence(own, model["vocabulary"]), y[known], w)
+        model["figures"] = _fit(_scaled(figures[known], model), y[known], w)
+        models[t] = model
+    names = list(models)
+    for _ in range(rounds if local else 0):
+        counts = pool.mapInArrow(_taught_terms(spark.sparkContext.broadcast(models)), "target int, view int, term long, zero long, one long")
+        counts = scratch(counts.groupBy("target", "view", "term").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")), "quality-terms")
+        totals = {(r["target"], r["view"]): (r["zero"], r["one"]) for r in counts.where("term is null").collect()}
+        students, shares = {}, {}
+        for t, (known, own, y, w, frame) in local.items():
+            k, model = names.index(t), models[t]
+            mass = [w[y == c].sum() for c in (0, 1)]
+            share = shares[t] = [PSEUDO_WEIGHT * np.array([min(1.0, mass[c] / max(totals.get((k, v), (0, 0))[c], 1)) for c in (0, 1)]) for v in (0, 1)]
+            told = counts.where((F.col("target") == k) & F.col("term").isNotNull()).select(
+                "term", (F.col("zero") + F.col("one")).alias("n"), (F.col("zero") * float(share[0][0])).alias("zero"), (F.col("one") * float(share[0][1])).alias("one"))
+            both = told.union(frame).groupBy("term").agg(*[F.sum(c).alias(c) for c in ("n", "zero", "one")])
+            extra = share[0] * np.array(totals.get((k, 0), (0, 0)))
+            vocabulary = _best_terms(both, w.sum() + extra.sum(), mass[1] + extra[1])
+            text = np.zeros(len(vocabulary) + 1)
+            text[-1] = model["text"][-1]
+            _, new, old = np.intersect1d(vocabulary, model["vocabulary"], return_indices=True)
+            text[new] = model["text"][old]
+            students[t] = model | {"vocabulary": vocabulary, "text": text}
+        for _ in range(STEPS):
+            found = pool.mapInArrow(_pool_sums(spark.sparkContext.broadcast((models, {t: students.get(t) for t in names}, shares))),
+                                    "target int, view int, at int, sums array<double>")
+            found = found.repartition("target", "view", "at").mapInArrow(lean(_add_rows), found.schema).toArrow().sort_by("at")
+            rows: dict = {}
+            for k, v, own in zip(found.column("target").to_pylist(), found.column("view").to_pylist(), found.column("sums")):
+                rows.setdefault((k, v), []).append(own.values.to_numpy())
+            most = 0.0
+            for t, (known, own, y, w, _frame) in local.items():
+                student = students[t]
+                for v, view in enumerate(("text", "figures")):
+                    x = presence(own, student["vocabulary"]) if v == 0 else _scaled(figures[known], student)
+                    sums = _sums(x, y, w, student[view])
+                    if (names.index(t), v) in rows:
+                        sums = sums + np.array(rows[names.index(t), v])
+                    student[view], step = _newton(sums, student[view], RIDGE)
+                    most = max(most, step)
+            if most < 1e-3:
+                break
+        models = {t: students.get(t) for t in names}
+    for t, model in models.items():
+        if model is None:
+            continue
+        y = labels[t]
+        use = np.flatnonzero((y >= 0) & calibrate)
+        if len(set(y[use].tolist())) < 2:
+            use = local[t][0]
+        margins = np.stack([_margin(presence([lists[i] for i in use], model["vocabulary"]), model["text"]),
+                            _margin(_scaled(figures[use], model), model["figures"])], axis=1).clip(-30, 30)
+        w = weights[use] / weights[use].mean()
+        model["platt"] = [_fit(margins[:, v:v + 1], y[use], w, 1e-2) for v in (0, 1)]
+        calibrated = np.stack([_margin(margins[:, v:v + 1], model["platt"][v]) for v in (0, 1)], axis=1)
+        model["joint"] = _fit(calibrated, y[use], w, 1e-2)
+    return models
 
 
 def chances(model: dict | None, lists: list[np.ndarray], figures: np.ndarray) -> np.ndarray:
@@ -205,33 +361,63 @@ def chances(model: dict | None, lists: list[np.ndarray], figures: np.ndarray) ->
     return _chance(_margin(calibrated, model["joint"]))
 
 
+def class_shares(groups: list[tuple[tuple, int]], most: int) -> list[dict]:
+    """Per target, the share of each class that a sample takes: the rarest whole, the others alike in number.
+
+    groups: how often each combination of labels occurs; the sample has about `most` rows.
+    """
+    sizes = [{c: sum(n for own, n in groups if own[k] == c) for c in (0, 1)} for k in range(len(groups[0][0]) if groups else 0)]
+    low, high = 0.0, float(sum(n for _, n in groups))
+    for _ in range(60):
+        cap = high if _ == 0 else (low + high) / 2
+        shares = [{c: min(1.0, cap / max(n, 1)) for c, n in own.items()} for own in sizes]
+        if sum(n * max((s.get(c, 0.0) for s, c in zip(shares, own)), default=0.0) for own, n in groups) <= most:
+            low = cap
+        else:
+            high = cap
+    return [{c: min(1.0, low / max(n, 1)) for c, n in own.items()} for own in sizes]
+
+
 def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, int], id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", lang_col: str = "lang", chars_col: str = "n_chars", train_rows: int = TRAIN_ROWS,
-        pool_rows: int = POOL_ROWS, rounds: int = ROUNDS) -> dict:
-    """Models per target; `targets` maps a label column to its bad value (0 or 1)."""
+        pool_rows: int | None = None, rounds: int = ROUNDS) -> dict:
+    """Models per target; `targets` maps a label column to its bad value (0 or 1).
+
+    pool_rows: a bound of the unlabelled documents, if the caller wants one.
+    """
     worst = [(F.max if bad else F.min)(F.col(t).cast("int")).alias(t) for t, bad in targets.items()]
     told = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(*worst)
+    told = told.where(F.coalesce(*targets).isNotNull())
     ids = docs.select(F.col(id_col).alias("__id")).where(F.col("__id").isNotNull())
-    train_ids = hash_sample(told.join(ids, "__id", "left_semi"), train_rows, "__id")
-    pool_ids = hash_sample(ids.join(told, "__id", "left_anti").distinct(), pool_rows, "__id")
-    chosen = train_ids.unionByName(pool_ids, allowMissingColumns=True)
-    # bounded by train_rows + pool_rows
+    told = scratch(told.join(ids, "__id", "left_semi"), "quality-told")
+    groups = [(tuple(r[t] for t in targets), r["count"]) for r in told.groupBy(*targets).count().collect()]  # few classes
+    share = [F.lit(0.0)] * 2
+    for t, own in zip(targets, class_shares(groups, train_rows)):
+        share += [F.when(F.col(t) == c, F.lit(x)).otherwise(F.lit(0.0)) for c, x in own.items()]
+    slot = F.pmod(F.xxhash64(F.lit(17), "__id"), F.lit(1 << 40))
+    chosen = told.withColumn("__share", F.greatest(*share)).where(slot < F.col("__share") * (1 << 40))  # about train_rows
     src = _views(docs, [F.col(id_col).alias("__id")], text_col, source_col, lang_col, chars_col)
-    view = ["__text", "__source", "__lang", "__chars"]
-    src = (src.join(F.broadcast(chosen), "__id").groupBy("__id", *targets)  # one row per id, however often it occurs
-           .agg(F.min(F.struct(*view)).alias("view")).select("__id", *targets, *[f"view.{c}" for c in view]))
-    cols = ["__id", *targets]
-    schema = T.StructType([*src.select(*cols).schema.fields, T.StructField("terms", T.ArrayType(T.LongType())),
-                           T.StructField("figures", T.ArrayType(T.FloatType()))])
-    rows = src.mapInArrow(_features(cols), schema).toArrow().sort_by("__id")
+    view, cols = ["__text", "__source", "__lang", "__chars"], ["__id", *targets, "__share"]
+    some = (src.join(F.broadcast(chosen), "__id").groupBy(*cols)  # one row per id, however often it occurs
+            .agg(F.min(F.struct(*view)).alias("view")).select(*cols, *[f"view.{c}" for c in view]))
+    made = [T.StructField("terms", T.ArrayType(T.LongType())), T.StructField("figures", T.ArrayType(T.FloatType()))]
+    rows = some.mapInArrow(_features(cols), T.StructType([*some.select(*cols).schema.fields, *made])).toArrow().sort_by("__id")
     lists = [x.values.to_numpy() for x in rows.column("terms")]
-    figures = np.array([x.values.to_numpy() for x in rows.column("figures")], np.float32).reshape(len(lists), -1)
+    figures = np.array([x.values.to_numpy() for x in rows.column("figures")], np.float32).reshape(len(lists), N_LAYOUT + 2 * BUCKETS)
     part = np.array([xxhash.xxh64_intdigest(str(i)) % CALIBRATION_SHARE == 0 for i in rows.column("__id").to_pylist()], bool)
-    out = {}
-    for t in targets:
-        y = np.array([-1 if v is None else v for v in rows.column(t).to_pylist()], np.int64)
-        out[t] = co_train(lists, figures, y, part, rounds) if len(y) else None
-    del lists, figures, rows
+    weights = 1.0 / rows.column("__share").to_numpy()
+    known = {t: np.array([-1 if v is None else v for v in rows.column(t).to_pylist()], np.int64) for t in targets}
+    del rows
+    if pool_rows is not None:
+        few = hash_sample(ids.join(told, "__id", "left_anti").distinct(), pool_rows, "__id")
+        src = src.join(F.broadcast(few), "__id", "left_semi")
+    if not len(lists):
+        return {t: None for t in targets}
+    pool = src.mapInArrow(_features(["__id"]), T.StructType([src.schema["__id"], *made])).join(told, "__id", "left")
+    opened = [F.col(t).isNull().alias(f"open_{t}") for t in targets]
+    pool = scratch(pool.where(F.greatest(*[F.col(t).isNull() for t in targets], F.lit(False))).select("terms", "figures", *opened), "quality-pool")
+    out = co_train(pool, lists, figures, known, weights, part, rounds)
+    del lists, figures
     release()
     return out
 
