@@ -15,6 +15,7 @@ from . import (
     bpe,
     hilbert,
     langid,
+    merkle,
     mixing,
     permutation,
     quality,
@@ -153,3 +154,71 @@ FROM least l LEFT JOIN degree d ON d.u = l.vec_id"""
 @register
 def op8_permutation(spark, sf_dir):
     return permutation.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@register
+def op13_merkle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    plain = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    tampered = F.when(crc % 3 == 0, merkle.leaf(*plain, F.translate("text", _UPPER, _LOWER)))
+    manifest = merkle.build(docs, ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id",
+                            keep={"doc_id": F.col("doc_id"), "tampered": tampered})
+    proved = merkle.proofs(manifest)
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return proved.select("doc_id", "leaf", "subroot", "root", merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _merkle_sql() -> str:
+    def text(c):
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+
+    def leaf_of(value):
+        return "sha256(" + " || ".join(text(c) for c in ("doc_id", "source", "lang", "n_chars", value)) + ")"
+
+    def up(nodes):
+        return (f"list_transform(range(0, CAST((len({nodes}) + 7) // 8 AS BIGINT)), "
+                f"lambda i: sha256(array_to_string({nodes}[i * 8 + 1:i * 8 + 8], '')))")
+
+    step = "xor(a >> 1, (a & 1) * 3988292384)"
+    crc = f"""xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+      list_transform(range(1, strlen(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: {step})), 4294967295)"""
+    siblings = """array_to_string(l.nodes[(p.at // 8) * 8 + 1:p.at], '') || '*' ||
+      array_to_string(l.nodes[p.at + 2:(p.at // 8) * 8 + 8], '')"""
+    return f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {leaf_of('text')} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {crc} % 3 = 0
+              THEN {leaf_of(f"translate(text, '{_UPPER}', '{_LOWER}')")} ELSE {leaf_of('text')} END AS start FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+levels AS (
+  SELECT lang, 0 AS lvl, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY lang
+  UNION ALL SELECT lang, lvl + 1, {up('nodes')} FROM levels WHERE len(nodes) > 1),
+subroots AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos
+             FROM levels WHERE len(nodes) = 1),
+over_levels AS (
+  SELECT 0 AS lvl, list(subroot ORDER BY pos) AS nodes FROM subroots HAVING count(*) > 0
+  UNION ALL SELECT lvl + 1, {up('nodes')} FROM over_levels WHERE len(nodes) > 1),
+own AS (SELECT p.doc_id, p.lang, p.pos, list({siblings} ORDER BY l.lvl) AS path
+  FROM (SELECT placed.*, lvl, pos >> (3 * lvl) AS at FROM placed, range(0, 21) r(lvl)) p
+  JOIN levels l ON l.lang IS NOT DISTINCT FROM p.lang AND l.lvl = p.lvl AND len(l.nodes) > 1 GROUP BY ALL),
+over_own AS (SELECT p.lang, list({siblings} ORDER BY l.lvl) AS path
+  FROM (SELECT subroots.*, lvl, pos >> (3 * lvl) AS at FROM subroots, range(0, 21) r(lvl)) p
+  JOIN over_levels l ON l.lvl = p.lvl AND len(l.nodes) > 1 GROUP BY ALL),
+whole AS (
+  SELECT d.doc_id, d.leaf, d.start, s.subroot, (SELECT nodes[1] FROM over_levels WHERE len(nodes) = 1) AS root,
+         list_concat(coalesce(own.path, []), coalesce(over_own.path, [])) AS path
+  FROM placed d JOIN subroots s ON s.lang IS NOT DISTINCT FROM d.lang
+  LEFT JOIN own ON own.lang IS NOT DISTINCT FROM d.lang AND own.pos = d.pos
+  LEFT JOIN over_own ON over_own.lang IS NOT DISTINCT FROM d.lang),
+folded AS (SELECT *, list_reduce(list_concat([start], path), lambda a, x: sha256(replace(x, '*', a))) AS folded_root FROM whole)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), '*', '')) AS proof_sha256, folded_root,
+       folded_root = root AS verified FROM folded"""
+
+
+ORACLE["op13_merkle"] = _merkle_sql()
