@@ -19,6 +19,7 @@ from . import (
     mixing,
     permutation,
     quality,
+    secretscan,
     simhash,
     substring,
     vecgraph,
@@ -156,6 +157,17 @@ def op8_permutation(spark, sf_dir):
     return permutation.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+BASE_KINDS = ("assign", "access", "hex")
+
+
+@register
+def op12_secretscan(spark, sf_dir):
+    found = secretscan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    counts = [secretscan.count(F.col("findings"), k).alias(f"n_{k}") for k in secretscan.KINDS]
+    return found.select("doc_id", *counts, F.sha2(secretscan.spans(F.col("findings"), BASE_KINDS), 256).alias("base_sha256"),
+                        secretscan.spans(F.col("findings")).alias("spans"))
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
