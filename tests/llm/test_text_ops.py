@@ -343,3 +343,16 @@ def test_quality_scores_equal_plain_reading(spark):
         assert len(quality.terms(text.encode())) == len(plain)
         assert len(set(quality.terms(text.encode()).tolist())) == len(set(plain))
     assert os.path.exists(SMOKE)
+
+
+@pytest.mark.parametrize("text", [" " * 3_000_000, "\t" * 3_000_000 + "x", "\n" * 3_000_000, "a" * 3_000_000, "7" * 1_000_000,
+                                  ("x" + " " * 2_000 + "\n" * 2_001 + "é " + "\xa0" * 2_500) * 100],
+                         ids=["spaces", "tabs", "newlines", "letters", "digits", "mixed runs"])
+def test_bpe_long_runs(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        coder = bpe.ChunkEncoder(bpe.Vocabulary(f.read()))
+    assert coder.encode(text.encode()).tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids

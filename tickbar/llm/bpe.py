@@ -21,6 +21,7 @@ the end-of-text mark) become their single id, as the library does by default.
 from __future__ import annotations
 
 import json
+import re
 from collections import OrderedDict
 from collections.abc import Iterator
 from functools import cached_property
@@ -42,6 +43,9 @@ _FLUSH = 2 << 20
 # The splitting pattern of this public byte-level vocabulary family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# White space as the pattern has it.
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2000,}")
+
 _ALNUM = np.zeros(256, bool)
 _ALNUM[48:58] = _ALNUM[65:91] = _ALNUM[97:123] = True
 _GEAR = np.random.default_rng(2024).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -72,16 +76,41 @@ class Vocabulary:
             self.bytes_of[i] = token
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
 
+    def _coder(self, pattern: str):
+        import tiktoken
+
+        ranks = {b: i for i, b in enumerate(self.bytes_of) if b and b not in self.special}
+        return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
     @cached_property
     def coder(self):
         """The encoder (decoding needs none)."""
-        import tiktoken
+        return self._coder(PATTERN)
 
-        ranks = {b: i for i, b in enumerate(self.bytes_of) if b and b not in self.special}
-        return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    @cached_property
+    def piece_coder(self):
+        """The encoder of a single pre-token."""
+        return self._coder("(?s:.+)")
 
     def ids(self, piece: bytes) -> np.ndarray:
-        return self.coder.encode_to_numpy(piece.decode("utf-8"), disallowed_special=()).astype(np.int32)
+        """Token ids of a text without added tokens.
+
+        The pattern backtracks over runs of white space, so long ones are cut out by its own rule: all of a run but
+        its last character (at the end of the text: all of it) is a pre-token.
+        """
+        text = piece.decode("utf-8")
+        runs, at = [], 0
+        for run in _LONG_SPACE.finditer(text):
+            stop = run.end() if run.end() == len(text) else run.end() - 1
+            runs += [self._ids(text[at:run.start()]), self._single(text[run.start():stop])]
+            at = stop
+        return np.concatenate([*runs, self._ids(text[at:])]) if runs else self._ids(text)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return self.coder.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+
+    def _single(self, pre_token: str) -> np.ndarray:
+        return self.piece_coder.encode_to_numpy(pre_token, disallowed_special=()).astype(np.int32)
 
     def segments(self, text: bytes) -> Iterator[tuple[bytes, int | None]]:
         """Stretches of plain text, each with the id of the added token that ends it."""
