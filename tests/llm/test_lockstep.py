@@ -47,13 +47,13 @@ def plain(rows):
              hashlib.sha256(g.encode()).hexdigest() if g else "") for d, na, nb, g, links in done]
 
 
+ORDER = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "digest"]
+
+
 def scored(docs, **options):
-    aligned = lockstep.align(docs, A, B, keep=["doc_id"], **options)
-    rows = lockstep.groups_text(aligned.documents()).select(
-        "doc_id", F.size("ids_a").cast("long").alias("n_a"), F.size("ids_b").cast("long").alias("n_b"),
-        F.size("links").cast("long").alias("n_groups"), F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
-        *aligned.link_columns)
-    return aligned.scored(rows).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    columns = {n: F.size(c).cast("long") for n, c in (("n_a", "ids_a"), ("n_b", "ids_b"), ("n_groups", "links"))}
+    columns["digest"] = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return lockstep.align(docs, A, B, keep=["doc_id"], columns=columns, groups=True, **options).scored().select(*ORDER)
 
 
 def texts():
@@ -108,4 +108,6 @@ def test_empty_and_textless(spark):
     assert sorted(map(tuple, got)) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
     aligned = lockstep.align(spark.createDataFrame([(1, "hello world"), (2, "hello")], schema), A, B)
     assert {tuple(r) for r in aligned.pair_counts().select("count", "best").collect()} == {(2, True), (1, True)}
-    assert set(aligned.documents().columns) >= {"doc_id", "text", "ids_a", "ids_b", "ends_a", "ends_b"}
+    first = aligned.documents().where("doc_id = 1").collect()[0]
+    assert first["text"] == "hello world" and len(first["ids_a"]) == len(first["ends_a"]) and any(first["ends_b"])
+    assert {r["count_sum"] for r in aligned.scored().collect()} == {3, 2}

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,7 @@ from .bpe import Vocabulary
 from .common import binaries, fresh, lean, once, scratch, slices, without
 
 LANE = 512  # A tokens of a lane
-BLOCK = 1 << 20  # links of a block
+BLOCK = 1 << 19  # links of a block
 _SLICE_BYTES = 1 << 20
 _IDS = T.ArrayType(T.IntegerType())
 _PAIRS = T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()),
@@ -151,7 +151,32 @@ def _byte_slices(batch: pa.RecordBatch, name: str) -> Iterator[tuple[pa.RecordBa
             texts, size, first = [], 0, i + 1
 
 
-def _aligner(spec, model, name: str, kept: list[str], out: T.StructType, block_links: int):
+_marked: dict[str, np.ndarray] = {}
+
+
+def _marks(mark: str, size: int) -> np.ndarray:
+    """Each id in decimal, with a mark after it."""
+    have = _marked.get(mark)
+    if have is None or len(have) < size:
+        have = _marked[mark] = np.array([f"{i}{mark}" for i in range(size)], object)
+    return have
+
+
+def groups_text(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, size: int) -> str:
+    """The groups of a document, `a1,a2|b1;a3|b2,b3`, ids in order (no tokens: empty); `size`: above all ids."""
+    if not len(ids_a):
+        return ""
+    through_a, through_b = np.flatnonzero(ends_a) + 1, np.flatnonzero(ends_b) + 1
+    group_a, group_b = np.cumsum(ends_a) - ends_a, np.cumsum(ends_b) - ends_b
+    words = np.empty(len(ids_a) + len(ids_b), object)
+    at_a = np.arange(len(ids_a)) + np.concatenate((np.zeros(1, np.int64), through_b))[group_a]
+    at_b = np.arange(len(ids_b)) + through_a[group_b]
+    words[at_a] = np.where(ends_a, _marks("|", size)[ids_a], _marks(",", size)[ids_a])
+    words[at_b] = np.where(ends_b, _marks(";", size)[ids_b], _marks(",", size)[ids_b])
+    return "".join(words.tolist())[:-1]
+
+
+def _aligner(spec, model, name: str, kept: list[str], out: T.StructType, block_links: int, groups: bool):
     """Rows of documents, and after those of a block one row with its distinct pairs."""
     extra = [f.name for f in out.fields[len(kept):]]
 
@@ -162,6 +187,7 @@ def _aligner(spec, model, name: str, kept: list[str], out: T.StructType, block_l
         schema = to_arrow_schema(out)
         a = once(("vocabulary", xxhash.xxh3_128_hexdigest(spec.value)), lambda: Vocabulary(spec.value))
         b = once(("pieces", xxhash.xxh3_128_hexdigest(model.value)), lambda: Pieces(model.value))
+        most = max(len(a.bytes_of), len(b.bytes_of))
         part, block = TaskContext.get().partitionId() << 32, 0
         held: list[tuple] = []
         size = 0
@@ -171,19 +197,21 @@ def _aligner(spec, model, name: str, kept: list[str], out: T.StructType, block_l
             pairs, place, n = np.unique(keys, return_inverse=True, return_counts=True)
             at = 0
             for keep, docs_a, docs_b, ids_a, ids_b, ends_a, ends_b, docs, own in held:
+                texts = [groups_text(ids_a[a0:a1], ids_b[b0:b1], ends_a[a0:a1], ends_b[b0:b1], most) for a0, a1, b0, b1 in zip(
+                    docs_a[:-1], docs_a[1:], docs_b[:-1], docs_b[1:], strict=True)] if groups else [None] * keep.num_rows
                 links = place[at:at + len(own)].astype(np.int32)
                 at += len(own)
                 # in ascending order inside each document: smaller when written, and sums don't mind
                 links = links[np.lexsort((links, np.repeat(np.arange(keep.num_rows), np.diff(docs))))]
                 columns = [_lists(ids_a, docs_a, pa.int32()), _lists(ids_b, docs_b, pa.int32()), _lists(ends_a, docs_a, pa.bool_()),
-                           _lists(ends_b, docs_b, pa.bool_()), pa.array(np.full(keep.num_rows, part + block)),
+                           _lists(ends_b, docs_b, pa.bool_()), pa.array(texts, pa.string()), pa.array(np.full(keep.num_rows, part + block)),
                            _lists(links, docs, pa.int32()), pa.nulls(keep.num_rows, schema.field(extra[-1]).type)]
                 yield pa.RecordBatch.from_arrays([*keep.columns, *columns], schema=schema)
             if len(pairs):
                 items = pa.StructArray.from_arrays([pa.array((pairs >> 32).astype(np.int32)),
                                                     pa.array((pairs & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], ["a", "b", "n"])
                 row = {f.name: pa.nulls(1, f.type) for f in schema}
-                row[extra[4]] = pa.array([part + block])
+                row[extra[5]] = pa.array([part + block])
                 row[extra[-1]] = pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), items).cast(schema.field(extra[-1]).type)
                 yield pa.RecordBatch.from_arrays([row[f.name] for f in schema], schema=schema)
             held.clear()
@@ -208,13 +236,18 @@ def _aligner(spec, model, name: str, kept: list[str], out: T.StructType, block_l
 
 
 def align(docs: DataFrame, byte_bpe_path: str, pieces_path: str, text_col: str = "text", keep: list[str] | None = None,
-          block_links: int = BLOCK) -> Alignment:
-    """Both tokenizations of every text and their common ends."""
-    names = ["ids_a", "ids_b", "ends_a", "ends_b"]
-    keep = without(docs.columns if keep is None else keep, *names, "links")
+          columns: dict[str, Column] | None = None, groups: bool = False, block_links: int = BLOCK) -> Alignment:
+    """Both tokenizations of every text and their common ends, written as a table.
+
+    Of a document: `keep` (default: all its columns), ids_a, ids_b, ends_a, ends_b (does a token end where one of
+    the other side does), links (place of each link's pair in its block's list) and, with `groups`, their text
+    `a1,a2|b1;a3|b2,b3`.  `columns` (by name, made of these) are stored instead of the four arrays where only they are wanted.
+    """
+    names = ["ids_a", "ids_b", "ends_a", "ends_b", "groups"]
+    keep = without(docs.columns if keep is None else keep, *names, "links", *(columns or ()))
     alias, block, pairs = fresh(docs, "__text"), fresh(docs, "__block"), fresh(docs, "__pairs")
     flags = T.ArrayType(T.BooleanType())
-    kinds = [_IDS, _IDS, flags, flags, T.LongType(), _IDS, _PAIRS]
+    kinds = [_IDS, _IDS, flags, flags, T.StringType(), T.LongType(), _IDS, _PAIRS]
     kept = [T.StructField(f.name, f.dataType) for f in docs.select(*keep).schema.fields]
     schema = T.StructType([*kept, *(T.StructField(n, k) for n, k in zip([*names, block, "links", pairs], kinds, strict=True))])
     context = docs.sparkSession.sparkContext
@@ -223,8 +256,9 @@ def align(docs: DataFrame, byte_bpe_path: str, pieces_path: str, text_col: str =
     with open(pieces_path, "rb") as f:
         model = context.broadcast(f.read())
     rows = docs.select(*keep, F.col(text_col).alias(alias)).mapInArrow(
-        _aligner(spec, model, alias, keep, schema, block_links), schema)
-    return Alignment(scratch(rows, "aligned"), block, pairs)
+        _aligner(spec, model, alias, keep, schema, block_links, groups), schema)
+    out = [c.alias(n) for n, c in columns.items()] if columns else names[:4 + groups]
+    return Alignment(scratch(rows.select(*keep, *out, block, "links", pairs), "aligned"), block, pairs)
 
 
 class Alignment:
@@ -232,14 +266,9 @@ class Alignment:
 
     def __init__(self, rows: DataFrame, block: str, pairs: str):
         self.rows, self.block, self.pairs = rows, block, pairs
-        #: the columns of documents() that scored() needs
-        self.link_columns = [block, "links"]
 
     def documents(self) -> DataFrame:
-        """Kept columns, ids_a, ids_b, ends_a and ends_b (whether a token ends where one of the other side does).
-
-        Groups run from one common end to the next; the links are the tokens that close a group.
-        """
+        """A row per document.  Groups run from one common end to the next; the links are the tokens that close a group."""
         return self.rows.where(F.col(self.pairs).isNull()).drop(self.pairs)
 
     def _pairs(self) -> DataFrame:
@@ -254,15 +283,16 @@ class Alignment:
         most = counts.groupBy(F.col("b").alias("top_b")).agg(F.max("count").alias("most"))
         return counts.join(most, F.col("b") == F.col("top_b")).select("a", "b", "count", (F.col("count") == F.col("most")).alias("best"))
 
-    def scored(self, rows: DataFrame) -> DataFrame:
-        """`rows`, made from documents() row by row with `self.link_columns` kept, and per document:
-        n_links, n_best (links whose count is the highest of their b) and count_sum (over the links)."""
+    def scored(self) -> DataFrame:
+        """The stored columns of every document, n_links, n_best (links whose count is the highest of their b)
+        and count_sum (over the links)."""
+        rows, links = self.documents(), [self.block, "links"]
         counts = self.pair_counts().select(F.col("a").alias("own_a"), F.col("b").alias("own_b"), "count", "best")
         back = self._pairs().join(counts, (F.col("a") == F.col("own_a")) & (F.col("b") == F.col("own_b"))).select(
             "block", "k", "count", "best")
-        names = without(rows.columns, *self.link_columns, "n_links", "n_best", "count_sum")
+        names = without(rows.columns, *links, "n_links", "n_best", "count_sum")
         fields = [*rows.select(*names).schema.fields, *(T.StructField(n, T.LongType()) for n in ("n_links", "n_best", "count_sum"))]
-        return rows.select(*names, *self.link_columns).groupBy(self.block).cogroup(back.groupBy("block")).applyInArrow(
+        return rows.select(*names, *links).groupBy(self.block).cogroup(back.groupBy("block")).applyInArrow(
             _scorer(names), T.StructType(fields))
 
 
@@ -280,40 +310,3 @@ def _scorer(names: list[str]):
         out = [np.diff(offsets).astype(np.int64), *(np.diff(v[offsets]) for v in sums)]
         return pa.Table.from_arrays([*docs.select(names).columns, *map(pa.array, out)], [*names, "n_links", "n_best", "count_sum"])
     return run
-
-
-def _grouper(names: list[str], schema: T.StructType):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = {}
-
-        def table(mark: str, size: int) -> np.ndarray:
-            have = marks.get(mark)
-            if have is None or len(have) < size:
-                have = marks[mark] = np.array([f"{i}{mark}" for i in range(max(size, 60000))], object)
-            return have
-
-        def joined(ids_a, ids_b, ends_a, ends_b) -> str:
-            if not len(ids_a):
-                return ""
-            through_a, through_b = np.flatnonzero(ends_a) + 1, np.flatnonzero(ends_b) + 1
-            group_a, group_b = np.cumsum(ends_a) - ends_a, np.cumsum(ends_b) - ends_b
-            words = np.empty(len(ids_a) + len(ids_b), object)
-            at_a = np.arange(len(ids_a)) + np.concatenate((np.zeros(1, np.int64), through_b))[group_a]
-            at_b = np.arange(len(ids_b)) + through_a[group_b]
-            top = int(max(ids_a.max(), ids_b.max())) + 1
-            words[at_a] = np.where(ends_a, table("|", top)[ids_a], table(",", top)[ids_a])
-            words[at_b] = np.where(ends_b, table(";", top)[ids_b], table(",", top)[ids_b])
-            return "".join(words.tolist())[:-1]
-
-        for batch in slices(batches, 256):
-            columns = [batch.column(batch.schema.get_field_index(n)) for n in ("ids_a", "ids_b", "ends_a", "ends_b")]
-            texts = [joined(*(c[i].values.to_numpy(zero_copy_only=False) for c in columns)) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, pa.array(texts, pa.string())], [*names, schema.names[-1]])
-    return lean(run)
-
-
-def groups_text(aligned: DataFrame, name: str = "groups") -> DataFrame:
-    """All columns and the groups as text: `a1,a2|b1;a3|b2,b3`, ids in order (no tokens: empty)."""
-    keep = without(aligned.columns, name)
-    schema = T.StructType([*aligned.select(*keep).schema.fields, T.StructField(name, T.StringType())])
-    return aligned.select(*keep).mapInArrow(_grouper(keep, schema), schema)

@@ -162,12 +162,10 @@ def op8_permutation(spark, sf_dir):
 def op11_lockstep(spark, sf_dir):
     import public_tokenizers
 
-    aligned = lockstep.align(table(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model"),
-                             keep=["doc_id"])
-    size = [F.size(c).cast("long").alias(n) for c, n in (("ids_a", "n_a"), ("ids_b", "n_b"), ("links", "n_groups"))]
-    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
-    rows = lockstep.groups_text(aligned.documents()).select("doc_id", *size, digest, *aligned.link_columns)
-    return aligned.scored(rows)
+    columns = {n: F.size(c).cast("long") for n, c in (("n_a", "ids_a"), ("n_b", "ids_b"), ("n_groups", "links"))}
+    columns["groups_sha256"] = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return lockstep.align(table(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model"),
+                          keep=["doc_id"], columns=columns, groups=True).scored()
 
 
 BASE_KINDS = ("assign", "access", "hex")
