@@ -2,10 +2,12 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickbar.operators import bars as B
+from tickbar.session import path_exists
 from tickbar.sources import files as FS
 
 QCOLS = "symbol string, trade_time string, msg_seq long, open_price double, max_price double, min_price double, " \
@@ -56,7 +58,7 @@ def test_upsert_is_idempotent(spark, tmp_dir):
     path = f"{tmp_dir}/bars"
     B.write_bars(bars, path)
     B.write_bars(bars, path)
-    assert spark.read.parquet(path).count() == 1
+    assert B.read_bars(spark, path).count() == 1
 
 
 def test_upsert_keeps_other_symbols_and_newer_snapshots(spark, tmp_dir):
@@ -66,12 +68,67 @@ def test_upsert_keeps_other_symbols_and_newer_snapshots(spark, tmp_dir):
     path = f"{tmp_dir}/bars"
     B.write_bars(spark.createDataFrame([row("A", day, 1.0, 1), row("B", day, 2.0, 1), row("A", other, 3.0, 1)], schema), path)
     B.write_bars(spark.createDataFrame([row("A", day, 9.0, 2), row("C", day, 4.0, 2)], schema), path)
-    got = {(r["symbol"], r["trade_date"]): r["close"] for r in spark.read.parquet(path).collect()}
+    got = {(r["symbol"], r["trade_date"]): r["close"] for r in B.read_bars(spark, path).collect()}
     assert got == {("A", day): 9.0, ("B", day): 2.0, ("C", day): 4.0, ("A", other): 3.0}
     path = f"{tmp_dir}/ordered"
     for part in ([row("A", day, 5.0, 7), row("B", day, 1.0, 1)], [row("A", day, 4.0, 3), row("B", day, 2.0, 2)]):
         B.write_bars(spark.createDataFrame(part, schema), path, order=("seq",))
-    assert {r["symbol"]: r["close"] for r in spark.read.parquet(path).collect()} == {"A": 5.0, "B": 2.0}
+    assert {r["symbol"]: r["close"] for r in B.read_bars(spark, path).collect()} == {"A": 5.0, "B": 2.0}
+
+
+def test_upsert_keeps_rows_without_a_date(spark, tmp_dir):
+    schema = "symbol string, trade_date date, open double, high double, low double, close double, volume long, seq long"
+    day = dt.date(2024, 1, 1)
+    row = lambda s, d, close, seq=1: (s, d, 1.0, 2.0, 0.5, close, 10, seq)
+    for order in ((), ("seq",)):
+        path = f"{tmp_dir}/nulls{len(order)}"
+        for part in ([row("N1", None, 1.0), row("A", day, 1.0)], [row("N2", None, 2.0), row(None, day, 3.0)],
+                     [row("N1", None, 4.0, 2), row(None, day, 5.0, 2)]):
+            B.write_bars(spark.createDataFrame(part, schema), path, order=order)
+        got = {(r["symbol"], r["trade_date"]): r["close"] for r in B.read_bars(spark, path).collect()}
+        assert got == {("N1", None): 4.0, ("N2", None): 2.0, ("A", day): 1.0, (None, day): 5.0}
+
+
+def test_upsert_reads_only_touched_dates_and_leaves_nothing_behind(spark, tmp_dir, monkeypatch):
+    schema = "symbol string, trade_date date, open double, high double, low double, close double, volume long"
+    day = lambda i: dt.date(2024, 1, i)
+    path = f"{tmp_dir}/bars"
+    B.write_bars(spark.createDataFrame([("A", day(i), 1.0, 2.0, 0.5, float(i), 10) for i in range(1, 10)], schema), path)
+    before = B.bar_table(spark, path).manifest()
+    seen, read, landed = [], B.SnapshotTable.read_dates, []
+    monkeypatch.setattr(B.SnapshotTable, "read_dates", lambda self, *a: seen.append(read(self, *a)) or seen[-1])
+    scratch = B.scratch_path
+    monkeypatch.setattr(B, "scratch_path", lambda *a: landed.append(scratch(*a)) or landed[-1])
+    B.write_bars(spark.createDataFrame([("B", day(3), 1.0, 2.0, 0.5, 7.0, 10)], schema), path)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-03" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    after = B.bar_table(spark, path).manifest()
+    assert [p for p in after.folders if after.folders[p] != before.folders.get(p)] == ["trade_date=2024-01-03"]
+    assert not any(path_exists(spark, p) for p in landed)
+
+    def killed(self, rows):
+        write(self, rows)
+        raise KeyboardInterrupt
+    write = B.SnapshotTable.write
+    monkeypatch.setattr(B.SnapshotTable, "write", killed)
+    with pytest.raises(KeyboardInterrupt):
+        B.write_bars(spark.createDataFrame([("C", day(4), 1.0, 2.0, 0.5, 7.0, 10)], schema), path)
+    assert B.bar_table(spark, path).manifest() == after and not any(path_exists(spark, p) for p in landed)
+    assert B.read_bars(spark, path, [day(3)]).count() == 2 and B.read_bars(spark, path).count() == 10
+
+
+def test_upsert_starts_anew_after_another_writer(spark, tmp_dir, monkeypatch):
+    schema = "symbol string, trade_date date, open double, high double, low double, close double, volume long"
+    row = lambda s: spark.createDataFrame([(s, dt.date(2024, 1, 1), 1.0, 2.0, 0.5, 1.0, 10)], schema)
+    path, write = f"{tmp_dir}/bars", B.SnapshotTable.write
+
+    def interrupted(self, rows):
+        monkeypatch.setattr(B.SnapshotTable, "write", write)
+        B.write_bars(row("OTHER"), path)
+        return write(self, rows)
+    monkeypatch.setattr(B.SnapshotTable, "write", interrupted)
+    B.write_bars(row("OWN"), path)
+    assert sorted(r["symbol"] for r in B.read_bars(spark, path).collect()) == ["OTHER", "OWN"]
 
 
 def test_layout_aliases_and_exact_volume(spark):

@@ -5,7 +5,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tickbar import jobs
+from tickbar.operators import bars as B
 from tickbar.sources.fixtures import FRAME_SCHEMAS, raw_v, symbols_v
+from tickbar.streaming import staging as ST
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -16,17 +18,17 @@ def test_end_to_end(spark, tmp_dir):
     rejects = jobs.run_ingest(raw, 1, FRAME_SCHEMAS, "parquet", path=topic, trade_time=F.col("fetched_at"))
     assert rejects.count() > 0
     jobs.run_staging(spark, "parquet", None, staged, ckpt, FRAME_SCHEMAS, source_path=topic, available_now=True)
-    staged_rows = spark.read.parquet(staged)
+    staged_rows = ST.read_staged(spark, staged, FRAME_SCHEMAS)
     n_good = spark.read.parquet(topic).count()
     assert staged_rows.count() == n_good
     day = staged_rows.select(F.make_date("year", "month", "day").alias("d")).agg(F.max("d")).collect()[0][0]
     missing = jobs.run_daily(spark, staged, symbols_v(spark, SMOKE), bars, day.isoformat(), FRAME_SCHEMAS)
-    out = spark.read.parquet(bars).collect()
+    out = B.read_bars(spark, bars).collect()
     assert out and {r["trade_date"] for r in out} == {day}
     assert "ZZZ" in {r["symbol"] for r in missing.collect()}
     # re-running the same day replaces its bars
     jobs.run_daily(spark, staged, symbols_v(spark, SMOKE), bars, day.isoformat(), FRAME_SCHEMAS)
-    again = spark.read.parquet(bars)
+    again = B.read_bars(spark, bars)
     assert again.count() == len(out)
     assert len(jobs.preview(again, ["symbol"], 2).collect()) == min(2, len(out))
     assert isinstance(day, dt.date)

@@ -18,7 +18,6 @@ from .operators import bars as B
 from .operators import forecast as FC
 from .operators import quotes as Q
 from .operators.framing import frame_quotes
-from .sources.files import read_partitioned_quotes
 from .streaming import staging as ST
 
 
@@ -50,20 +49,26 @@ def run_ingest(raw: DataFrame, schema_id: int, schemas: dict[int, T.StructType],
 
 
 def run_staging(spark: SparkSession, fmt: str, source_options: dict | None, sink_path: str, checkpoint: str,
-                schemas: dict[int, T.StructType], codec: str = "json", source_path: str | None = None,
-                available_now: bool = False, rejects_path: str | None = None) -> None:
+                schemas: ST.Schemas | str, codec: str = "json", source_path: str | None = None,
+                available_now: bool = False) -> None:
+    """``schemas``: a fixed catalogue, or the path of a catalogue table that grows while the job runs."""
     stream = ST.framed_stream(spark, fmt, source_options, source_path)
-    q = ST.start_staging(stream, sink_path, checkpoint, schemas, codec, available_now, rejects_path)
+    q = ST.start_staging(stream, sink_path, checkpoint, schemas, codec, available_now)
     q.awaitTermination()
 
 
 def run_daily(spark: SparkSession, staged_path: str, symbols: DataFrame, bars_path: str, as_of: str,
-              schemas: dict[int, T.StructType]) -> DataFrame:
-    """Bars of ``as_of`` from the staged table (partition-pruned read), upserted into ``bars_path``;
-    returns the symbols that had no data that day."""
-    staged = B.for_day(read_partitioned_quotes(spark, staged_path, ST.staged_schema(schemas)), as_of)
-    quotes = staged.withColumn("msg_seq", F.col("key"))
-    B.write_bars(B.daily_bars(quotes, symbols, order=("trade_time", "batch", "msg_seq")), bars_path)
+              schemas: ST.Schemas | str) -> DataFrame:
+    """Bars of ``as_of`` from the staged table (only that day's folders are read), upserted into ``bars_path``;
+    returns the symbols that had no data that day.
+
+    Of snapshots with the same time the one of the later batch counts, then the one with the larger key; the parts of a
+    key ``response:item`` are compared as numbers.
+    """
+    parts = F.split("key", ":")
+    numbers = F.transform(parts, lambda p: F.coalesce(p.try_cast("bigint"), F.lit(-1)))
+    quotes = ST.read_staged(spark, staged_path, schemas, as_of).withColumns({"key_numbers": numbers, "msg_seq": F.col("key")})
+    B.write_bars(B.daily_bars(quotes, symbols, order=("trade_time", "batch", "key_numbers", "msg_seq")), bars_path)
     return B.symbols_missing(symbols, quotes)
 
 

@@ -8,11 +8,13 @@ driver loop is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schemas import BAR_COLUMNS
-from ..session import path_exists, scratch_path
+from ..schemas import BAR_COLUMNS, BAR_SCHEMA
+from ..session import drop_path, scratch_path
+from ..sources.snapshots import Conflict, SnapshotTable
 
 SNAPSHOT_ORDER = ("trade_time", "msg_seq")
 
@@ -131,37 +133,60 @@ def to_daily_layout(bars: DataFrame) -> DataFrame:
         F.col("low").alias("Min"), F.col("volume").cast("string").alias("Vol"))
 
 
-def write_bars(bars: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
-    """Upsert on (symbol, trade_date) into the table partitioned by ``trade_date``.
+def bar_table(spark: SparkSession, path: str) -> SnapshotTable:
+    return SnapshotTable(spark, path, ["trade_date"])
 
-    Only the touched dates are read and rewritten (dynamic partition overwrite).  A bar
-    replaces the stored one of its symbol and date, all other rows of the date stay.  With
-    ``order``, the columns of that name are stored too and the row with the larger value
-    wins, so late or redelivered snapshots never replace newer ones.  Rows are sorted by
-    symbol inside a date, so Parquet's min/max statistics serve per-symbol reads.
+
+def read_bars(spark: SparkSession, path: str, dates: list | None = None, extra: list[T.StructField] | None = None) -> DataFrame:
+    """The bar table (of some dates only; None among them: bars without a date), with ``extra`` stored columns."""
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in [*BAR_SCHEMA.fields, *(extra or [])]])
+    table = bar_table(spark, path)
+    return table.read(schema) if dates is None else table.read_dates(schema, "trade_date", dates)
+
+
+def write_bars(bars: DataFrame, path: str, order: tuple[str, ...] = (), attempts: int = 5) -> None:
+    """Upsert on (symbol, trade_date) into the bar table, whose partitions are the dates.
+
+    Only the touched dates are read (they are literal partition predicates) and written anew;
+    the manifest then names the new folders, so readers see all of the upsert or nothing, and a killed run
+    changes nothing.  A bar replaces the stored one of its symbol and date, all other rows of the date stay;
+    null is a date (and a symbol) like any other.  With ``order``, the columns of that name are stored
+    too and the row with the larger value wins, so late or redelivered snapshots never replace newer ones.
+    Where another writer changes the same dates meanwhile, the merge starts anew.
+    Rows are sorted by symbol inside a date, so Parquet's min/max statistics serve per-symbol reads.
     """
     spark = bars.sparkSession
     keys = ["symbol", "trade_date"]
     cols = [*BAR_COLUMNS, *order]
-    landed = scratch_path(spark, "bars_landed")  # the input is used twice; the table is read while it is written
-    bars.select(*cols).write.parquet(landed)
-    new = spark.read.schema(bars.select(*cols).schema).parquet(landed)
-    merged = new
-    if path_exists(spark, path):
-        touched = new.select("trade_date").distinct()
-        old = spark.read.schema(new.schema).parquet(path).join(touched, "trade_date", "left_semi").select(*cols)
-        if not order:
-            merged = old.join(new.select(*keys), keys, "left_anti").unionByName(new)
-        else:
-            merged = old.unionByName(new)
-    if order:
-        rest = [c for c in cols if c not in keys]
-        merged = merged.groupBy(*keys).agg(
-            F.max_by(F.struct(*rest), F.struct(*[F.col(c) for c in order])).alias("_b")).select(
-            *keys, *[F.col(f"_b.{c}").alias(c) for c in rest])
-    (merged.select(*cols).hint("rebalance", "trade_date").sortWithinPartitions("trade_date", "symbol")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("trade_date").parquet(path))
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in bars.select(*cols).schema.fields])
+    table = bar_table(spark, path)
+    landed = scratch_path(spark, "bars_landed")  # the input is used twice
+    try:
+        bars.select(*cols).write.parquet(landed)
+        new = spark.read.schema(schema).parquet(landed)
+        dates = [r[0] for r in new.select("trade_date").distinct().collect()]  # as many as calendar days
+        texts = {None if d is None else d.isoformat() for d in dates}
+        for attempt in range(attempts):
+            base = table.manifest()
+            old = table.read_dates(schema, "trade_date", dates, base)
+            if order:
+                rest = [c for c in cols if c not in keys]
+                merged = old.unionByName(new).groupBy(*keys).agg(
+                    F.max_by(F.struct(*rest), F.struct(*[F.col(c) for c in order])).alias("_b")).select(
+                    *keys, *[F.col(f"_b.{c}").alias(c) for c in rest])
+            else:
+                fresh = new.select(*[F.col(k).alias(f"_{k}") for k in keys])
+                same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+                merged = old.join(fresh, same, "left_anti").unionByName(new)
+            merged = merged.select(*cols).hint("rebalance", "trade_date").sortWithinPartitions("trade_date", "symbol")
+            try:
+                table.replace(merged, base, lambda v: v["trade_date"] in texts, alone=True)
+                return
+            except Conflict:
+                if attempt + 1 == attempts:
+                    raise
+    finally:
+        drop_path(spark, landed)
 
 
 def bars_quality(bars: DataFrame) -> DataFrame:
@@ -176,4 +201,4 @@ def bars_quality(bars: DataFrame) -> DataFrame:
 
 
 __all__ = ["latest_quote", "daily_bars", "symbols_missing", "history_union", "normalise_history",
-           "normalise_daily", "to_history_layout", "to_daily_layout", "write_bars", "bars_quality"]
+           "normalise_daily", "to_history_layout", "to_daily_layout", "bar_table", "read_bars", "write_bars", "bars_quality"]

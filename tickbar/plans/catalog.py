@@ -19,10 +19,11 @@ from ..operators import framing as FR
 from ..operators import history as H
 from ..operators import quotes as Q
 from ..operators.sequence import chunk_numbers, global_row_number
-from ..schemas import BAR_COLUMNS, PUBLISH_BATCH_SIZE, QUOTE_SCHEMA
+from ..schemas import PUBLISH_BATCH_SIZE, QUOTE_SCHEMA
 from ..session import scratch_path
 from ..sources import files as FS
 from ..sources.fixtures import FRAME_SCHEMAS, bad_frames_v, bars_v, frames_v, quotes_v, raw_v, symbols_v
+from ..sources.snapshots import SnapshotTable
 from ..streaming import bars_stream as BS
 from ..streaming import staging as ST
 
@@ -61,16 +62,16 @@ def q_symbols_missing(spark, sf):
     return B.symbols_missing(symbols_v(spark, sf), quotes_v(spark, sf), SCAN_DAY)
 
 
-QUOTE_TABLE = T.StructType([*QUOTE_SCHEMA.fields, T.StructField("msg_seq", T.LongType()),
+QUOTE_TABLE = T.StructType([*[T.StructField(f.name, f.dataType) for f in QUOTE_SCHEMA.fields], T.StructField("msg_seq", T.LongType()),
                             *[T.StructField(c, T.IntegerType()) for c in ST.PARTITION_COLS]])
 
 
-def _stage_quotes(spark, sf) -> DataFrame:
-    path = scratch_path(spark, "quotes_staged")
+def _staged_day(spark, sf, day) -> DataFrame:
+    """One day of a staged quote table: its folders come from the table's manifest."""
+    table = SnapshotTable(spark, scratch_path(spark, "quotes_staged"), ST.PARTITION_COLS)
     q = FS.clustered_for_write(FR.partition_columns(quotes_v(spark, sf)), ST.PARTITION_COLS)
-    (q.sortWithinPartitions(*ST.PARTITION_COLS, "symbol", "trade_time")
-     .write.mode("overwrite").partitionBy(*ST.PARTITION_COLS).parquet(path))
-    return FS.read_partitioned_quotes(spark, path, QUOTE_TABLE)
+    table.append(q.sortWithinPartitions(*ST.PARTITION_COLS, "symbol", "trade_time"))
+    return B.for_day(table.read(QUOTE_TABLE, lambda v: ST.of_day(v, day)), day)
 
 
 _SCAN_COLUMNS = ["symbol", "trade_time", "open_price", "max_price", "min_price", "close_price", "traded_quantity",
@@ -79,12 +80,12 @@ _SCAN_COLUMNS = ["symbol", "trade_time", "open_price", "max_price", "min_price",
 
 @register("quotes_partition_scan")
 def q_partition_scan(spark, sf):
-    return B.for_day(_stage_quotes(spark, sf), SCAN_DAY).select(*_SCAN_COLUMNS)
+    return _staged_day(spark, sf, SCAN_DAY).select(*_SCAN_COLUMNS)
 
 
 @register("quotes_symbol_day_scan")
 def q_symbol_day_scan(spark, sf):
-    return B.for_day(_stage_quotes(spark, sf), SCAN_DAY).where(F.col("symbol") == SCAN_SYMBOL).select(*_SCAN_COLUMNS)
+    return _staged_day(spark, sf, SCAN_DAY).where(F.col("symbol") == SCAN_SYMBOL).select(*_SCAN_COLUMNS)
 
 
 @register("daily_bars_upsert")
@@ -92,10 +93,9 @@ def q_daily_bars_upsert(spark, sf):
     path = scratch_path(spark, "bars_table")
     bars = B.daily_bars(quotes_v(spark, sf), symbols_v(spark, sf))
     B.write_bars(bars, path)
-    table = spark.read.parquet(path)
-    some = table.where(F.crc32("symbol") % 2 == 0)
+    some = B.read_bars(spark, path).where(F.crc32("symbol") % 2 == 0)
     B.write_bars(some, path)  # a re-run with some of the symbols keeps the others' bars
-    return spark.read.parquet(path)
+    return B.read_bars(spark, path)
 
 
 @register("bars_quality")
@@ -466,7 +466,43 @@ def q_stream_stage(spark, sf):
     stream = ST.framed_stream(spark, "parquet", path=topic)
     q = ST.start_staging(stream, sink, ckpt, FRAME_SCHEMAS, available_now=True)
     q.awaitTermination()
-    return FS.read_partitioned_quotes(spark, sink, ST.staged_schema(FRAME_SCHEMAS)).drop("batch")
+    return ST.read_staged(spark, sink, FRAME_SCHEMAS).drop("batch")
+
+
+def _stage_in_runs(spark, sf, between) -> DataFrame:
+    """The frames staged in two runs of one stream with a growing catalogue; `between` gets the paths of table and catalogue."""
+    topic, sink, ckpt, known = (scratch_path(spark, n) for n in ("topic", "staged", "staging_ckpt", "schemas"))
+    frames = frames_v(spark, sf)
+    first, *rest = sorted(FRAME_SCHEMAS)
+    ST.register_schema(spark, known, first, FRAME_SCHEMAS[first])
+    for i in range(2):
+        frames.where(F.pmod(F.xxhash64("key"), F.lit(2)) == i).write.mode("append").parquet(topic)
+        ST.start_staging(ST.framed_stream(spark, "parquet", path=topic), sink, ckpt, known, available_now=True).awaitTermination()
+        if i == 0:
+            for schema_id in rest:
+                ST.register_schema(spark, known, schema_id, FRAME_SCHEMAS[schema_id])
+            between(sink, known)
+    return ST.read_staged(spark, sink, known).drop("batch")
+
+
+@register("stream_replay")
+def q_stream_replay(spark, sf):
+    """Schema ids that appear while the stream runs: their rejects move to the staged rows with the next batch."""
+    return _stage_in_runs(spark, sf, lambda sink, known: None)
+
+
+@register("staged_compaction")
+def q_staged_compaction(spark, sf):
+    """The staged table compacted between two batches of its stream and after them."""
+    def compact(sink, known):
+        ST.replay_rejects(spark, sink, known)
+        ST.compact_staged(spark, sink, known)
+        compacted.append((sink, known))
+    compacted: list[tuple[str, str]] = []
+    _stage_in_runs(spark, sf, compact)
+    sink, known = compacted[0]
+    ST.compact_staged(spark, sink, known)
+    return ST.read_staged(spark, sink, known).drop("batch")
 
 
 def _quote_stream(spark, sf, copies: int = 1) -> DataFrame:
@@ -486,7 +522,7 @@ STREAM_FILES = 4
 def q_stream_daily_bars(spark, sf):
     out, ckpt = scratch_path(spark, "bars_out"), scratch_path(spark, "bars_ckpt")
     BS.start_daily_bars(_quote_stream(spark, sf), out, ckpt, available_now=True).awaitTermination()
-    return spark.read.parquet(out).select(*BAR_COLUMNS)
+    return B.read_bars(spark, out)
 
 
 @register("stream_dedup")
@@ -494,7 +530,7 @@ def q_stream_dedup(spark, sf):
     out, ckpt = scratch_path(spark, "dedup_out"), scratch_path(spark, "dd_ckpt")
     messages = _quote_stream(spark, sf, copies=2).select("key", "symbol", "trade_time", "last_price")
     BS.start_dedup(messages, out, ckpt, available_now=True).awaitTermination()
-    return spark.read.parquet(out).select("key", "symbol", "trade_time", "last_price")
+    return BS.read_dedup(spark, out, messages.schema).drop("day")
 
 
 __all__ = ["QUERIES"]

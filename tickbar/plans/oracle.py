@@ -385,3 +385,6 @@ reg("stream_daily_bars", _with([QUOTES_V, (
     "CAST(arg_max(traded_quantity, (trade_time, msg_seq)) AS BIGINT) AS volume FROM quotes_v q GROUP BY 1, 2")], (
     "SELECT * FROM db")))
 reg("stream_dedup", _with([QUOTES_V], "SELECT CAST(msg_seq AS VARCHAR) AS key, symbol, trade_time, last_price FROM quotes_v"))
+
+# staged in another way, the rows are the same
+ORACLE["stream_replay"] = ORACLE["staged_compaction"] = ORACLE["stream_stage"]

@@ -66,17 +66,23 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tickbar-{spark.sparkContext.applicationId}"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    store, at = _file_system(spark, path)
+    store, at = file_system(spark, path)
     return store.exists(at)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it exists."""
+    store, at = file_system(spark, path)
+    store.delete(at, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the scratch tables of this application (once no frame that reads them is needed)."""
-    store, at = _file_system(spark, _scratch_root(spark))
+    store, at = file_system(spark, _scratch_root(spark))
     store.delete(at, True)
