@@ -140,11 +140,52 @@ def test_mllib_fit_equals_normal_equations_before_rounding(spark):
 
     sf = "/root/testdata/sf0.01"
     head, last = oracle_sql()["forecast_lag_mllib"].rsplit("round((", 1)
-    assert " + x_min, 0) AS prediction" in last
+    assert " + x_min, 2) AS prediction" in last
     con = duckdb.connect()
     for t in ("orders", "events"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    rows = con.execute(head + "((" + last.replace(" + x_min, 0) AS", " + x_min) AS")).fetchall()
+    rows = con.execute(head + "((" + last.replace(" + x_min, 2) AS", " + x_min) AS")).fetchall()
     want = {(r[0], r[1]): r[3] for r in rows}
     got = {(r["symbol"], r["trade_date"]): r["prediction_raw"] for r in FC.lag_mllib(bars_v(spark, sf)).collect()}
     assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in got) < 1e-6
+
+
+def test_trees_follow_a_series_that_no_line_fits(spark):
+    rows, x = [], {"LOGI": 0.31, "STIC": 0.62}
+    for i in range(600):
+        for s in x:
+            x[s] = 3.9 * x[s] * (1 - x[s])  # the next value is a parabola of the last one, with no linear part to find
+            rows.append((s, dt.date(2020, 1, 1) + dt.timedelta(i), 100 + 50 * x[s]))
+    bars = spark.createDataFrame(rows, "symbol string, trade_date date, close double")
+    trees, line = FC.lag_gbt(bars), FC.predictions(bars, ("lag_ols",))
+    found = {r["symbol"]: r for r in FC.rmse_of(trees, "gbt").collect()}
+    for r in FC.rmse(line, ("lag_ols",)).collect():
+        assert found[r["symbol"]]["n_valid"] == r["n_valid"] == 60
+        assert found[r["symbol"]]["rmse_raw"] < 0.35 * r["rmse_raw"]
+    ranks = FC.model_comparison(FC.rmse_of(trees, "gbt").unionByName(FC.rmse(line, ("lag_ols",)))).collect()
+    assert {(r["model"], r["rank"]) for r in ranks} == {("gbt", 1), ("lag_ols", 2)}
+
+
+def test_trees_keep_rows_with_gaps(spark):
+    rows = [("A", dt.date(2020, 1, 1) + dt.timedelta(i), None if i == 95 else float(i % 7)) for i in range(100)]
+    got = FC.lag_gbt(spark.createDataFrame(rows, "symbol string, trade_date date, close double"), trees=5).collect()
+    assert len(got) == 10 and sum(r["prediction_raw"] is None for r in got) == 5
+
+
+def test_trees_on_the_bars(spark):
+    import __spark_entry__ as entry_mod
+
+    smoke = "/root/testdata/sf0.01"
+    q = entry_mod.queries()
+    pred = {(r["symbol"], r["trade_date"]): r for r in q["forecast_gbt"](spark, smoke).collect()}
+    other = {(r["symbol"], r["trade_date"]) for r in q["forecast_lag_ols"](spark, smoke).collect()}
+    assert set(pred) == other
+    err = {}
+    for (s, _), r in pred.items():
+        err.setdefault(s, []).append((r["close"] - r["prediction"]) ** 2)
+    ranked = q["model_comparison_gbt"](spark, smoke).collect()
+    assert len(ranked) == 3 * len(err)
+    for r in ranked:
+        if r["model"] == "gbt":
+            assert r["rmse"] == pytest.approx((sum(err[r["symbol"]]) / len(err[r["symbol"]])) ** 0.5, abs=0.01)
+    assert all(sorted(r["rank"] for r in ranked if r["symbol"] == s) == [1, 2, 3] for s in err)

@@ -59,3 +59,10 @@ def test_daily_bars_aggregates_before_its_shuffle(plans):
     assert "LeftSemi" in p
     semi_at = p.index("LeftSemi")
     assert "partial_max_by" in p[semi_at:]
+
+
+def test_one_symbol_reads_one_bucket(plans):
+    one, whole = plans["history_one_symbol_bucketed"], plans["history_for_symbol_bucketed"]
+    assert re.search(r"SelectedBucketsCount: 1 out of \d+", one)
+    for p in (one, whole):  # the buckets are the window's partitions
+        assert "Exchange" not in p and "Window" in p

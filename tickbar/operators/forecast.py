@@ -147,10 +147,9 @@ def forecast_chart_frame(bars: DataFrame, pred: DataFrame, model: str, value_col
     return s.unionByName(p).withColumn("model", F.lit(model))
 
 
-def lag_mllib(bars: DataFrame, k: int = AR_ORDER, value_col: str = "close") -> DataFrame:
-    """One pooled MLlib linear regression over every symbol's scaled lag windows."""
+def _pooled(bars: DataFrame, regressor, k: int, value_col: str) -> DataFrame:
+    """One MLlib model over every symbol's scaled lag windows; validation rows with its prediction on the price scale."""
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
 
     from .features import add_lags, minmax_scale
 
@@ -159,9 +158,33 @@ def lag_mllib(bars: DataFrame, k: int = AR_ORDER, value_col: str = "close") -> D
     s = s.where(F.col("rn") > k)
     full = VectorAssembler(inputCols=lags, outputCol="features").transform(s.where(_all_present([*lags, "scaled"])))
     train = full.where(F.col("split") == "train").withColumnRenamed("scaled", "label")
-    model = LinearRegression(featuresCol="features", labelCol="label", solver="normal").fit(train)
+    model = regressor.setFeaturesCol("features").setLabelCol("label").fit(train)
     inv = F.col("prediction") * (F.col("x_max") - F.col("x_min")) + F.col("x_min")
     told = model.transform(full.where(F.col("split") == "valid")).select("symbol", "trade_date", value_col, inv.alias("prediction_raw"))
     # rows with a gap in their lags have no prediction, but stay
     rest = s.where((F.col("split") == "valid") & ~_all_present([*lags, "scaled"]))
     return told.unionByName(rest.select("symbol", "trade_date", value_col, F.lit(None).cast("double").alias("prediction_raw")))
+
+
+def lag_mllib(bars: DataFrame, k: int = AR_ORDER, value_col: str = "close") -> DataFrame:
+    """One pooled MLlib linear regression over every symbol's scaled lag windows."""
+    from pyspark.ml.regression import LinearRegression
+
+    return _pooled(bars, LinearRegression(solver="normal"), k, value_col)
+
+
+def lag_gbt(bars: DataFrame, k: int = AR_ORDER, value_col: str = "close", trees: int = 40, depth: int = 4, step: float = 0.2,
+            seed: int = 7) -> DataFrame:
+    """One pooled ensemble of boosted regression trees over every symbol's scaled lag windows (not linear).
+
+    Trees are grown from per-node histograms that Spark adds up, so the training rows stay where they are;
+    a prediction is at most the greatest train value of its symbol's scale.
+    """
+    from pyspark.ml.regression import GBTRegressor
+
+    return _pooled(bars, GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=step, seed=seed, checkpointInterval=10), k, value_col)
+
+
+def rmse_of(pred: DataFrame, model: str, value_col: str = "close") -> DataFrame:
+    """The RMSE table of one model's predictions (``prediction_raw``), to be united with that of others."""
+    return rmse(pred.withColumnRenamed("prediction_raw", f"pred_{model}"), (model,), value_col)

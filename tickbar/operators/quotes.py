@@ -9,8 +9,6 @@ not parse go to a reject table with a reason instead of failing the job.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,35 +92,25 @@ def parsed_map(df: DataFrame) -> DataFrame:
     return df.withColumn("quote_map", F.map_from_entries(parsed_entries(F.col("fields"))))
 
 
-FIELD_TEXT_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in QUOTE_NUMERIC_FIELDS])
 # What counts as a number; a Java cast alone would also take type suffixes (12.5f, 12d).
 _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
-def fields_json(fields: Column) -> Column:
-    """The field entries as a JSON object, in token order: a JSON parser keeps the last of
-    repeated keys, which is the last-duplicate-wins rule."""
-    def quoted(text: Column) -> Column:
-        return F.concat(F.lit('"'), F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
-
-    entry = F.transform(fields, lambda e: F.concat(quoted(e.getField("k")), F.lit(":"),
-                                                   quoted(F.coalesce(e.getField("v"), F.lit("")))))
-    return F.concat(F.lit("{"), F.array_join(entry, ","), F.lit("}"))
-
-
 def typed_quotes(parsed: DataFrame) -> DataFrame:
     """Project to the quote model: known numeric fields typed, unknown keys ignored.
 
-    The entries of ``parse_payload`` become the model's fields in one JSON decode per
-    payload; values are then cleaned, checked and cast.  A text that isn't a number or an
-    empty symbol rejects the payload.
+    The entries of ``parse_payload``, last one first, as an array of names and one of texts; a model field is
+    the text at its name's first place there (so the last duplicate wins).  Texts are then cleaned, checked and
+    cast.  One that isn't a number or an empty symbol rejects the payload.  The model's fields are handled
+    as an array: 27 times the same expressions side by side would be a method too long for the JIT compiler.
     """
-    rec = parsed.withColumn("_rec", F.from_json(fields_json(F.col("fields")), FIELD_TEXT_SCHEMA,
-                                                {"allowUnquotedControlChars": "true"}))
-    txt = rec.withColumns({f"_t_{f}": clean_number(F.col("_rec").getField(f)) for f in QUOTE_NUMERIC_FIELDS})
-    typed = txt.withColumns({f: F.when(F.col(f"_t_{f}").rlike(_NUMBER), F.col(f"_t_{f}").try_cast("double"))
-                             for f in QUOTE_NUMERIC_FIELDS})
-    bad = reduce(lambda a, b: a | b, [F.col(f"_t_{f}").isNotNull() & F.col(f).isNull() for f in QUOTE_NUMERIC_FIELDS])
+    last_first = F.reverse("fields")
+    rec = parsed.withColumns({"_names": last_first.getField("k"), "_texts": last_first.getField("v")})
+    model = F.array(*[F.lit(f) for f in QUOTE_NUMERIC_FIELDS])
+    rec = rec.withColumn("_clean", F.transform(
+        model, lambda f: clean_number(F.get("_texts", F.array_position("_names", f).cast("int") - 1))))
+    rec = rec.withColumn("_numbers", F.transform("_clean", lambda t: F.when(t.rlike(_NUMBER), t.try_cast("double"))))
+    bad = F.size(F.array_compact("_numbers")) < F.size(F.array_compact("_clean"))
     reason = (
         F.when(F.col("content").isNull(), F.lit("null_content"))
         .when(~F.col("has_pipe"), F.lit("no_pipe"))
@@ -130,7 +118,8 @@ def typed_quotes(parsed: DataFrame) -> DataFrame:
         .when(F.coalesce(F.col("ticker"), F.lit("")) == "", F.lit("missing_symbol"))
         .when(bad, F.lit("bad_number"))
     )
-    return typed.withColumn("reject_reason", reason).drop("_rec", *[f"_t_{f}" for f in QUOTE_NUMERIC_FIELDS])
+    typed = rec.withColumns({f: F.get("_numbers", F.lit(i)) for i, f in enumerate(QUOTE_NUMERIC_FIELDS)})
+    return typed.withColumn("reject_reason", reason).drop("_names", "_texts", "_clean", "_numbers")
 
 
 def stamp(df: DataFrame, trade_time=None, exchange_name: str = EXCHANGE_NAME) -> DataFrame:
@@ -154,4 +143,4 @@ def quotes_from_content(items: DataFrame, trade_time=None, keep: tuple[str, ...]
 
 
 __all__ = ["feed_requests", "feed_request_grid", "feed_explode", "parse_payload", "parsed_map",
-           "typed_quotes", "stamp", "quotes_from_content", "parsed_entries", "fields_json"]
+           "typed_quotes", "stamp", "quotes_from_content", "parsed_entries"]

@@ -7,6 +7,7 @@ checkpoint directory and return the table read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,11 @@ from ..operators import framing as FR
 from ..operators import history as H
 from ..operators import quotes as Q
 from ..operators.sequence import chunk_numbers, global_row_number
-from ..schemas import PUBLISH_BATCH_SIZE, QUOTE_SCHEMA
+from ..schemas import BAR_COLUMNS, DAILY_TSV_SCHEMA, HISTORY_TSV_SCHEMA, PUBLISH_BATCH_SIZE, QUOTE_SCHEMA, SYMBOL_SCHEMA
 from ..session import scratch_path
+from ..sources import dump as DU
 from ..sources import files as FS
-from ..sources.fixtures import FRAME_SCHEMAS, bad_frames_v, bars_v, frames_v, quotes_v, raw_v, symbols_v
+from ..sources.fixtures import FRAME_SCHEMAS, NO_DATA_SYMBOL, bad_frames_v, bars_v, frames_v, quotes_v, raw_v, symbols_v
 from ..sources.snapshots import SnapshotTable
 from ..streaming import bars_stream as BS
 from ..streaming import staging as ST
@@ -33,7 +35,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 RANGE_START, RANGE_END = "1996-01-01", "1997-12-31"
 SCAN_DAY, SCAN_SYMBOL = "2024-01-15", "click"
 AS_OF, ONE_SYMBOL = "1997-02-28", "1-URGENT"
+SYMBOL_BUCKETS = 16
 TICK = 0.01  # the order prices are quoted in cents
+DUMP_FILES = 4
 HISTORY_CUT_END, DAILY_CUT_START = "2000-12-31", "2000-12-01"
 PASSTHROUGH_SQL = ("SELECT symbol, count(*) AS n_bars, min(trade_date) AS first_date, max(trade_date) AS last_date, "
                    "CAST(sum(volume) AS BIGINT) AS total_volume FROM bars GROUP BY symbol")
@@ -128,6 +132,51 @@ def q_history_union(spark, sf):
     return B.history_union(hist, daily)
 
 
+def _dump_lines(spark, sf) -> DataFrame:
+    """The bars as the text of a dump of two databases: a history and a daily table per symbol, and the symbol dimension."""
+    bars, symbols = bars_v(spark, sf), symbols_v(spark, sf)
+    tables = symbols.select(F.col("symbol").alias("sym"), "tb", F.pmod(F.xxhash64("symbol"), F.lit(DUMP_FILES)).alias("part"))
+
+    def text(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit("\\N"))
+
+    def section(database, rank, layout, columns, rows):
+        listed = ", ".join(c if c.islower() else f'"{c}"' for c in columns)
+        places = [F.lit(rank).alias("db"), F.col("tb").alias("name")]
+        head = F.concat(F.lit('COPY public."'), "tb", F.lit(f'" ({listed}) FROM stdin;'))
+        opened = tables.select("part", *places, F.lit(0).alias("step"), F.lit("").alias("row"), head.alias("line"))
+        closed = tables.select("part", *places, F.lit(2).alias("step"), F.lit("").alias("row"), F.lit("\\.").alias("line"))
+        body = layout(rows).join(tables, F.col("symbol") == F.col("sym")).select(
+            "part", *places, F.lit(1).alias("step"), text("Date").alias("row"), F.concat_ws("\t", *[text(c) for c in columns]).alias("line"))
+        start = tables.select("part").distinct().select("part", F.lit(rank).alias("db"), F.lit("").alias("name"), F.lit(0).alias("step"),
+                                                        F.lit("").alias("row"), F.lit(f"\\connect {database}").alias("line"))
+        return [start, opened, body, closed]
+    hist = bars.where(F.col("trade_date") <= F.lit(HISTORY_CUT_END).cast("date"))
+    daily = bars.where(F.col("trade_date") >= F.lit(DAILY_CUT_START).cast("date"))
+    parts = [*section("historical", 1, B.to_history_layout, HISTORY_TSV_SCHEMA.names, hist),
+             *section("stock", 2, B.to_daily_layout, DAILY_TSV_SCHEMA.names, daily)]
+    last = [F.lit(0).cast("long").alias("part"), F.lit(3).alias("db"), F.lit("").alias("name")]
+    dimension = symbols.select(*last, F.lit(1).alias("step"), F.col("symbol").alias("row"), F.concat_ws("\t", "symbol", "tb").alias("line"))
+    head, end = (tables.where(F.col("sym") == NO_DATA_SYMBOL[0]).select(*last, F.lit(i).alias("step"), F.lit("").alias("row"), F.lit(x).alias("line"))
+                 for i, x in ((0, "COPY public.symbols (symbol, tb) FROM stdin;"), (2, "\\.")))
+    return reduce(DataFrame.unionByName, [*parts, head, dimension, end])
+
+
+@register("dump_sections_load")
+def q_dump_sections_load(spark, sf):
+    """A dump with the sections of all tables in a few files: its rows by their own headers, symbols from its own dimension."""
+    path = scratch_path(spark, "dump")
+    _dump_lines(spark, sf).repartition(DUMP_FILES, "part").sortWithinPartitions("part", "db", "name", "step", "row").select("line").write.text(path)
+    rows = DU.read_dump(spark, path)
+    dimension = F.col("table_name") == "symbols"
+    symbols = DU.typed(rows.where(dimension), SYMBOL_SCHEMA, keep=())
+    hist = B.normalise_history(DU.typed(rows.where(~dimension & (F.col("database") == "historical")), HISTORY_TSV_SCHEMA), "table_name")
+    daily = B.normalise_daily(DU.typed(rows.where(~dimension & (F.col("database") == "stock")), DAILY_TSV_SCHEMA), "table_name")
+    both = hist.withColumn("database", F.lit("historical")).unionByName(daily.withColumn("database", F.lit("stock")))
+    named = both.withColumnRenamed("symbol", "tb").join(symbols, "tb")
+    return named.select("database", *BAR_COLUMNS)
+
+
 # ------------------------------------------------------------- symbols ----
 @register("symbols_scan")
 def q_symbols_scan(spark, sf):
@@ -168,6 +217,24 @@ def q_history_one_symbol(spark, sf):
     return H.history_for_symbol(bars_v(spark, sf), [ONE_SYMBOL])
 
 
+def _by_symbol(spark, sf) -> DataFrame:
+    """The bars as a catalog table, bucketed by symbol."""
+    path = scratch_path(spark, "bars_by_symbol")
+    name = "bars_by_symbol_" + path.rsplit("-", 1)[-1]
+    FS.write_by_symbol(bars_v(spark, sf), name, path, SYMBOL_BUCKETS)
+    return spark.table(name)
+
+
+@register("history_one_symbol_bucketed")
+def q_history_one_symbol_bucketed(spark, sf):
+    return H.history_for_symbol(_by_symbol(spark, sf), [ONE_SYMBOL])
+
+
+@register("history_for_symbol_bucketed")
+def q_history_for_symbol_bucketed(spark, sf):
+    return H.history_for_symbol(_by_symbol(spark, sf))
+
+
 @register("sql_passthrough")
 def q_sql_passthrough(spark, sf):
     bars_v(spark, sf).createOrReplaceTempView("bars")
@@ -300,7 +367,19 @@ def q_forecast_ols(spark, sf):
 
 @register("forecast_lag_mllib")
 def q_forecast_mllib(spark, sf):
-    return FC.finish(FC.lag_mllib(bars_v(spark, sf)), decimals=0)
+    return FC.finish(FC.lag_mllib(bars_v(spark, sf)))
+
+
+@register("forecast_gbt")
+def q_forecast_gbt(spark, sf):
+    return FC.finish(FC.lag_gbt(bars_v(spark, sf)))
+
+
+@register("model_comparison_gbt")
+def q_model_comparison_gbt(spark, sf):
+    """Linear models and the boosted trees, ranked by RMSE for each symbol."""
+    trees = FC.rmse_of(FC.lag_gbt(bars_v(spark, sf)), "gbt")
+    return FC.model_comparison(FC.rmse(_both(spark, sf)).unionByName(trees))
 
 
 @register("rmse_ar5")
@@ -409,8 +488,9 @@ def q_quotes_rejects(spark, sf):
 
 @register("publish_batches")
 def q_publish_batches(spark, sf):
-    good = _typed(spark, sf)[0].select("trade_time", "response_id", "item_pos")
-    seq = global_row_number(good, ["trade_time", "response_id", "item_pos"])
+    path, keys = scratch_path(spark, "publish_keys"), ["trade_time", "response_id", "item_pos"]
+    _typed(spark, sf)[0].select(*keys).write.parquet(path)  # parsed once; the sort's sample reads the keys only
+    seq = global_row_number(spark.read.parquet(path), keys)
     return chunk_numbers(seq, "seq", PUBLISH_BATCH_SIZE).groupBy("batch_no").agg(
         F.count(F.lit(1)).alias("n_records"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
 
@@ -428,7 +508,8 @@ def q_unframe_quotes(spark, sf):
     u = FR.unframe(frames_v(spark, sf))
     body = F.decode("payload", "UTF-8")
     return u.select("key", "magic", "schema_id", F.get_json_object(body, "$.symbol").alias("symbol"),
-                    F.get_json_object(body, "$.last_price").cast("double").alias("last_price"))
+                    F.get_json_object(body, "$.last_price").cast("double").alias("last_price"),
+                    F.length("payload").alias("n_bytes"), F.md5("payload").alias("payload_md5"))
 
 
 @register("distinct_schema_ids")

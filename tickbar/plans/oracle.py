@@ -308,7 +308,7 @@ _ml_ctes, _ml_final = solve_sql(P + 1, "ml_n", [[f"g{min(i, j)}_{max(i, j)}" for
                                 [f"b{i}" for i in range(P + 1)], [f"c{i}" for i in range(P + 1)], ["one"], "gjm")
 _mlhat = "c0" + "".join(f" + c{i} * lag_{i}" for i in range(1, P + 1))
 reg("forecast_lag_mllib", _with([BARS_V, SPLIT, SPLIT2, SCALED, SCALED2, LAGS, ML_N, *_ml_ctes], (
-    f"SELECT symbol, trade_date, close, round(({_mlhat}) * (x_max - x_min) + x_min, 0) AS prediction "
+    f"SELECT symbol, trade_date, close, round(({_mlhat}) * (x_max - x_min) + x_min, 2) AS prediction "
     f"FROM lags JOIN {_ml_final} ON one = 1 WHERE split = 'valid' AND rn > 5")))
 
 # ---------------------------------------------------------------- feed ----
@@ -361,8 +361,9 @@ reg("stage_rejects", _with([QUOTES_V, FRAMES], (
     "WHEN 5 THEN strlen(body) + 5 - strlen(symbol) ELSE strlen(body) + 5 END AS INTEGER) AS n_bytes, "
     "CASE msg_seq % 6 WHEN 0 THEN '0000' WHEN 1 THEN '0100000001' WHEN 2 THEN '0000000063' "
     "ELSE printf('%02X%08X', 0, sid) END AS header_hex FROM frames")))
-reg("unframe_quotes", _with([QUOTES_V], (
-    f"SELECT CAST(msg_seq AS VARCHAR) AS key, 0 AS magic, {_SID} AS schema_id, symbol, last_price FROM quotes_v")))
+reg("unframe_quotes", _with([QUOTES_V, FRAMES], (
+    "SELECT key, 0 AS magic, sid AS schema_id, symbol, last_price, CAST(strlen(body) AS INTEGER) AS n_bytes, "
+    "md5(body) AS payload_md5 FROM frames")))
 reg("distinct_schema_ids", _with([QUOTES_V], (
     f"SELECT {_SID} AS schema_id, count(*) AS n_messages FROM quotes_v GROUP BY 1")))
 _STAGED = (f"SELECT CAST(msg_seq AS VARCHAR) AS key, {_SID} AS schema_id, {_QUOTE_COLS}, "
@@ -388,3 +389,7 @@ reg("stream_dedup", _with([QUOTES_V], "SELECT CAST(msg_seq AS VARCHAR) AS key, s
 
 # staged in another way, the rows are the same
 ORACLE["stream_replay"] = ORACLE["staged_compaction"] = ORACLE["stream_stage"]
+ORACLE["history_one_symbol_bucketed"], ORACLE["history_for_symbol_bucketed"] = ORACLE["history_one_symbol"], ORACLE["history_for_symbol"]
+reg("dump_sections_load", _with([BARS_V], (
+    f"SELECT 'historical' AS database, * FROM bars_v WHERE trade_date <= DATE '{HISTORY_CUT_END}' "
+    f"UNION ALL SELECT 'stock' AS database, * FROM bars_v WHERE trade_date >= DATE '{DAILY_CUT_START}'")))

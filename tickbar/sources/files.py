@@ -78,6 +78,16 @@ def read_partitioned_quotes(spark: SparkSession, path: str, schema: T.StructType
     return spark.read.schema(schema).parquet(path)
 
 
+def write_by_symbol(bars: DataFrame, table: str, path: str, buckets: int = 64) -> None:
+    """The bars once more, bucketed and sorted by symbol: a symbol's history is one bucket, whatever the number of dates.
+
+    ``buckets`` is the table's for good; a bucket should be some hundred MB.  One task writes a bucket, in one file.
+    """
+    spread = bars.repartition(buckets, "symbol")
+    (spread.write.mode("overwrite").option("path", path).bucketBy(buckets, "symbol").sortBy("symbol", "trade_date")
+     .format("parquet").saveAsTable(table))
+
+
 def load_symbols(df: DataFrame, path: str) -> None:
     """Write the symbol dimension, one row per symbol."""
     dedup_symbols(df).write.mode("overwrite").parquet(path)
