@@ -164,6 +164,27 @@ def _term_counts(lists: list[np.ndarray], y: np.ndarray, weight: np.ndarray) ->
     return vocabulary, n, *both
 
 
+def _calibrates(ids: list) -> np.ndarray:
+    """Which labelled rows calibrate and are never trained on."""
+    return np.array([xxhash.xxh64_intdigest(str(i)) % CALIBRATION_SHARE == 0 for i in ids], bool)
+
+
+def _told_terms(targets: list[str]):
+    """target, term, n, zero, one over the training rows of the labelled sample; weights are whole millionths, so sums are exact."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            trains = ~_calibrates(column["__id"].to_pylist())
+            weight = np.rint(1e6 / column["__share"].to_numpy())
+            for t, name in enumerate(targets):
+                y = column[name].fill_null(-1).to_numpy(zero_copy_only=False)
+                use = np.flatnonzero((y >= 0) & trains)
+                found = _term_counts([column["terms"][i].values.to_numpy() for i in use], y[use], weight[use])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found[0]), t, np.int32)), *(pa.array(x.astype(np.int64)) for x in found)],
+                                                 ["target", "term", "n", "zero", "one"])
+    return lean(run)
+
+
 def _best_terms(counts: DataFrame, total: float, positive: float) -> np.ndarray:
     """The terms that tell the classes apart best by chi-square, sorted (at most MAX_TERMS).
 
@@ -272,11 +293,12 @@ def _add_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["target", "view", "at", "sums"])
 
 
-def co_train(pool: DataFrame, lists: list[np.ndarray], figures: np.ndarray, labels: dict[str, np.ndarray],
+def co_train(pool: DataFrame, told: DataFrame, lists: list[np.ndarray], figures: np.ndarray, labels: dict[str, np.ndarray],
              weights: np.ndarray, calibrate: np.ndarray, rounds: int = ROUNDS) -> dict:
     """Models of both views per target; labels: 1, 0, or -1 (none).  None without two classes.
 
     pool: terms, figures and open_<target> (without that label) of all other documents.
+    told: the counts of `_told_terms` (the driver holds the labelled rows, but not the counts of all their terms).
     """
     spark = pool.sparkSession
     local, models = {}, {}
@@ -286,10 +308,10 @@ def co_train(pool: DataFrame, lists: list[np.ndarray], figures: np.ndarray, labe
         if len(set(y[known].tolist())) < 2:
             continue
         own = [lists[i] for i in known]
-        w = weights[known] / weights[known].mean()
+        mean = float(weights[known].mean())
+        w = weights[known] / mean
         model = {"mean": figures[known].mean(axis=0), "spread": figures[known].std(axis=0)}
-        terms, n, zero, one = _term_counts(own, y[known], w)
-        frame = spark.createDataFrame(pa.table({"term": terms, "n": n, "zero": zero, "one": one}))
+        frame = told.where(F.col("target") == list(labels).index(t)).select("term", "n", *[(F.col(c) / (1e6 * mean)).alias(c) for c in ("zero", "one")])
         model["vocabulary"] = _best_terms(frame, w.sum(), w[y[known] == 1].sum())
         local[t] = known, own, y[known], w, frame
         model["text"] = _fit(presence(own, model["vocabulary"]), y[known], w)
@@ -401,10 +423,13 @@ def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, int], id_col: str
     some = (src.join(F.broadcast(chosen), "__id").groupBy(*cols)  # one row per id, however often it occurs
             .agg(F.min(F.struct(*view)).alias("view")).select(*cols, *[f"view.{c}" for c in view]))
     made = [T.StructField("terms", T.ArrayType(T.LongType())), T.StructField("figures", T.ArrayType(T.FloatType()))]
-    rows = some.mapInArrow(_features(cols), T.StructType([*some.select(*cols).schema.fields, *made])).toArrow().sort_by("__id")
+    sample = scratch(some.mapInArrow(_features(cols), T.StructType([*some.select(*cols).schema.fields, *made])), "quality-sample")
+    terms_told = sample.mapInArrow(_told_terms(list(targets)), "target int, term long, n long, zero long, one long")
+    terms_told = scratch(terms_told.groupBy("target", "term").agg(*[F.sum(c).alias(c) for c in ("n", "zero", "one")]), "quality-told-terms")
+    rows = sample.toArrow().sort_by("__id")
     lists = [x.values.to_numpy() for x in rows.column("terms")]
     figures = np.array([x.values.to_numpy() for x in rows.column("figures")], np.float32).reshape(len(lists), N_LAYOUT + 2 * BUCKETS)
-    part = np.array([xxhash.xxh64_intdigest(str(i)) % CALIBRATION_SHARE == 0 for i in rows.column("__id").to_pylist()], bool)
+    part = _calibrates(rows.column("__id").to_pylist())
     weights = 1.0 / rows.column("__share").to_numpy()
     known = {t: np.array([-1 if v is None else v for v in rows.column(t).to_pylist()], np.int64) for t in targets}
     del rows
@@ -416,7 +441,7 @@ def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, int], id_col: str
     pool = src.mapInArrow(_features(["__id"]), T.StructType([src.schema["__id"], *made])).join(told, "__id", "left")
     opened = [F.col(t).isNull().alias(f"open_{t}") for t in targets]
     pool = scratch(pool.where(F.greatest(*[F.col(t).isNull() for t in targets], F.lit(False))).select("terms", "figures", *opened), "quality-pool")
-    out = co_train(pool, lists, figures, known, weights, part, rounds)
+    out = co_train(pool, terms_told, lists, figures, known, weights, part, rounds)
     del lists, figures
     release()
     return out
