@@ -74,14 +74,41 @@ def key(row):
     return tuple((x is not None, x) if not isinstance(x, bool) else (True, x) for x in row)
 
 
-@pytest.mark.parametrize("per_shard, docs_per_task", [(8192, 2048), (2, 3)])
-def test_substring_matches_brute_force(docs, per_shard, docs_per_task):
-    found = substring.find_repeats(docs, per_shard=per_shard, docs_per_task=docs_per_task)
+@pytest.mark.parametrize("per_shard, words_per_task", [(8192, 1 << 19), (2, 300)])
+def test_substring_matches_brute_force(docs, per_shard, words_per_task):
+    found = substring.find_repeats(docs, per_shard=per_shard, words_per_task=words_per_task)
     cut = substring.remove_repeats(docs, found, keep=["doc_id"], one_space=True)
     got = cut.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256)).collect()
     assert sorted(map(key, got)) == sorted(map(key, brute_removed(messy_rows())))
 
 
+def removed(docs, **options):
+    cut = substring.remove_repeats(docs, substring.find_repeats(docs, **options), keep=["doc_id"], one_space=True)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256)).collect()
+
+
+def test_words_made_to_collide_are_told_apart(spark):
+    signs = [bin(i).count("1") % 2 for i in range(1024)]
+    twins = ["".join("ab"[s] for s in signs), "".join("ba"[s] for s in signs)]
+    found = [substring.word_hashes(w.encode(), np.array([0]), np.array([1024]), seed) for w in twins for seed in (0, 1)]
+    assert found[0] == found[2] and found[1] == found[3]  # the words' polynomial hashes are equal under both seeds
+    around = [f"word{i}" for i in range(60)]
+    rows = [(i, " ".join([*around[:30], w, *around[31:]])) for i, w in enumerate(twins)] + [(7, " ".join([*around[:30], twins[1], *around[31:]]))]
+    got = removed(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in got} == {0: 0, 1: 0, 7: 60}
+    assert sorted(map(key, got)) == sorted(map(key, brute_removed(rows)))
+
+
+def test_many_texts_without_an_id(spark):
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(None, " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(60)) + " " + passage + f" end{i}") for i in range(2000)]
+    rows += [(None, rows[0][1])] * 200 + [(None, rows[1][1].replace(" ", "  ")), (5, "start " + passage)]
+    got = removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    assert sorted(map(key, got)) == sorted(map(key, brute_removed(rows)))
+    assert {r["n_removed"] for r in got if r["doc_id"] is None} == {60}
+
+
 def test_substring_keeps_separators_and_columns(spark, docs, none):
     cut = substring.remove_repeats(docs, substring.find_repeats(docs), kept_col="text")
     assert set(cut.columns) == set(docs.columns) | {"n_words", "n_removed"}

@@ -9,11 +9,14 @@
    from the owners' texts, and streams every document with one of them through it to locate
    every occurrence.  A shard with many documents is dealt to several tasks, each with the
    automaton.
-4. Confirmation.  Windows anchored at an occurrence are told apart by 128-bit hashes; a window
-   that also stands in a document with a smaller id is removed from this one.
+4. Confirmation.  Windows anchored at an occurrence are told apart by 128-bit hashes of their words' bytes; a
+   window that also stands in a document with a smaller id is removed from this one.
 
-Memory in a task follows the shard size (a parameter) and the longest text.  Documents
-without a recurring phrase are never routed.
+Anchors are chosen by polynomial hashes of words, which equal words share; that two words collide there (one can
+make such words) costs work, never a removal, since phrases are matched as text and windows by step 4.
+Texts travel under id and text together, so texts that share an id (or have none) don't meet each other.
+Memory in a task follows the shard size (a parameter) and the longest text; a shard's texts are dealt to
+tasks by their words.  Documents without a recurring phrase are never routed.
 
 Defined results: a null text has no words and stays null; ids are compared as integers, a null
 id after all others; rows with equal ids don't remove each other's words, and repeated
@@ -27,7 +30,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +40,7 @@ from .common import binaries, fresh, id_rank, lean, run_hashes, scratch, slices,
 WINDOW = 50
 PHRASE = 10
 PHRASES_PER_SHARD = 8192
-DOCS_PER_TASK = 2048
+WORDS_PER_TASK = 1 << 19
 
 
 def joined_words(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -51,6 +55,18 @@ def sequence_key(joined: bytes) -> bytes:
     return hashlib.blake2b(joined, digest_size=16).digest()
 
 
+def window_keys(joined: bytes, starts: np.ndarray, stops: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    """A 128-bit hash, as two integers, of the words of each window that starts at a place of `at`."""
+    ends = stops[at + window - 1].tolist()
+    found = b"".join([xxhash.xxh3_128_digest(joined[a:b]) for a, b in zip(starts[at].tolist(), ends, strict=True)])
+    return np.frombuffer(found, np.int64).reshape(-1, 2)
+
+
+def text_key(text: Column) -> Column:
+    """Tells the texts of an id apart (a null has none)."""
+    return F.xxhash64(text)
+
+
 def anchor_of_windows(phrases: np.ndarray, per_window: int) -> np.ndarray:
     """Place of the leftmost smallest phrase hash of each window of `per_window` phrases."""
     if len(phrases) < per_window:
@@ -77,8 +93,8 @@ def _anchors(window: int, phrase: int):
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
                                              pa.array(np.concatenate(anchors).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(seqs, pa.binary()), pa.array(counts, pa.int64()), lists],
-                ["id", "seq", "n_words", "anchors"])
+                [batch.column(0), batch.column(1), pa.array(seqs, pa.binary()), pa.array(counts, pa.int64()), lists],
+                ["id", "text_key", "seq", "n_words", "anchors"])
     return lean(run)
 
 
@@ -120,9 +136,9 @@ def _locate(window: int, phrase: int):
                 at = np.flatnonzero(located[anchor_of_windows(run_hashes(words, phrase), window - phrase + 1)])
                 if not len(at):
                     continue
-                other = word_hashes(joined, starts, stops, 1)
-                out[0].append(run_hashes(words, window)[at].view(np.int64))
-                out[1].append(run_hashes(other, window, 1)[at].view(np.int64))
+                keys = window_keys(joined, starts, stops, at, window)
+                out[0].append(keys[:, 0])
+                out[1].append(keys[:, 1])
                 out[2].append(np.full(len(at), ids[i], np.int64))
                 out[3].append(np.full(len(at), int.from_bytes(seqs[i][:8], "big", signed=True), np.int64))
                 out[4].append(at.astype(np.int32))
@@ -175,34 +191,35 @@ def _remove(window: int, text_at: int, told_at: int, kept: list[str], own: list[
 
 def find_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id_col: str = "doc_id",
                  text_col: str = "text", per_shard: int = PHRASES_PER_SHARD,
-                 docs_per_task: int = DOCS_PER_TASK) -> DataFrame:
-    """What to remove, a row per id: id, told = array of (tag of the word sequence, whole, window starts)."""
+                 words_per_task: int = WORDS_PER_TASK) -> DataFrame:
+    """What to remove, a row per id and text: id, text_key, told = array of (tag of the word sequence, whole, window starts)."""
     if not 0 < phrase <= window:
         raise ValueError("a phrase must fit into a window")
-    src = docs.select(id_rank(F.col(id_col)).alias("id"), F.col(text_col).alias("text"))
-    rows = scratch(src.mapInArrow(_anchors(window, phrase), "id long, seq binary, n_words long, anchors array<long>"),
+    src = docs.select(id_rank(F.col(id_col)).alias("id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
+    rows = scratch(src.mapInArrow(_anchors(window, phrase), "id long, text_key long, seq binary, n_words long, anchors array<long>"),
                    "substring-rows").where(F.col("n_words") >= window)
-    heads = scratch(rows.groupBy("seq").agg(F.min("id").alias("id"), F.first("anchors").alias("anchors")),
-                    "substring-heads")
+    heads = rows.groupBy("seq").agg(F.min(F.struct("id", "text_key")).alias("head"), F.first("n_words").alias("n_words"),
+                                    F.first("anchors").alias("anchors"))
+    heads = scratch(heads.select("seq", "head.id", "head.text_key", "n_words", "anchors"), "substring-heads")
 
-    posts = heads.select("id", "seq", F.explode("anchors").alias("anchor"))
-    shared = posts.groupBy("anchor").agg(F.min(F.struct("id", "seq")).alias("owner"), F.max("id").alias("last"))
+    posts = heads.select("id", "text_key", "seq", "n_words", F.explode("anchors").alias("anchor"))
+    shared = posts.groupBy("anchor").agg(F.min(F.struct("id", "seq", "text_key")).alias("owner"), F.max("id").alias("last"))
     shared = scratch(shared.where(F.col("last") > F.col("owner.id")).select("anchor", "owner"), "substring-phrases")
     n_shards = max(1, -(-shared.count() // per_shard))
     shard = F.pmod(F.xxhash64("owner.id", "owner.seq"), F.lit(n_shards)).cast("int")
     shared = shared.withColumn("shard", shard)
 
     owners = shared.groupBy("shard", "owner").agg(F.collect_list("anchor").alias("own")).select(
-        "shard", F.col("owner.id").alias("id"), F.col("owner.seq").alias("seq"), "own")
-    routed = scratch(posts.join(shared, "anchor").select("shard", "id", "seq").distinct(), "substring-routes")
-    loads = scratch(routed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / docs_per_task).cast("int").alias("parts")),
+        "shard", F.col("owner.id").alias("id"), F.col("owner.text_key").alias("text_key"), F.col("owner.seq").alias("seq"), "own")
+    routed = scratch(posts.join(shared, "anchor").select("shard", "id", "text_key", "seq", "n_words").distinct(), "substring-routes")
+    loads = scratch(routed.groupBy("shard").agg(F.ceil(F.sum("n_words") / words_per_task).cast("int").alias("parts")),
                     "substring-loads")
     every = owners.join(loads, "shard").select(
-        "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "id", "seq", "own")
+        "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "id", "text_key", "seq", "own")
     some = routed.join(loads, "shard").select(
         "shard", F.pmod(F.xxhash64("id", "seq"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "id",
-        "seq", F.lit(None).cast("array<long>").alias("own"))
-    stream = every.union(some).join(src.where(F.col("text").isNotNull()), "id").select(
+        "text_key", "seq", F.lit(None).cast("array<long>").alias("own"))
+    stream = every.union(some).join(src.where(F.col("text").isNotNull()), ["id", "text_key"]).select(
         "shard", "part", "role", "id", "seq", "own", "text")
     stream = stream.repartition("shard", "part").sortWithinPartitions("shard", "part", "role")
     found = scratch(stream.mapInArrow(_locate(window, phrase), "w1 long, w2 long, id long, tag long, start int"),
@@ -214,11 +231,13 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id
     later = found.join(first, (found["w1"] == first["x1"]) & (found["w2"] == first["x2"])).where("id > least")
     spans = later.groupBy("id", "tag").agg(F.collect_set("start").alias("starts")).select(
         "id", "tag", F.lit(False).alias("whole"), "starts")
-    tag = F.conv(F.hex(F.substring("seq", 1, 8)), 16, -10).cast("long")
+    tag = F.conv(F.hex(F.substring("seq", 1, 8)), 16, -10).cast("long").alias("tag")
+    texts = rows.select("id", tag, "text_key").distinct()  # a word sequence may stand in an id with other white space too
     minima = heads.select(F.col("seq").alias("own"), F.col("id").alias("least"))
-    copies = rows.join(minima, F.col("seq") == F.col("own")).where("id > least").select("id", tag.alias("tag")).distinct()
+    copies = rows.join(minima, F.col("seq") == F.col("own")).where("id > least").select("id", tag).distinct()
     copies = copies.select("id", "tag", F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("starts"))
-    told = spans.union(copies).groupBy("id").agg(F.collect_list(F.struct("tag", "whole", "starts")).alias("told"))
+    told = spans.union(copies).join(texts, ["id", "tag"]).groupBy("id", "text_key").agg(
+        F.collect_list(F.struct("tag", "whole", "starts")).alias("told"))
     return scratch(told, "substring-told")
 
 
@@ -230,9 +249,10 @@ def remove_repeats(docs: DataFrame, repeats: DataFrame, window: int = WINDOW, id
     With `one_space` the words left are joined by one space; else their own separators stay.
     """
     keep = without([c for c in docs.columns if c != text_col] if keep is None else keep, n_col, removed_col, kept_col)
-    text, rank, told, key = (fresh(docs, c) for c in ("__text", "__rank", "__told", "__key"))
-    src = docs.select(*keep, F.col(text_col).alias(text), id_rank(F.col(id_col)).alias(rank))
-    met = src.join(repeats.select(F.col("id").alias(key), F.col("told").alias(told)), F.col(rank) == F.col(key), "left")
+    text, rank, own_key, told, key, told_key = (fresh(docs, c) for c in ("__text", "__rank", "__own", "__told", "__key", "__text_key"))
+    src = docs.select(*keep, F.col(text_col).alias(text), id_rank(F.col(id_col)).alias(rank), text_key(F.col(text_col)).alias(own_key))
+    met = src.join(repeats.select(F.col("id").alias(key), F.col("text_key").alias(told_key), F.col("told").alias(told)),
+                   (F.col(rank) == F.col(key)) & (F.col(own_key) == F.col(told_key)), "left")
     met = met.select(*keep, text, told)
     own = [n_col, removed_col, kept_col]
     schema = T.StructType([*docs.select(*keep).schema.fields, *[T.StructField(c, t) for c, t in zip(
