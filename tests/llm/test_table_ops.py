@@ -194,6 +194,24 @@ def test_nearest_neighbours(vectors):
     assert permutation.search(vectors.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_ids_with_several_vectors(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(i) % 40, rng.normal(size=8).tolist()) for i in range(400)] + [(10, [1.0] * 8), (10, [-1.0] * 8), (11, [1.0] * 8), (12, [1.0] * 8)]
+    found = permutation.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0, k=5).collect()
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = np.array([i for i, _ in rows])
+    for query in range(0, 40, 10):
+        best = {}
+        for j, c in zip(ids.tolist(), (x[ids == query] @ x.T).max(axis=0).tolist()):
+            if j != query:
+                best[j] = max(best.get(j, -2.0), c)
+        want = sorted(best.items(), key=lambda p: (-round(p[1], 12), p[0]))[:5]
+        got = sorted((r for r in found if r["query_id"] == query), key=lambda r: r["rank"])
+        assert [r["rank"] for r in got] == [1, 2, 3, 4, 5] and [r["vec_id"] for r in got] == [j for j, _ in want]
+        assert np.allclose([r["score"] for r in got], [c for _, c in want])
+
+
 def test_search_recall_on_table(spark):
     table = queries.table(spark, "/root/testdata/sf0.1", "embeddings")
     found = queries.op8_permutation(spark, "/root/testdata/sf0.1").cache()

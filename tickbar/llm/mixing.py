@@ -103,14 +103,14 @@ def mix(docs: DataFrame, weights: dict[str, float], other_weight: float, **optio
 
 
 def mix_sql(weights: dict[str, float], other_weight: float, seed: int = 0, epochs: float = 1.0) -> str:
-    """DuckDB SQL for doc_id, source, copy_no, n_copies, shuffle_key of `mix(documents, ..., by="bytes")`."""
+    """DuckDB SQL for doc_id, source, copy_no, n_copies, shuffle_key and text_sha256 of `mix(documents, ..., by="bytes")`."""
     names = ", ".join(f"'{n}'" for n in weights)
     case = " ".join(f"WHEN bucket = '{n}' THEN CAST({w!r} AS DOUBLE)" for n, w in weights.items())
     number = f"CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || j), 1, 13) AS BIGINT)"
     return f"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, CASE WHEN source IN ({names}) THEN source END AS bucket,
-         strlen(coalesce(text, '')) + 1 AS size FROM documents),
+         strlen(coalesce(text, '')) + 1 AS size, sha256(text) AS text_sha256 FROM documents),
 mass AS (
   SELECT bucket, CAST(sum(size) AS BIGINT) AS mass,
          CASE {case} ELSE CAST({other_weight!r} AS DOUBLE) END AS weight FROM sized GROUP BY bucket),
@@ -124,11 +124,11 @@ cdf AS (
   SELECT bucket, mean, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) FROM cdf WHERE k < {TERMS}),
 lists AS (SELECT bucket, list(c ORDER BY k) AS cs FROM cdf GROUP BY bucket),
 drawn AS (
-  SELECT s.doc_id, s.source, l.cs, p.parts,
+  SELECT s.doc_id, s.source, s.text_sha256, l.cs, p.parts,
          list_sum(list_transform(range(1, p.parts + 1), lambda j: len(list_filter(l.cs, lambda c: c <= {number} / 4503599627370496.0))))
            AS n_copies
   FROM sized s JOIN pool p ON s.bucket IS NOT DISTINCT FROM p.bucket
   JOIN lists l ON s.bucket IS NOT DISTINCT FROM l.bucket)
 SELECT doc_id, source, CAST(copy_no AS INTEGER) AS copy_no, CAST(n_copies AS INTEGER) AS n_copies,
-       md5('shuffle {seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || copy_no) AS shuffle_key
-FROM (SELECT doc_id, source, n_copies, unnest(range(1, CAST(n_copies AS BIGINT) + 1)) AS copy_no FROM drawn)"""
+       md5('shuffle {seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || copy_no) AS shuffle_key, text_sha256
+FROM (SELECT doc_id, source, text_sha256, n_copies, unnest(range(1, CAST(n_copies AS BIGINT) + 1)) AS copy_no FROM drawn)"""

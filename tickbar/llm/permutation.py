@@ -11,8 +11,8 @@ Queries meet every block; what leaves a block is a query's k best.  Equal vector
 class that carries its k + 1 smallest ids, which is all that a result can name.
 
 Defined results: unusable vectors (null, zero, null or non-finite components) take no part;
-ties go to the smaller id; rows that share the query's id are not its candidates; rows without an
-id take no part; vectors of other lengths than the query's are not comparable and are left out.
+ties go to the smaller id; rows that share the query's id are not its candidates; an id with several vectors is
+named once, by its best score, and as a query asks with all of them; rows without an id take no part; vectors of other lengths than the query's are not comparable and are left out.
 """
 
 from __future__ import annotations
@@ -67,6 +67,24 @@ class InvertedFiles:
         return full - gain
 
 
+def best_ids(cos: np.ndarray, cand: np.ndarray, ids: list[list[int]], query: int, k: int) -> list[tuple[int, float]]:
+    """The k best ids but the query's own, each once with its best score; ties go to the smaller id."""
+    most = k + 1
+    while True:
+        near, own = cand, cos
+        if most < len(cos):  # with all that tie with the last one
+            least = np.partition(cos, len(cos) - most)[len(cos) - most]
+            near, own = cand[cos >= least], cos[cos >= least]
+        best: dict[int, float] = {}
+        for c, j in zip(own.tolist(), near.tolist()):
+            for v in ids[j]:
+                if v != query and c > best.get(v, -2.0):
+                    best[v] = c
+        if len(best) >= k or most >= len(cos):
+            return sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k]
+        most *= 4  # ids with several vectors took the places
+
+
 def _answer(pivots: np.ndarray, k: int, prefix: int, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts, index = None, [], None
@@ -102,11 +120,7 @@ def _answer(pivots: np.ndarray, k: int, prefix: int, share: float):
                     far = files.footrule(orders[i])
                     cand = np.argpartition(far, take - 1)[:take] if take < files.n else np.arange(files.n)
                     cos = (x[cand] * q[i]).sum(axis=1)
-                    if len(cand) > k + 1:  # the query's own class may drop out
-                        least = np.partition(cos, len(cos) - (k + 1))[len(cos) - (k + 1)]
-                        cand, cos = cand[cos >= least], cos[cos >= least]
-                    best = [(-c, v) for c, j in zip(cos.tolist(), cand.tolist()) for v in ids[j] if v != query]
-                    out += [(query, v, -c) for c, v in sorted(best)[:k]]
+                    out += [(query, v, c) for v, c in best_ids(cos, cand, ids, query, k)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
                                                   pa.array([r[2] for r in out], pa.float64())], ["query_id", "vec_id", "score"])
@@ -142,6 +156,7 @@ def search(embeddings: DataFrame, is_query: Column, k: int = 5, id_col: str = "v
         best = found if best is None else best.union(found)
     if best is None:
         return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

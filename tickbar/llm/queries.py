@@ -64,7 +64,8 @@ MIX_OTHER, MIX_SEED = 0.60, 7
 @register
 def op3_mix(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_OTHER, seed=MIX_SEED)
-    return mixed.select("doc_id", "source", "copy_no", "n_copies", "shuffle_key")
+    # made of the shuffled rows, so the texts do move
+    return mixed.select("doc_id", "source", "copy_no", "n_copies", "shuffle_key", F.sha2("text", 256).alias("text_sha256"))
 
 
 ORACLE["op3_mix"] = mixing.mix_sql(MIX_WEIGHTS, MIX_OTHER, MIX_SEED)
