@@ -1,6 +1,8 @@
 """Driver contract and a DuckDB oracle pass at sf0.001."""
 
 import os
+import shutil
+import subprocess
 import sys
 
 import duckdb
@@ -26,6 +28,15 @@ def test_keys():
     assert set(CATALOG) - set(o) == {"forecast_gbt", "model_comparison_gbt"}  # grown trees: no SQL; tests of their own
 
 
+def test_without_the_optional_folder(tmp_path):
+    root = os.path.dirname(os.path.abspath(entry_mod.__file__))
+    shutil.copytree(os.path.join(root, "tickbar"), tmp_path / "tickbar", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(entry_mod.__file__, tmp_path)
+    told = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"],
+                          cwd=tmp_path, capture_output=True, text=True, check=True).stdout
+    assert told.split() == [str(len(CATALOG)), str(len(CATALOG) - 2)]
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()

@@ -307,6 +307,21 @@ def q_chart_candles_range(spark, sf):
     return H.chart_candles(_range(spark, sf))
 
 
+@register("chart_volume_range")
+def q_chart_volume_range(spark, sf):
+    return H.chart_volume(_range(spark, sf))
+
+
+@register("chart_volume_close_range")
+def q_chart_volume_close_range(spark, sf):
+    return H.chart_volume_close(_range(spark, sf))
+
+
+@register("chart_prices_long_range")
+def q_chart_prices_long_range(spark, sf):
+    return H.chart_prices_long(_range(spark, sf))
+
+
 @register("corr_matrix_range")
 def q_corr_matrix_range(spark, sf):
     return H.corr_matrix(_range(spark, sf)).withColumn("corr", F.round("corr", 6))

@@ -393,3 +393,6 @@ ORACLE["history_one_symbol_bucketed"], ORACLE["history_for_symbol_bucketed"] = O
 reg("dump_sections_load", _with([BARS_V], (
     f"SELECT 'historical' AS database, * FROM bars_v WHERE trade_date <= DATE '{HISTORY_CUT_END}' "
     f"UNION ALL SELECT 'stock' AS database, * FROM bars_v WHERE trade_date >= DATE '{DAILY_CUT_START}'")))
+for _chart in ("chart_volume", "chart_volume_close", "chart_prices_long"):  # the same frames of the filtered bars
+    reg(f"{_chart}_range", ORACLE[_chart].replace(
+        "FROM bars_v", f"FROM (SELECT * FROM bars_v WHERE trade_date BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}') r"))
