@@ -169,6 +169,42 @@ def test_audit_sees_lost_pairs_beside_a_large_group(spark):
     assert vecgraph.recall(classes.where("rank >= 700 and rank < 2000"), spark.createDataFrame([], schema), 0.9) == 1.0
 
 
+def linked_vectors():
+    rnd = np.random.default_rng(12)
+    pairs = rnd.normal(size=(300, 24))
+    groups = []
+    for _ in range(4):  # two tight groups each, of more near copies than a vector has candidates, linked with each other
+        a, b = np.linalg.qr(rnd.normal(size=(24, 2)))[0].T
+        groups += [c + rnd.normal(size=(80, 24)) * 0.002 for c in (a, 0.93 * a + np.sqrt(1 - 0.93 ** 2) * b)]
+    x = np.concatenate([rnd.normal(size=(4600, 24)), pairs, pairs + rnd.normal(size=pairs.shape) * 0.2, *groups])
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_graph_search_finds_the_links(spark, monkeypatch):
+    x = linked_vectors()
+    assert len(x) > 5000
+    truth = (x @ x.T >= 0.9).sum(axis=1) - 1
+    schema = "rank long, v array<double>, copies long, dim int"
+    classes = spark.createDataFrame([(i, v.tolist(), 1, 24) for i, v in enumerate(x)], schema).repartition(4).checkpoint()
+    pivots = vecgraph.sample_vectors(classes, len(x) // vecgraph.SHARD_ROWS)
+    assert len(pivots) > 5
+    got = np.zeros(len(x))
+    for r in vecgraph._links(classes, pivots, vecgraph.OVERLAP, 0.9).collect():
+        got[r["node"]] = r["links"]
+    assert (got <= truth).all() and (truth > 0).sum() > 1000
+    assert (got[truth > 0] / truth[truth > 0]).mean() >= 0.99
+    monkeypatch.setattr(vecgraph, "greedy", lambda *a: np.zeros(0, np.int64))  # the result does come from the search
+    assert vecgraph._links(classes, pivots, vecgraph.OVERLAP, 0.9).count() == 0
+
+
+def test_every_table_is_audited(vectors, monkeypatch):
+    asked = []
+    real = vecgraph.recall
+    monkeypatch.setattr(vecgraph, "recall", lambda *a: asked.append(real(*a)) or asked[-1])
+    vecgraph.near_duplicates(vectors, 0.9).collect()
+    assert len(asked) >= 2 and min(asked) >= 0.99  # one shard, two vector lengths
+
+
 def test_shards_that_lose_links_end_in_an_exact_comparison(vectors, monkeypatch):
     monkeypatch.setattr(vecgraph, "SHARD_ROWS", 10)
     want = sorted(tuple(r) for r in vecgraph.near_duplicates(vectors, 0.9, overlap=1000).collect())

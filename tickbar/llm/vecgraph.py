@@ -3,23 +3,26 @@
 1. Equal vectors are one class with its smallest id and its count.
 2. Classes are assigned to their OVERLAP nearest pivots (a bounded sample of vectors).  A
    pivot's members form a shard; a shard of any size is cut into blocks of at most BLOCK.
-3. Every block builds a graph: each vector's nearest candidates, robust-pruned to DEGREE
-   edges.  The adjacency lists of a vector from all its blocks are united, and edges run both ways.
+3. Every block builds a graph: each vector's nearest candidates, robust-pruned to DEGREE edges, and
+   of the vectors at growing ranks behind them (each rank half as far again) up to FAR more, pruned in the
+   same way.  A tight group can hold all nearest candidates of its members; the farther ranks lead out of it.  The
+   adjacency lists of a vector from all its blocks are united, and edges run both ways.
 4. Every member of a shard searches each of the shard's blocks: greedy from the block's
    medoid, from its own place in the graph and from its united list, with a beam, until nothing
    nearer comes; then the search expands through every vector within range (less a slack) until
    no more are found.  Blocks are dealt anew in every shard, so a list holds neighbours from
-   different blocks and leads into them.  A tight group can hold all candidates of its members, so
-   that no edge leaves it: after the search each member is compared with the whole block.
+   different blocks and leads into them.
 5. A task reports only links that join different trees; these give the components.
 6. Links are verified and counted inside the components: blocks of members are compared with
    each other by cosine in double precision on the original vectors.  Only counts leave a task, so
    a large group gives a row per member and block, not per pair.
 
-The recall of the links is audited per linked vector on a sample compared with all rows.  The sample
-is drawn until it has AUDIT_LINKED linked vectors outside the large components, if need be from the
-whole table.  While recall is under the target, the overlap grows; once one comparison of all with
-all costs no more than the shards do, there is a single shard, whose blocks are compared exactly.
+The recall of the links is audited per linked vector on a sample compared with all rows, whatever the table's size.
+The sample is drawn until it has AUDIT_LINKED linked vectors outside the large components, or AUDIT_MOST times
+the root of the table's rows.  While recall is under the target, the overlap grows; when one comparison of
+all with all would cost no more than the next shards, that exact comparison is the last step.
+
+Vectors are named by a 64-bit hash inside the operator: two different ones share it by chance in a table of some 10**9.
 
 Defined results: unusable vectors (null, zero, null or non-finite components) link with nothing; vectors
 of different lengths never link; copies link with each other; repeated rows count as copies;
@@ -47,6 +50,7 @@ BLOCK = 3072          # above the usual size of a shard with overlap: only hot s
 OVERLAP = 3
 DEGREE = 16
 CANDIDATES = 48
+FAR = 8               # edges to farther ranks
 ALPHA = 1.2
 BEAM = 16
 SLACK = 0.2           # the search expands through vectors this much below the range
@@ -54,6 +58,7 @@ AUDIT_ROWS = 1024     # least first draw of the audit, or the root of the table'
 AUDIT_LINKED = 400    # linked vectors outside large components that the audit wants
 AUDIT_LARGE = 0.01    # a component with more than this share of the linked vectors is large
 AUDIT_VALUES = 1 << 22  # numbers of sample vectors that tasks hold at once
+AUDIT_MOST = 64       # the audit draws at most so many times the root of the table's rows
 AUDIT_RECALL = 0.99
 
 
@@ -72,21 +77,29 @@ def robust_prune(sims: np.ndarray, order: np.ndarray, own: np.ndarray, degree: i
     return chosen
 
 
+def far_ranks(n: int) -> np.ndarray:
+    """Ranks behind the nearest candidates, each half as far again as the one before."""
+    out, at = [], CANDIDATES + CANDIDATES // 4
+    while at < n - 1:
+        out.append(at)
+        at += at // 2
+    return np.array(out, np.int64)
+
+
 def build_block(x: np.ndarray) -> list[list[int]]:
     """Adjacency lists of a block of unit vectors, edges both ways."""
     n = len(x)
     x = x.astype(np.float32)
     sims = x @ x.T
     np.fill_diagonal(sims, -2.0)
-    k = min(CANDIDATES, n - 1)
+    k, ranks = min(CANDIDATES, n - 1), far_ranks(n)
     out: list[set[int]] = [set() for _ in range(n)]
-    if k > 0:
-        for i in range(n):
-            top = np.argpartition(sims[i], n - k)[n - k:]
-            cand = top[np.lexsort((top, -sims[i, top]))]
-            for j in robust_prune(sims, cand, sims[i]):
-                out[i].add(j)
-                out[j].add(i)
+    for i in range(n if k > 0 else 0):
+        order = np.lexsort((np.arange(n), -sims[i]))
+        near = robust_prune(sims, order[:k], sims[i])
+        for j in [*near, *robust_prune(sims, order[ranks], sims[i], FAR)]:
+            out[i].add(int(j))
+            out[int(j)].add(i)
     return [sorted(s) for s in out]
 
 
@@ -173,8 +186,11 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield settle()
 
 
-def _search(cosine: float):
-    """Links (u, v) of each query in each block, those that join different trees."""
+def _search(cosine: float, exact: bool):
+    """Links (u, v) of each query in each block, those that join different trees.
+
+    By the block's graph, or (the last step after a failed audit) by comparison with the whole block.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts, graph = None, [], None
 
@@ -203,7 +219,7 @@ def _search(cosine: float):
             ids = part.column(3).to_numpy()
             lists = part.column("near").to_pylist()
             pairs: list[tuple[int, int]] = []
-            for i, node in enumerate(ids.tolist()):
+            for i, node in enumerate(() if exact else ids.tolist()):
                 starts = [medoid, *[at[j] for j in (node, *(lists[i] or ())) if j in at]]
                 found = greedy(x, links, q[i], starts, cosine - SLACK)
                 found = found[(x[found] @ q[i] >= cosine) & (nodes[found] != node)]
@@ -211,7 +227,7 @@ def _search(cosine: float):
                     known = np.unique(tree_of[found])  # one member of each tree met stands for it
                     pairs += [(node, int(nodes[k])) for k in known if trees.join(node, int(nodes[k]))]
                     tree_of[found] = known[0]
-            for a in range(0, len(q), 512):  # what the search didn't reach
+            for a in range(0, len(q) if exact else 0, 512):
                 hit = (q[a:a + 512] @ x.T >= cosine) & (ids[a:a + 512, None] != nodes)
                 for i in np.flatnonzero(hit.any(axis=1)).tolist():
                     node, found = int(ids[a + i]), np.flatnonzero(hit[i])
@@ -262,8 +278,8 @@ def _audit(sample: np.ndarray, nodes: np.ndarray, cosine: float):
     return lean(run)
 
 
-def _edges(classes: DataFrame, pivots: np.ndarray, overlap: int, cosine: float) -> DataFrame:
-    """u, v: a forest that joins all linked classes found with this overlap."""
+def _edges(classes: DataFrame, pivots: np.ndarray, overlap: int, cosine: float, exact: bool = False) -> DataFrame:
+    """u, v: a forest that joins all linked classes found with this overlap (`exact`: no graph, all blocks compared)."""
     fields = "node long, v array<double>, shards array<int>"
     placed = classes.select(F.col("rank").alias("node"), "v").mapInArrow(_assign(pivots, overlap), fields)
     placed = scratch(placed, "vec-placed")
@@ -274,22 +290,24 @@ def _edges(classes: DataFrame, pivots: np.ndarray, overlap: int, cosine: float)
     member = placed.withColumn("shard", F.explode("shards")).join(blocks, "shard")
     own = F.pmod(F.xxhash64("node", "shard"), F.col("blocks")).cast("int")
 
-    built = member.select("shard", own.alias("block"), "node", "v").repartition("shard", "block")
-    built = built.sortWithinPartitions("shard", "block", "node").mapInArrow(lean(_build), "node long, near array<long>")
-    united = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    graph = scratch(united.withColumnRenamed("node", "of"), "vec-graph")  # at most overlap lists a node
-
-    member = member.join(graph, F.col("node") == F.col("of"))
+    if exact:
+        member = member.withColumn("near", F.lit(None).cast("array<long>"))
+    else:
+        built = member.select("shard", own.alias("block"), "node", "v").repartition("shard", "block")
+        built = built.sortWithinPartitions("shard", "block", "node").mapInArrow(lean(_build), "node long, near array<long>")
+        united = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+        graph = scratch(united.withColumnRenamed("node", "of"), "vec-graph")  # at most overlap lists a node
+        member = member.join(graph, F.col("node") == F.col("of"))
     home = member.select("shard", own.alias("block"), F.lit(0).alias("role"), "node", "v", "near")
     query = member.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "shard", "block", F.lit(1).alias("role"), "node", "v", "near")
     stream = home.union(query).repartition("shard", "block").sortWithinPartitions("shard", "block", "role", "node")
-    return stream.mapInArrow(_search(cosine), "u long, v long")
+    return stream.mapInArrow(_search(cosine, exact), "u long, v long")
 
 
-def _links(classes: DataFrame, pivots: np.ndarray, overlap: int, cosine: float) -> DataFrame:
+def _links(classes: DataFrame, pivots: np.ndarray, overlap: int, cosine: float, exact: bool = False) -> DataFrame:
     """node, component, links of every class that links with another one."""
-    comp = scratch(connected_components(_edges(classes, pivots, overlap, cosine)), "vec-components")
+    comp = scratch(connected_components(_edges(classes, pivots, overlap, cosine, exact)), "vec-components")
     sizes = comp.groupBy(F.col("component").alias("c")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     sizes = scratch(sizes, "vec-sizes")
     member = comp.join(sizes, F.col("component") == F.col("c")).join(
@@ -324,7 +342,7 @@ def _truth(classes: DataFrame, slot, low: int, high: int, cosine: float) -> Data
 
 def recall(classes: DataFrame, counts: DataFrame, cosine: float, rows: int = AUDIT_ROWS, wanted: int = AUDIT_LINKED) -> float:
     """Mean share of its links that the counts hold for a linked vector, outside the large components or
-    in them, whichever is less.  1 only where no vector of the table has a link, or all are held."""
+    in them, whichever is less.  1 where the sample's vectors have no link, or all are held."""
     n, top = classes.count(), 1 << 40
     counts = counts.select(F.col("node").alias("of"), "component", "links")
     sizes = counts.groupBy(F.col("component").alias("c")).agg(F.count(F.lit(1)).alias("size"))
@@ -333,6 +351,7 @@ def recall(classes: DataFrame, counts: DataFrame, cosine: float, rows: int = AUD
     counts = counts.join(large, F.col("component") == F.col("c"), "left")
     slot = F.pmod(F.xxhash64(F.lit(23), "rank"), F.lit(top))
     low, high = 0, min(top, int(top * max(rows, math.isqrt(n)) / max(n, 1)) + 1)
+    end = min(top, max(high, int(top * AUDIT_MOST * math.isqrt(n) / max(n, 1)) + 1))
     found: dict[bool, list] = {False: [0, 0.0], True: [0, 0.0]}
     while True:
         truth = _truth(classes, slot, low, high, cosine)
@@ -342,9 +361,9 @@ def recall(classes: DataFrame, counts: DataFrame, cosine: float, rows: int = AUD
             for big, linked, held in both.agg(F.count(F.lit(1)), F.sum(share)).collect():
                 found[big][0] += linked
                 found[big][1] += held
-        if found[False][0] >= wanted or high == top:
+        if found[False][0] >= wanted or high == end:
             return min((held / linked for linked, held in found.values() if linked), default=1.0)
-        low, high = high, min(top, 4 * high)
+        low, high = high, min(end, 4 * high)
 
 
 def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -367,12 +386,13 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, id_col: str =
         pivots = sample_vectors(own, min(MAX_PIVOTS, max(1, n // SHARD_ROWS)))
         wide = min(overlap, len(pivots))
         while True:
-            if wide * wide >= len(pivots):  # then one shard of everything is no more work, and exact
-                pivots, wide = pivots[:1], 1
             found = _links(own, pivots, wide, cosine)
-            if len(pivots) == 1 or recall(own, found, cosine) >= target:
+            if recall(own, found, cosine) >= target:
                 break
             wide = 2 * wide
+            if wide * wide >= len(pivots):  # the next shards would cost more than all with all
+                found = _links(own, pivots[:1], 1, cosine, exact=True)
+                break
         linked = found if linked is None else linked.union(found)
     if linked is None:
         return src.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
