@@ -77,12 +77,34 @@ def test_shards(spark, tmp_path):
     few = hilbert.shard(docs.limit(3), queries.SHARD_DIMENSIONS, 8).collect()
     assert sorted(r["shard"] for r in few) == [0, 1, 2]
     assert hilbert.shard(docs.limit(0), queries.SHARD_DIMENSIONS, 8).count() == 0
-    placed = hilbert.shard(docs, queries.SHARD_DIMENSIONS, 8)
-    hilbert.write_shards(docs, placed, str(tmp_path / "shards"))
+    placed = hilbert.shard(docs.unionAll(docs.where("doc_id < 40")), queries.SHARD_DIMENSIONS, 8, keep=docs.columns)
+    hilbert.write_shards(placed, str(tmp_path / "shards"))
     back = spark.read.parquet(str(tmp_path / "shards"))
-    assert back.count() == len(rows)
-    spans = back.groupBy("shard").agg(F.collect_set(F.coalesce("lang", F.lit("-"))).alias("langs")).collect()
-    assert min(len(r["langs"]) for r in spans) < 3  # a predicate on one dimension skips shards
+    counts = [r["count"] for r in back.groupBy("shard").count().collect()]  # repeated rows have places of their own
+    assert sum(counts) == docs.count() + docs.where("doc_id < 40").count() and len(counts) == 8 and max(counts) - min(counts) <= 1
+    assert set(docs.columns) <= set(back.columns) and back.where("source = 'src0'").count() == placed.where("source = 'src0'").count()
+
+
+def test_shard_statistics_prune_every_dimension(spark, tmp_path):
+    docs = queries.table(spark, "/root/testdata/sf0.1", "documents")
+    placed = hilbert.shard(docs, queries.SHARD_DIMENSIONS, 8, keep=docs.columns)
+    hilbert.write_shards(placed, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    for c in ("source", "lang", "n_chars"):
+        spans = back.groupBy("shard").agg(F.min(c).alias("least"), F.max(c).alias("most")).collect()
+        values = [r[0] for r in back.select(c).where(F.col(c).isNotNull()).distinct().collect()]
+        held = [sum(r["least"] <= v <= r["most"] for r in spans) for v in values]
+        assert min(held) <= 4, (c, min(held))  # an equality on it reads half of the shards or fewer
+        assert sum(held) / len(held) < 7
+
+
+def test_cells_follow_values():
+    import pyarrow as pa
+
+    sample = sorted([b"a"] * 50 + [b"b"] * 30 + [b"z"] * 20)
+    assert hilbert.cells_of(pa.array(["z", None, "b", "a", "c", "", "zz"]), sample, 8).tolist() == [204, 0, 128, 0, 204, 0, 255]
+    assert hilbert.cells_of(pa.array([1.0, None, 9.0, 5.0]), [], 8).tolist() == [0, 0, 0, 0]
+    assert hilbert.cells_of(pa.array([], pa.string()), sample, 8).tolist() == []
 
 
 def test_components(spark):

@@ -90,7 +90,7 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
        CASE WHEN page_id <> first THEN first END AS refers_to FROM f"""
 
 
-SHARD_DIMENSIONS = [hilbert.Dimension("source"), hilbert.Dimension("lang"), hilbert.Dimension("n_chars", "log")]
+SHARD_DIMENSIONS = [hilbert.Dimension("source"), hilbert.Dimension("lang"), hilbert.Dimension("n_chars", number=True)]
 
 
 @register
