@@ -36,7 +36,7 @@ from .common import binaries, hash_sample, lean, lower_ascii, release, scratch,
 
 TRAIN_ROWS = 12_000
 ROUNDS = 3
-STEPS = 4                # Newton steps over the unlabelled documents in a round
+STEPS, LAST_STEPS = 2, 4  # Newton steps over the unlabelled documents in a round (from the last one's weights), and in the last
 MAX_TERMS = 512          # terms of the text view's model
 MIN_CHI2, MIN_DOCS = 20.0, 5
 SURE = 0.99              # a view teaches the other what it holds at least this likely
@@ -45,6 +45,8 @@ RIDGE = 0.05
 BUCKETS = 32             # hash buckets of source and of language
 CALIBRATION_SHARE = 4    # one labelled row in so many calibrates
 
+TERM_BYTES = 5           # a term is named by a hash of so many bytes
+
 _CLASS = np.zeros(256, np.int8)  # 0 space, 1 letters and digits and all beyond ASCII, 2 ASCII symbols
 _CLASS[33:127] = 2
 _CLASS[128:] = 1
@@ -52,14 +54,25 @@ _CLASS[48:58] = _CLASS[65:91] = _CLASS[97:123] = 1
 
 
 def terms(text: bytes) -> np.ndarray:
-    """Hashes of the runs of letters and of symbols, in order, A-Z in lower case."""
+    """Hashes (TERM_BYTES long) of the runs of letters and of symbols, in order, A-Z in lower case."""
     low = lower_ascii(text)
     kind = _CLASS[np.frombuffer(low, np.uint8)]
     edge = np.flatnonzero(np.diff(kind)) + 1
     starts = np.concatenate((np.zeros(min(1, len(kind)), np.int64), edge))
     ends = np.concatenate((edge, np.full(min(1, len(kind)), len(kind))))
     real = kind[starts] > 0 if len(starts) else np.zeros(0, bool)
-    return word_hashes(low, starts[real], ends[real])
+    return word_hashes(low, starts[real], ends[real]) >> np.uint64(64 - 8 * TERM_BYTES)
+
+
+def packed(own: np.ndarray) -> bytes:
+    """Terms as bytes; the features of all documents are written and shuffled in this form."""
+    return own.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TERM_BYTES].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // TERM_BYTES, 8), np.uint8)
+    out[:, :TERM_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, TERM_BYTES)
+    return out.view("<i8").ravel()
 
 
 def layout(text: bytes, words: np.ndarray, n_chars: int | None) -> list[float]:
@@ -93,19 +106,17 @@ def _features(columns: list[str]):
     """Rows of (columns ..., terms, figures)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, figures, offsets = [np.zeros(0, np.uint64)], [], [0]
+            found, figures = [], []
             meta = zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__source", "__lang", "__chars")))
             for text, (source, lang, chars) in zip(binaries(batch, "__text"), meta):
                 words = terms(text or b"")
                 figures.append(metadata(text or b"", words, source, lang, chars))
-                found.append(np.unique(words))
-                offsets.append(offsets[-1] + len(found[-1]))
+                found.append(packed(np.unique(words)))
             width = N_LAYOUT + 2 * BUCKETS
             yield pa.RecordBatch.from_arrays(
-                [*batch.select(columns).columns,
-                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found).view(np.int64))),
+                [*batch.select(columns).columns, pa.array(found, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(figures) + 1) * width, pa.int32()),
-                                          pa.array(np.concatenate(figures)))], [*columns, "terms", "figures"])
+                                          pa.array(np.concatenate([np.zeros(0, np.float32), *figures])))], [*columns, "terms", "figures"])
     return lean(run)
 
 
@@ -179,7 +190,7 @@ def _told_terms(targets: list[str]):
             for t, name in enumerate(targets):
                 y = column[name].fill_null(-1).to_numpy(zero_copy_only=False)
                 use = np.flatnonzero((y >= 0) & trains)
-                found = _term_counts([column["terms"][i].values.to_numpy() for i in use], y[use], weight[use])
+                found = _term_counts([unpacked(column["terms"][i].as_py()) for i in use], y[use], weight[use])
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found[0]), t, np.int32)), *(pa.array(x.astype(np.int64)) for x in found)],
                                                  ["target", "term", "n", "zero", "one"])
     return lean(run)
@@ -213,7 +224,7 @@ def _scaled(figures: np.ndarray, model: dict) -> np.ndarray:
 
 
 def _pool_rows(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray]:
-    terms = [x.values.to_numpy() for x in batch.column(batch.schema.get_field_index("terms"))]
+    terms = [unpacked(x.as_py()) for x in batch.column(batch.schema.get_field_index("terms"))]
     flat = batch.column(batch.schema.get_field_index("figures")).flatten().to_numpy()
     return terms, flat.reshape(batch.num_rows, N_LAYOUT + 2 * BUCKETS)
 
@@ -318,7 +329,7 @@ def co_train(pool: DataFrame, told: DataFrame, lists: list[np.ndarray], figures:
         model["figures"] = _fit(_scaled(figures[known], model), y[known], w)
         models[t] = model
     names = list(models)
-    for _ in range(rounds if local else 0):
+    for turn in range(rounds if local else 0):
         counts = pool.mapInArrow(_taught_terms(spark.sparkContext.broadcast(models)), "target int, view int, term long, zero long, one long")
         counts = scratch(counts.groupBy("target", "view", "term").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")), "quality-terms")
         totals = {(r["target"], r["view"]): (r["zero"], r["one"]) for r in counts.where("term is null").collect()}
@@ -337,7 +348,7 @@ def co_train(pool: DataFrame, told: DataFrame, lists: list[np.ndarray], figures:
             _, new, old = np.intersect1d(vocabulary, model["vocabulary"], return_indices=True)
             text[new] = model["text"][old]
             students[t] = model | {"vocabulary": vocabulary, "text": text}
-        for _ in range(STEPS):
+        for _ in range(LAST_STEPS if turn + 1 == rounds else STEPS):
             found = pool.mapInArrow(_pool_sums(spark.sparkContext.broadcast((models, {t: students.get(t) for t in names}, shares))),
                                     "target int, view int, at int, sums array<double>")
             found = found.repartition("target", "view", "at").mapInArrow(lean(_add_rows), found.schema).toArrow().sort_by("at")
@@ -422,12 +433,12 @@ def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, int], id_col: str
     view, cols = ["__text", "__source", "__lang", "__chars"], ["__id", *targets, "__share"]
     some = (src.join(F.broadcast(chosen), "__id").groupBy(*cols)  # one row per id, however often it occurs
             .agg(F.min(F.struct(*view)).alias("view")).select(*cols, *[f"view.{c}" for c in view]))
-    made = [T.StructField("terms", T.ArrayType(T.LongType())), T.StructField("figures", T.ArrayType(T.FloatType()))]
+    made = [T.StructField("terms", T.BinaryType()), T.StructField("figures", T.ArrayType(T.FloatType()))]
     sample = scratch(some.mapInArrow(_features(cols), T.StructType([*some.select(*cols).schema.fields, *made])), "quality-sample")
     terms_told = sample.mapInArrow(_told_terms(list(targets)), "target int, term long, n long, zero long, one long")
     terms_told = scratch(terms_told.groupBy("target", "term").agg(*[F.sum(c).alias(c) for c in ("n", "zero", "one")]), "quality-told-terms")
     rows = sample.toArrow().sort_by("__id")
-    lists = [x.values.to_numpy() for x in rows.column("terms")]
+    lists = [unpacked(x.as_py()) for x in rows.column("terms")]
     figures = np.array([x.values.to_numpy() for x in rows.column("figures")], np.float32).reshape(len(lists), N_LAYOUT + 2 * BUCKETS)
     part = _calibrates(rows.column("__id").to_pylist())
     weights = 1.0 / rows.column("__share").to_numpy()
