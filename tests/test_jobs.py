@@ -3,9 +3,11 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickbar import jobs
 from tickbar.operators import bars as B
+from tickbar.operators.framing import frame_quotes
 from tickbar.sources.fixtures import FRAME_SCHEMAS, raw_v, symbols_v
 from tickbar.streaming import staging as ST
 
@@ -34,6 +36,19 @@ def test_end_to_end(spark, tmp_dir):
     assert isinstance(day, dt.date)
 
 
+def test_snapshots_of_one_time_are_told_apart_by_numbers(spark, tmp_dir):
+    schema = T.StructType([T.StructField("symbol", T.StringType(), False), T.StructField("trade_time", T.TimestampType(), False),
+                           *[T.StructField(c, T.DoubleType()) for c in ("open_price", "max_price", "min_price", "close_price", "traded_quantity")]])
+    rows = [(k, "S", dt.datetime(2024, 1, 5, 10), 1.0, 2.0, 0.5, close, 10.0) for k, close in (("9:1", 9.0), ("10:1", 10.0), ("10:0", 8.0))]
+    quotes = spark.createDataFrame(rows, T.StructType([T.StructField("k", T.StringType()), *schema.fields]))
+    frames = frame_quotes(quotes.withColumn("schema_id", F.lit(1)), {1: schema}, key=F.col("k"))
+    ST.stage_batch(frames, 0, f"{tmp_dir}/staged", {1: schema})
+    symbols = spark.createDataFrame([("S", "s"), ("Z", "z")], "symbol string, tb string")
+    missing = jobs.run_daily(spark, f"{tmp_dir}/staged", symbols, f"{tmp_dir}/bars", "2024-01-05", {1: schema})
+    assert [r["close"] for r in B.read_bars(spark, f"{tmp_dir}/bars").collect()] == [10.0]  # as text 9:1 would be the last
+    assert [r["symbol"] for r in missing.collect()] == ["Z"]
+
+
 def test_forecast_job(spark):
     from tickbar.sources.fixtures import bars_v
 
