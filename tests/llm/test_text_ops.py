@@ -326,14 +326,13 @@ def test_quality_on_labels(spark, docs, none):
     sf = "/root/testdata/sf0.1"
     table, labels = queries.table(spark, sf, "documents"), queries.table(spark, sf, "labels")
     half = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
-    models = quality.fit(table, labels.where(half), queries.QUALITY_TARGETS, train_rows=4000, pool_rows=1500)
+    models = quality.fit(table, labels.where(half), queries.QUALITY_TARGETS)  # the query's parameters
     got = {r["doc_id"]: r for r in quality.score(table, models, queries.QUALITY_TARGETS, keep=["doc_id", "text"]).collect()}
     told = labels.where(~half).collect()
-    insult = re.compile(r"\b(trash|pathetic|idiot|disgusting|worthless|stupid|clown|loser|scum|moron)\b", re.I)
     junk = [not got[r["doc_id"]]["keep"] for r in told if r["quality"] == 0]
-    toxic = [not got[r["doc_id"]]["keep"] for r in told if r["toxic"] == 1 and insult.search(got[r["doc_id"]]["text"])]
+    toxic = [not got[r["doc_id"]]["keep"] for r in told if r["toxic"] == 1]  # all of them
     clean = [got[r["doc_id"]]["keep"] for r in told if r["quality"] == 1 and r["toxic"] == 0]
-    assert np.mean(junk) > 0.97 and np.mean(toxic) > 0.97 and np.mean(clean) > 0.99
+    assert np.mean(junk) > 0.97 and np.mean(toxic) > 0.9 and np.mean(clean) > 0.99
     odd = quality.score(docs.unionAll(docs.limit(3)), models, queries.QUALITY_TARGETS)
     assert odd.count() == docs.count() + 3 and {"p_quality", "p_toxic", "keep"} <= set(odd.columns)
     empty = quality.fit(docs, labels.limit(0), queries.QUALITY_TARGETS)

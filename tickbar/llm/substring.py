@@ -40,7 +40,7 @@ from .common import binaries, fresh, id_rank, lean, run_hashes, scratch, slices,
 WINDOW = 50
 PHRASE = 10
 PHRASES_PER_SHARD = 8192
-WORDS_PER_TASK = 1 << 19
+WORDS_PER_TASK = 1 << 20
 
 
 def joined_words(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
