@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tickbar.operators.bars import read_bars
 from tickbar.streaming.bars_stream import start_daily_bars
 
 
@@ -22,7 +23,7 @@ def test_day_window_in_session_zone(spark, tmp_dir):
         df.write.parquet(src)
         stream = spark.readStream.schema(df.schema).parquet(src)
         start_daily_bars(stream, out, ckpt, available_now=True).awaitTermination()
-        got = {r["trade_date"]: r for r in spark.read.parquet(out).collect()}
+        got = {r["trade_date"]: r for r in read_bars(spark, out).collect()}
         assert set(got) == {dt.date(2024, 1, 2), dt.date(2024, 1, 4)}
         assert got[dt.date(2024, 1, 2)]["close"] == 11.5 and got[dt.date(2024, 1, 2)]["volume"] == 9
     finally:
