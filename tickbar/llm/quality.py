@@ -45,7 +45,7 @@ RIDGE = 0.05
 BUCKETS = 32             # hash buckets of source and of language
 CALIBRATION_SHARE = 4    # one labelled row in so many calibrates
 
-TERM_BYTES = 5           # a term is named by a hash of so many bytes
+TERM_BYTES = 4           # a term is named by a hash of so many bytes (of 10**7 terms some 10**4 share one with another)
 
 _CLASS = np.zeros(256, np.int8)  # 0 space, 1 letters and digits and all beyond ASCII, 2 ASCII symbols
 _CLASS[33:127] = 2
