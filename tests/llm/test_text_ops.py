@@ -298,6 +298,33 @@ def test_a_language_of_the_calibration_fold_is_learned(spark):
     np.testing.assert_allclose(langid.cross_entropies(texts, model, letters), langid.cross_entropies(texts, plain, letters))
 
 
+def test_all_of_the_calibration_fold_calibrates(spark):
+    rnd = random.Random(10)
+    letters = {"x": "aaabbcde ", "y": "aabbccfde ", "z": "bcdefff "}
+    rows = [(i, "".join(rnd.choice(letters[lang]) for _ in range(rnd.randrange(8, 40))), lang)
+            for i in range(24_000) for lang in [rnd.choice("xxyyyz")]]
+    rows += [(i, "a other text under an id that repeats", "x") for i in range(200)] + [(None, "abc", "x"), (7, None, "y"), (8, "12", "z")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.train(table, order=2)
+    known = table.where("text is not null").withColumn("f", langid.fold("doc_id")).where(F.col("f") != langid.HELD_OUT)
+    first = langid.build(langid.count(known.where(F.col("f") != langid.CALIBRATION), 2, langid.BITS), 2, langid.BITS)
+    told = {}
+    for r in known.where(F.col("f") == langid.CALIBRATION).collect():
+        told[r["doc_id"]] = min(told.get(r["doc_id"], ("~", "")), (r["lang"], r["text"]))
+    assert len(told) > 4500
+    xent = langid.cross_entropies([t.encode() for _, t in told.values()], first, langid.letter_table())
+    ok = ~np.isnan(xent).any(axis=1)
+    xent, truth = xent[ok], np.array([first["languages"].index(lang) for lang, _ in told.values()])[ok]
+    best, ranked = xent.argmin(axis=1), np.sort(xent, axis=1)
+    a, w = np.stack((ranked[:, 1] - ranked[:, 0], np.ones(len(xent))), axis=1), np.zeros(2)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-a @ w))
+        w += np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + 1e-2 * np.eye(2), a.T @ ((best == truth) - p) - 1e-2 * w)
+    assert model["confidence"] == pytest.approx(tuple(w), rel=1e-6)
+    want = [float(np.quantile(xent[(truth == k) & (best == k), k], langid.REJECT_QUANTILE)) * 1.1 for k in range(3)]
+    assert model["limits"] == pytest.approx(want, rel=1e-9)
+
+
 def test_many_language_values_do_not_stop_the_query(spark):
     rows = [(i, "the cat sat" if i % 2 else "der hund und", f"r{i}") for i in range(450)]
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string")

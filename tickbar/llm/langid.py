@@ -12,7 +12,8 @@ A text's score per language is the cross-entropy in nats per character; the lowe
 language name that sorts first).  Confidence and rejection are calibrated on a fold that is not
 counted until then: a logistic fit of "correct" on the margin to the second language, and per
 language the cross-entropy beyond which a text doesn't look like the language at all.  Then this
-fold is counted too, so the final model has all documents but the held-out fold.
+fold is counted too, so the final model has all documents but the held-out fold.  Every document of the fold
+calibrates (one row per id): Spark sums each Newton step of the fit, and ranks the cross-entropies for the exact limits.
 
 Letters are lower-cased, every run of other characters is one space.
 
@@ -33,14 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickbar.operators.sequence import value_ranks
 from tickbar.session import scratch_path
 
-from .common import binaries, hash_sample, lean, mix, once, scratch, slices, without
+from .common import binaries, lean, mix, once, scratch, slices, without
 
 ORDER = 4
 BITS = 64
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
-CALIBRATION_ROWS = 4000  # bound of the calibration sample
 REJECT_QUANTILE = 0.995
 UNDETERMINED = "und"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -416,21 +417,42 @@ def fold(id_col: str, folds: int = FOLDS):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
-    """Slope and offset of a ridge logistic fit, by Newton steps."""
-    a = np.stack((x, np.ones(len(x))), axis=1)
-    w = np.zeros(2)
+def _logistic(scored: DataFrame, ridge: float = 1e-2) -> tuple[float, float] | None:
+    """Slope and offset of a ridge logistic fit of `right` on `margin`, by Newton steps whose sums Spark adds up; None without rows."""
+    x, y = F.col("margin"), F.col("right").cast("double")
+    p, weight = F.col("p"), F.col("p") * (1 - F.col("p"))
+    w, step, best = np.zeros(2), np.zeros(2), -np.inf
     for _ in range(50):
-        p = 1.0 / (1.0 + np.exp(-np.clip(a @ w, -30, 30)))
-        gradient = a.T @ (y - p) - ridge * w
-        hessian = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(2)
-        step = np.linalg.solve(hessian, gradient)
-        w += step
+        z = F.least(F.greatest(F.lit(float(w[0])) * x + F.lit(float(w[1])), F.lit(-30.0)), F.lit(30.0))
+        rows = scored.select(x, y.alias("y"), (1.0 / (1.0 + F.exp(-z))).alias("p"))
+        likely = F.log(F.when(F.col("y") == 1, p).otherwise(1 - p))
+        g0, g1, h00, h01, h11, fit = rows.agg(F.sum((F.col("y") - p) * x), F.sum(F.col("y") - p), F.sum(weight * x * x),
+                                              F.sum(weight * x), F.sum(weight), F.sum(likely)).first()
+        if fit is None:
+            return None
+        fit -= ridge / 2 * float(w @ w)
+        if fit < best - 1e-9 * abs(best):  # the step was too long
+            step = step / 2
+            w = w - step
+            continue
+        best = fit
+        step = np.linalg.solve(np.array([[h00, h01], [h01, h11]]) + ridge * np.eye(2), np.array([g0, g1]) - ridge * w)
+        w = w + step
         if np.abs(step).max() < 1e-9:
             break
     return float(w[0]), float(w[1])
 
 
+def _limits(scored: DataFrame) -> dict[str, float]:
+    """Per language of 20 rightly told texts or more, the cross-entropy beyond which one doesn't look like it."""
+    ranked = value_ranks(scored.where("right"), "lang", "xent").where("total >= 20")
+    place = (F.lit(REJECT_QUANTILE) * (F.col("total") - 1)).alias("place")
+    around = ranked.withColumn("place", place).where((F.col("below") + F.col("n") > F.floor("place")) & (
+        F.col("below") <= F.least(F.floor("place") + 1, F.col("total") - 1)))  # the values at the two ranks beside the place
+    ends = around.groupBy("lang").agg(F.min("xent").alias("low"), F.max("xent").alias("high"), F.first("place").alias("place"))
+    return {r["lang"]: (r["low"] + (r["high"] - r["low"]) * (r["place"] % 1)) * 1.1 for r in ends.collect()}  # a row per language
+
+
 def count(rows: DataFrame, order: int, bits: int) -> DataFrame:
     """lang, m, slot, ctx, suf, n: the n-grams of the rows' texts."""
     counted = rows.select("lang", "text").mapInArrow(_count(order, bits), "lang string, m int, slot long, ctx long, suf long, n long")
@@ -439,7 +461,7 @@ def count(rows: DataFrame, order: int, bits: int) -> DataFrame:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          order: int = ORDER, bits: int = BITS, calibration_rows: int = CALIBRATION_ROWS) -> dict:
+          order: int = ORDER, bits: int = BITS) -> dict:
     """The model, from documents with a language outside the held-out fold."""
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), fold(id_col).alias("fold"),
                        F.col(id_col).cast("string").alias("id"))
@@ -450,20 +472,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     names, confidence, limits = model["languages"], model["confidence"], {}
     if names:
         spark = docs.sparkSession
-        chosen = hash_sample(folded.select(F.col("id").alias("chosen")).distinct(), calibration_rows, "chosen")
-        sample = (folded.join(F.broadcast(chosen), F.col("id").eqNullSafe(F.col("chosen")))  # bounded by calibration_rows
-                  .groupBy("id").agg(F.min(F.struct("lang", "text")).alias("s")))  # one row per id
-        scored = sample.select("s.lang", F.col("s.text").alias("__text")).mapInArrow(
-            _calibrate(spark.sparkContext.broadcast(model)), "lang string, best int, margin double, xent double")
-        told = scored.toArrow()
-        best, margin, xent = (told.column(c).to_numpy() for c in ("best", "margin", "xent"))
-        truth = np.array([names.index(x) if x in names else -1 for x in told.column("lang").to_pylist()])
-        if len(best):
-            confidence = _logistic(margin, (best == truth).astype(float))
-        for k in range(len(names)):
-            own = xent[(truth == k) & (best == k)]
-            if len(own) >= 20:
-                limits[names[k]] = float(np.quantile(own, REJECT_QUANTILE)) * 1.1
+        told = folded.groupBy("id").agg(F.min(F.struct("lang", "text")).alias("s"))  # one row per id
+        scored = told.select("s.lang", F.col("s.text").alias("__text")).mapInArrow(
+            _calibrate(spark.sparkContext.broadcast(model)), "lang string, best string, margin double, xent double")
+        scored = scratch(scored.select("lang", (F.col("lang") == F.col("best")).alias("right"), "margin", "xent"), "langid-scored")
+        confidence, limits = _logistic(scored) or confidence, _limits(scored)
     # counts are sums: the calibration fold joins them once it has calibrated
     both = counts.union(count(folded, order, bits)).groupBy("lang", "m", "slot").agg(
         F.min("ctx").alias("ctx"), F.min("suf").alias("suf"), F.sum("n").alias("n"))
@@ -474,15 +487,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def _calibrate(broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, letters = broadcast.value, letter_table()
-        for batch in batches:
+        for batch in slices(batches):
             xent = cross_entropies(list(binaries(batch, "__text")), model, letters)
             ok = ~np.isnan(xent).any(axis=1)
             xent = xent[ok]
             order = np.sort(xent, axis=1)
             margin = order[:, 1] - order[:, 0] if xent.shape[1] > 1 else np.ones(len(xent))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(pa.array(ok)), pa.array(np.argmin(xent, axis=1).astype(np.int32) if len(xent) else np.zeros(0, np.int32)),
-                 pa.array(margin), pa.array(order[:, 0])], ["lang", "best", "margin", "xent"])
+            best = [model["languages"][k] for k in np.argmin(xent, axis=1)] if len(xent) else []
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), pa.array(best, pa.string()), pa.array(margin),
+                                              pa.array(order[:, 0])], ["lang", "best", "margin", "xent"])
     return lean(run)
 
 
