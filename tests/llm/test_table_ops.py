@@ -107,6 +107,28 @@ def test_cells_follow_values():
     assert hilbert.cells_of(pa.array([], pa.string()), sample, 8).tolist() == []
 
 
+def test_cells_come_from_all_rows(spark):
+    import pyarrow as pa
+    from bisect import bisect_left
+
+    n = 20_000  # more than any sample that was taken
+    rows = [(i, "t", None if i % 13 == 0 else f"l{min(i * i % 97, 40)}", "hot" if i % 3 else f"s{i % 211}", None if i % 17 == 0 else i * 7919 % 10007)
+            for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # ranks run on over partitions
+    try:
+        got = {r["doc_id"]: r["curve"] for r in hilbert.shard(docs, queries.SHARD_DIMENSIONS, 8).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    cells = []
+    for c in (3, 2, 4):
+        known = sorted(r[c] for r in rows if r[c] is not None)
+        cells.append([0 if r[c] is None else (bisect_left(known, r[c]) << 8) // len(known) for r in rows])
+    assert [got[i] for i in range(n)] == hilbert.curve_index(np.array(cells).T, 8).tolist()
+    few = hilbert.quantiles(docs.limit(0), queries.SHARD_DIMENSIONS, 8)
+    assert few == [[], [], []] and hilbert.cells_of(pa.array(["a", None]), few[0], 8).tolist() == [0, 0]
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(300)]
     star = [(1000, 1000 + i) for i in range(1, 200)]

@@ -1,7 +1,8 @@
 """Sharding along a Hilbert curve over several metadata dimensions.
 
-A value's cell in its dimension is the share of the rows with a smaller value, on a bounded sample, in 2**bits steps: cells
-follow the order of values, and a dimension fills its whole range however its values are spread.  Rows are sorted by the curve
+A value's cell in its dimension is the share of all rows with a smaller value, in 2**bits steps: cells
+follow the order of values, and a dimension fills its whole range however its values are spread.  Spark counts and ranks
+every value; tasks get the 2**bits values at evenly spaced ranks, which is all that the cells depend on.  Rows are sorted by the curve
 index of their cells, and the sorted run is cut into shards of equal row counts.  Rows of a shard are
 neighbours in every dimension at once, so the min/max statistics of its files prune
 predicates on any of them.
@@ -25,12 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickbar.operators.sequence import global_row_number
+from tickbar.operators.sequence import global_row_number, value_ranks
 
-from .common import fresh, hash_sample, id_rank, lean, scratch, without
-
-
-SAMPLE_ROWS = 16_384  # rows that fix the cells; every row is placed
+from .common import fresh, id_rank, lean, scratch, without
 
 
 @dataclass(frozen=True)
@@ -49,8 +47,26 @@ def _key(value) -> bytes | float:
     return value.encode() if isinstance(value, str) else value
 
 
+def quantiles(docs: DataFrame, dimensions: list[Dimension], bits: int) -> list[list]:
+    """Per dimension, the values at 2**bits evenly spaced ranks of all its rows' values (nulls have none), in order.
+
+    The c-th is the value at rank ceil(c * rows / 2**bits), so as many of them are smaller than a value as its cell says:
+    c of them exactly where at least c / 2**bits of the rows are smaller.
+    """
+    entries = [F.struct(F.lit(i).alias("dim"), (F.lit(None) if d.number else d.value()).cast("string").alias("text"),
+                        (d.value() if d.number else F.lit(None)).cast("double").alias("number")) for i, d in enumerate(dimensions)]
+    values = docs.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where("text is not null or number is not null")
+    ranked = value_ranks(values, "dim", "text", "number").select(
+        "dim", "text", "number", F.expr(f"shiftleft(below, {bits}) div total").alias("a"),
+        F.expr(f"shiftleft(below + n, {bits}) div total").alias("b"))
+    out = [[] for _ in dimensions]
+    for r in sorted(ranked.where("b > a").collect(), key=lambda r: (r["dim"], r["a"])):  # at most 2**bits a dimension
+        out[r["dim"]] += [_key(r["number"] if r["text"] is None else r["text"])] * (r["b"] - r["a"])
+    return out
+
+
 def cells_of(values: pa.Array, sample: list, bits: int) -> np.ndarray:
-    """The cell of each value: how many of the sorted sample are smaller, in 2**bits steps (null: 0)."""
+    """The cell of each value: the share of sorted values that are smaller, in 2**bits steps (null: 0)."""
     coded = values.dictionary_encode()
     known = [_key(v) for v in coded.dictionary.to_pylist()]
     place = np.array([bisect.bisect_left(sample, v) for v in known] + [0], np.int64)
@@ -108,10 +124,8 @@ def shard(docs: DataFrame, dimensions: list[Dimension], n_shards: int, bits: int
     values = [d.value().alias(fresh(docs, f"__value{i}")) for i, d in enumerate(dimensions)]
     keyed = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text).cast("long") + 1).alias("size"),
                         F.crc32(text).alias("text_crc32"), *keep, *values)
-    few = hash_sample(docs.select(F.col(id_col).alias("doc_id"), F.crc32(text).alias("crc"), *values), SAMPLE_ROWS, "doc_id", "crc").toArrow()
-    samples = [sorted(_key(v) for v in few.column(2 + i).to_pylist() if v is not None) for i in range(len(dimensions))]
     schema = keyed.select("doc_id", "size", "text_crc32", *keep, F.lit(0).cast("long").alias("curve")).schema
-    curve = scratch(keyed.mapInArrow(_indexer(samples, bits), schema), "curve")
+    curve = scratch(keyed.mapInArrow(_indexer(quantiles(docs, dimensions, bits), bits), schema), "curve")
     rank_col = fresh(curve, "__rank")
     ranked = global_row_number(curve.withColumn(rank_col, id_rank(F.col("doc_id"))),
                                ["curve", rank_col, "text_crc32", "size"], name=(seq := fresh(curve, "__seq")))
