@@ -320,3 +320,25 @@ def test_queries_give_a_row_per_input(spark, name):
     n = queries.table(spark, SMOKE, names.get(name, "documents")).count()
     rows = df.count()
     assert rows == n if name not in ("op3_mix", "op8_permutation") else rows > 0
+
+
+def test_pipeline_stages_move_texts_in_bounded_batches(spark):
+    import pyarrow as pa
+    from tickbar.llm.common import BATCH_BYTES
+
+    docs = spark.range(0, 6000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab cd "), 500).alias("text"),
+                                             F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    own = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(own, None)
+    spark.conf.unset(own)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "size": [batch.nbytes]})
+    try:
+        for _, stage in corpus_pipeline.STAGES[-1:]:
+            assert stage(spark, docs.limit(3), SMOKE).count() == 3
+        seen = docs.select("text").mapInArrow(sizes, "rows long, size long").collect()
+    finally:
+        spark.conf.unset(own) if was is None else spark.conf.set(own, was)
+    assert sum(r["rows"] for r in seen) == 6000 and max(r["size"] for r in seen) < 1.1 * BATCH_BYTES

@@ -10,7 +10,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbar.session import scratch_path
@@ -21,6 +21,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so they have inverses modulo 2**64
 _PIECE = 1 << 20
+BATCH_BYTES = 2 << 20
 
 
 def scratch(df: DataFrame, name: str) -> DataFrame:
@@ -154,6 +155,15 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return wrapped
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Keep the Arrow batches between Spark and its Python workers at about BATCH_BYTES, in this session.
+
+    By rows alone (10,000) a batch of whole texts takes tens of MB, in buffers that double as they fill, once per Python
+    step of a task; the executor's allocator keeps such blocks in each thread's arena long after the task.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """The batches in smaller ones, so that what is made per batch stays small."""
     for batch in batches:
